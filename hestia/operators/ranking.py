@@ -53,9 +53,14 @@ def top_k_per(
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
-def argmax_row(df: DataFrame, by: str, cols: Sequence[str]) -> DataFrame:
-    """The row holding the maximum of ``by`` (one partial aggregate)."""
-    best = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(by))
+def argmax_row(df: DataFrame, by: str | Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """The row holding the maximum of ``by`` (one partial aggregate).
+
+    ``by`` may list tie-break columns after the main one (compared as a
+    struct, left to right)."""
+    keys = [by] if isinstance(by, str) else list(by)
+    order = F.struct(*[F.col(c) for c in keys]) if len(keys) > 1 else F.col(keys[0])
+    best = F.max_by(F.struct(*[F.col(c) for c in cols]), order)
     return df.agg(best.alias("__best")).select("__best.*")
 
 

@@ -111,7 +111,7 @@ def tail_rows(df: DataFrame, cols: Sequence[str], p: float = 0.99, exact: bool =
     ]
     q = df.agg(*aggs)
     hits = [F.when(F.col(c) >= q.select(f"q_{c}").scalar(), F.lit(c)) for c in cols]
-    out = df.withColumn("tail_columns", F.filter(F.array(*hits), lambda x: x.isNotNull()))
+    out = df.withColumn("tail_columns", F.array_compact(F.array(*hits)))
     return out.filter(F.size("tail_columns") > 0)
 
 
