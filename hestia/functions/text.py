@@ -18,6 +18,7 @@ from collections.abc import Iterable, Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 ColumnOrName = Column | str
 
@@ -125,7 +126,7 @@ def nth_token(col: ColumnOrName, sep: str, n: int) -> Column:
 
 
 # --------------------------------------------------------------------- T17
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc_udf(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFKC", x) if isinstance(x, str) else x)
 
@@ -169,24 +170,37 @@ def extract_floor(
     col: ColumnOrName,
     words: Sequence[tuple[str, int]] = FLOOR_WORDS,
     ground: Sequence[str] = GROUND_WORDS,
+    low: Column | None = None,
 ) -> Column:
     """Floor number from free text.
 
     1. ``<digits> … étage`` pattern; 2. first ordinal word of ``words`` (in
     list order) found anywhere; 3. a ground-floor word gives 0.
+
+    ``low`` may pass an already lower-cased column (see ``with_lowered``) so
+    the 27 substring tests do not lower the whole text again each time.
     """
     c = _c(col)
-    low = F.lower(c)
+    low = F.lower(c) if low is None else low
     by_word = None
     for w, n in words:
         cond = low.contains(w)
         by_word = F.when(cond, F.lit(n)) if by_word is None else by_word.when(cond, F.lit(n))
     ground_hit = F.when(any_contains(low, ground), F.lit(0))
-    matched = capture(c, FLOOR_DIGITS, 1)
-    found = F.coalesce(matched.try_cast("int"), F.when(matched.isNull(), by_word), ground_hit)
+    found = F.coalesce(capture(c, FLOOR_DIGITS, 1).try_cast("int"), by_word, ground_hit)
     return F.when(c.isNull() | (c == ""), F.lit(None).cast("int")).otherwise(found)
 
 
+def with_lowered(df, col: str, name: str | None = None):
+    """Add ``lower(col)`` once as its own column.
+
+    Catalyst keeps a non-trivial expression in its own projection when it
+    is referenced several times, so every rule that reads the lowered text
+    shares one evaluation per row instead of lowering the text per test.
+    """
+    return df.withColumn(name or f"__low_{col}", F.lower(F.col(col)))
+
+
 # -------------------------------------------------------------- T20 .. T24
 LONG_RUN = r"(?U)([\w\s,àéèêëùûüîïôç\.\-]{80,})"
 DATE_DMY = r"(\d{2}/\d{2}/\d{4})"
