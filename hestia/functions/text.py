@@ -241,9 +241,19 @@ def context_pattern(word_pattern: str = "[eéE]tage", width: int = 20) -> str:
     return "(?iud).{0,%d}%s.{0,%d}" % (width, word_pattern, width)
 
 
-def context_matches(col: ColumnOrName, word_pattern: str = "[eéE]tage", width: int = 20) -> Column:
-    """Every match of the word with up to ``width`` chars each side."""
-    return F.regexp_extract_all(_c(col), F.lit(context_pattern(word_pattern, width)), 0)
+def context_matches(
+    col: ColumnOrName, word_pattern: str = "[eéE]tage", width: int = 20, guard: str | None = "tage"
+) -> Column:
+    """Every match of the word with up to ``width`` chars each side.
+
+    ``guard`` is a lower-case substring every match must contain; texts
+    without it skip the (backtracking) regex scan entirely.
+    """
+    c = _c(col)
+    found = F.regexp_extract_all(c, F.lit(context_pattern(word_pattern, width)), 0)
+    if guard is None:
+        return found
+    return F.when(F.lower(c).contains(guard), found).otherwise(F.array().cast("array<string>"))
 
 
 def round_num(col: ColumnOrName, digits: int = 0, mode: str = "half_up") -> Column:

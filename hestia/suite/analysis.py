@@ -415,11 +415,11 @@ def q_type_share(spark, sf):
 
 
 def histogram_sql(source: str, col: str, bins: int) -> str:
-    return f"""B AS (SELECT min({col}) AS lo, max({col}) AS hi FROM {source} WHERE {col} IS NOT NULL),
-H AS (SELECT CAST(least(coalesce(floor(({col} - lo) / NULLIF((hi - lo) / {bins}, 0)), 0), {bins - 1}) AS INTEGER) AS bin,
-             lo, (hi - lo) / {bins} AS w FROM {source}, B WHERE {col} IS NOT NULL)
+    return f"""HB AS (SELECT min({col}) AS lo, max({col}) AS hi FROM {source} WHERE {col} IS NOT NULL),
+HH AS (SELECT CAST(least(coalesce(floor(({col} - lo) / NULLIF((hi - lo) / {bins}, 0)), 0), {bins - 1}) AS INTEGER) AS bin,
+             lo, (hi - lo) / {bins} AS w FROM {source}, HB WHERE {col} IS NOT NULL)
 SELECT bin, round(any_value(lo) + bin * any_value(w), 4) AS bin_lo,
-       round(any_value(lo) + (bin + 1) * any_value(w), 4) AS bin_hi, count(*) AS count FROM H GROUP BY bin"""
+       round(any_value(lo) + (bin + 1) * any_value(w), 4) AS bin_hi, count(*) AS count FROM HH GROUP BY bin"""
 
 
 @register("price_histogram", v=True, sql=", " + histogram_sql("V", "prix", 50))
