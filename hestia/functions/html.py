@@ -36,6 +36,12 @@ def unescape(col: ColumnOrName) -> Column:
     return c
 
 
+def py_strip(col: ColumnOrName) -> Column:
+    """Strip leading/trailing Unicode whitespace (``str.strip`` semantics;
+    Spark's ``trim`` removes only the space character)."""
+    return F.regexp_replace(_c(col), r"(?U)^\s+|\s+$", "")
+
+
 def strip_tags(col: ColumnOrName, sep: str = "") -> Column:
     return F.regexp_replace(_c(col), "<[^>]*>", sep)
 
@@ -60,7 +66,7 @@ def element_text(col: ColumnOrName, tag: str, cls: str | None = None, id_: str |
     """H2: trimmed visible text of the first matching element, null if absent
     or empty."""
     inner = element_html(col, tag, cls, id_)
-    return F.nullif(F.trim(unescape(strip_tags(inner))), F.lit(""))
+    return F.nullif(py_strip(unescape(strip_tags(inner))), F.lit(""))
 
 
 def nested_text(col: ColumnOrName, outer: tuple[str, str | None], inner: tuple[str, str | None]) -> Column:
@@ -75,20 +81,22 @@ def nested_text(col: ColumnOrName, outer: tuple[str, str | None], inner: tuple[s
 
 
 def page_text(col: ColumnOrName, sep: str = " | ") -> Column:
-    """H4: visible text, one separator between text pieces, trimmed pieces.
+    """H4: visible text pieces, each stripped, empty ones dropped, joined
+    with ``sep`` (``get_text(separator=sep, strip=True)`` semantics).
 
-    Scripts, styles and comments are dropped; every tag becomes a boundary;
-    runs of whitespace inside a piece collapse to one space.
+    Scripts, styles and comments are dropped; every tag is a boundary.
     """
-    c = F.regexp_replace(_c(col), r"(?is)<(script|style)\b.*?</\1\s*>", " ")
-    c = F.regexp_replace(c, r"(?s)<!--.*?-->", " ")
+    c = F.regexp_replace(_c(col), r"(?is)<script\b.*?</script\s*>", "\u0001")
+    c = F.regexp_replace(c, r"(?is)<style\b.*?</style\s*>", "\u0001")
+    c = F.regexp_replace(c, r"(?s)<!--.*?-->", "\u0001")
     c = F.regexp_replace(c, r"<[^>]*>", "\u0001")
     c = unescape(c)
-    c = F.regexp_replace(c, r"(?U)\s+", " ")
-    # Trim pieces and drop empty ones.
-    c = F.regexp_replace(c, "\\s*\u0001[\\s\u0001]*", "\u0001")
+    # Strip every piece and drop the empty ones: whitespace next to a
+    # boundary goes, runs of boundaries collapse to one.
+    c = F.regexp_replace(c, "(?U)\\s*\u0001[\\s\u0001]*", "\u0001")
     c = F.regexp_replace(c, "^\u0001|\u0001$", "")
-    return F.trim(F.replace(c, F.lit("\u0001"), F.lit(sep)))
+    c = py_strip(c)
+    return F.replace(c, F.lit("\u0001"), F.lit(sep))
 
 
 def attr(col: ColumnOrName, tag: str, name: str, default: str | None = None, cls: str | None = None) -> Column:
@@ -118,14 +126,21 @@ def first_nonempty(*cols: ColumnOrName) -> Column:
     return F.coalesce(*[F.nullif(F.trim(_c(c)), F.lit("")) for c in cols])
 
 
-def blocks(col: ColumnOrName, tag: str, cls: str | None = None) -> Column:
-    """H1 (array form): inner HTML of each ``<tag>`` block.
+def blocks(col: ColumnOrName, tag: str, cls: str | None = None, keep_open: bool = False) -> Column:
+    """H1 (array form): one string per ``<tag>`` block, in page order.
+
+    ``keep_open=False``: the inner HTML, from the opening tag to the next
+    opening tag of the same kind or its closing tag, whichever is first, so
+    unclosed ``<p>`` still yields one block per opening tag.
 
-    A block runs from its opening tag to the next opening tag of the same
-    kind or its closing tag, whichever is first, so unclosed ``<p>`` and
-    nested same-tag blocks still split into one piece per opening tag.
+    ``keep_open=True`` (cards with nested elements): the block keeps its
+    opening tag (and so its attributes) and runs to the next opening tag
+    of the same kind/class or the end of the page.
     """
     opener = _open_tag(tag, cls)
+    if keep_open:
+        parts = F.split(_c(col), "(?i)(?=" + opener + ")")
+        return F.filter(parts, lambda s: s.rlike("^(?i)" + opener))
     parts = F.split(_c(col), "(?i)" + opener)
     tail = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
     close = "</%s>" % tag
