@@ -446,3 +446,24 @@ WHERE DPE IS NOT NULL""",
 def q_price_cards(spark, sf):
     c = X.extract_price_cards(price_card_pages(spark, sf))
     return c.withColumn("block_no", F.col("block_no").cast("bigint"))
+
+
+# --------------------------------------------------------------------- ST1
+@register(
+    "ingest_pages",
+    sql=rf"""SELECT page_id, url, {sql_element_text('html', 'title')} AS title, {sql_element_text('html', 'h1')} AS h1,
+       CAST(len(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref\s*=\s*"([^"]*)"', 1)) AS INTEGER) AS n_links FROM pages""",
+)
+def q_ingest_pages(spark, sf):
+    """The pages table is landed twice as separate files (a re-crawl); the
+    stream ingests them one file per batch and must end equal to the batch
+    extraction with each page once."""
+    from hestia.streaming.ingest import ingest_pages
+
+    root = scratch_dir(spark, "ingest")
+    land, out, ckpt = f"{root}/landed", f"{root}/table", f"{root}/checkpoint"
+    pages = _pages(spark, sf)
+    pages.coalesce(1).write.mode("overwrite").parquet(land)
+    pages.coalesce(1).write.mode("append").parquet(land)
+    ingest_pages(spark, land, out, ckpt)
+    return spark.read.parquet(out)
