@@ -369,7 +369,7 @@ def card_pages(spark, sf):
     )
     # At most seven ads per order: a bounded list per page.
     g = v.groupBy(F.col("__ok").alias("page_id")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__ln"), F.col("__seg"), card.alias("c")))), lambda s: s["c"]), "").alias("cards")
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__ln"), F.col("__seg"), F.col("prix"), F.col("titre"), card.alias("c")))), lambda s: s["c"]), "").alias("cards")
     )
     return g.select("page_id", F.concat(F.lit("<html><body>"), F.col("cards"), F.lit("</body></html>")).alias("html"))
 
@@ -386,7 +386,7 @@ WS = r"[\s\x{a0}\x{202f}]"
 CARD_SQL = rf""", K AS (SELECT *, string_split(lien, '/')[-1] AS seg,
                   CAST(split_part(string_split(lien, '/')[-1], '-', 1) AS BIGINT) AS ok,
                   CAST(split_part(string_split(lien, '/')[-1], '-', 2) AS INTEGER) AS ln FROM V),
-C AS (SELECT ok AS page_id, row_number() OVER (PARTITION BY ok ORDER BY ln, seg) AS block_no, seg AS id, titre,
+C AS (SELECT ok AS page_id, row_number() OVER (PARTITION BY ok ORDER BY ln, seg, prix, titre) AS block_no, seg AS id, titre,
              {_sql_card_text()} AS texte FROM K)
 SELECT page_id, block_no, id, titre,
   nullif(regexp_replace(regexp_extract(texte, '([\d\s\x{{a0}}\x{{202f}}]+€)', 1), '^{WS}+|{WS}+$', '', 'g'), '') AS prix,
@@ -423,7 +423,7 @@ def price_card_pages(spark, sf):
         F.lit('<span class="css-1bola4h">'), F.col("ville"), F.lit("</span></div>"),
     )
     g = v.groupBy(F.col("__ok").alias("page_id")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__ln"), F.col("__seg"), card.alias("c")))), lambda s: s["c"]), "").alias("cards")
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__ln"), F.col("__seg"), F.col("prix"), F.col("titre"), card.alias("c")))), lambda s: s["c"]), "").alias("cards")
     )
     return g.select("page_id", F.concat(F.lit("<html><body>"), F.col("cards"), F.lit("</body></html>")).alias("html"))
 
@@ -435,7 +435,7 @@ def price_card_pages(spark, sf):
                   CAST(split_part(string_split(lien, '/')[-1], '-', 1) AS BIGINT) AS ok,
                   CAST(split_part(string_split(lien, '/')[-1], '-', 2) AS INTEGER) AS ln FROM V)
 SELECT page_id, block_no, prix, type_de_bien, details, zone FROM (
-  SELECT ok AS page_id, row_number() OVER (PARTITION BY ok ORDER BY ln, seg) AS block_no, DPE,
+  SELECT ok AS page_id, row_number() OVER (PARTITION BY ok ORDER BY ln, seg, prix, titre) AS block_no, DPE,
          CAST(CAST(floor(prix) AS BIGINT) AS VARCHAR) AS prix,
          replace(concat_ws(', ', type_bien, CAST(CAST(surface AS INTEGER) AS VARCHAR) || ' m²'), ',', ' ') AS type_de_bien,
          coalesce(CAST(pieces AS VARCHAR) || ' pièces, ' || coalesce(CAST(etage AS VARCHAR), '?') || ' étage',

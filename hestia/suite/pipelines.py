@@ -51,6 +51,9 @@ def fused(spark, sf):
     return E2.fuse_listings(first_source(spark, sf), second_source(spark, sf), place_dim(spark, sf))
 
 
+PLACE_NAME_X = r"regexp_extract(ville_brute, '(.*)\s\((\d+)\)', 1)"
+
+
 def fold(x):
     return FOLD_SQL.format(x=x)
 
@@ -66,7 +69,7 @@ def _alias_case() -> str:
 FUSED_SQL = CLEAN_SQL + rf""", DIM AS (
   SELECT trim(lower(n_name || ' (' || CAST(n_nationkey + 69000 AS VARCHAR) || ')')) AS ville_brute FROM nation),
 DIM2 AS (SELECT ville_brute, regexp_extract(ville_brute, '(.*)\s\((\d+)\)', 1) AS ville_og,
-                {fold("regexp_extract(ville_brute, '(.*)\s\((\d+)\)', 1)")} AS ville,
+                {fold(PLACE_NAME_X)} AS ville,
                 regexp_extract(ville_brute, '(.*)\s\((\d+)\)', 2) AS code_postal FROM DIM),
 A1 AS (SELECT * REPLACE (trim(regexp_replace({fold('ville')}, '\s*\d+e\b', '', 'g')) AS ville,
                           lower(type_bien) AS type_bien) FROM CLEAN),
