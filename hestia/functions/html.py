@@ -29,17 +29,37 @@ ENTITIES = [
 
 
 def unescape(col: ColumnOrName) -> Column:
-    """Decode the common named entities (``&amp;`` last)."""
+    """Decode the common named entities (``&amp;`` last). Text without
+    ``&`` skips the nine replace passes (the input appears in the test and
+    both branches, so codegen evaluates it once)."""
     c = _c(col)
+    out = c
     for name, char in ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
+        out = F.replace(out, F.lit(name), F.lit(char))
+    return F.when(c.contains("&"), out).otherwise(c)
+
+
+def empty_to_null(col: ColumnOrName) -> Column:
+    """``''`` → null while evaluating the input once (``nullif`` would
+    evaluate an expensive input twice): the first match of ``.+`` is the
+    whole string, and there is none in an empty one."""
+    return F.regexp_substr(_c(col), F.lit("(?s).+"))
+
+
+# Fixed value: the characters Python's ``str.strip()`` removes (every
+# code point whose ``isspace()`` is true).
+PY_WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def py_strip(col: ColumnOrName) -> Column:
     """Strip leading/trailing Unicode whitespace (``str.strip`` semantics;
-    Spark's ``trim`` removes only the space character)."""
-    return F.regexp_replace(_c(col), r"(?U)^\s+|\s+$", "")
+    Spark's one-argument ``trim`` removes only the space character).
+    A character-set trim, no regular expression."""
+    return F.btrim(_c(col), F.lit(PY_WHITESPACE))
 
 
 def strip_tags(col: ColumnOrName, sep: str = "") -> Column:
@@ -55,29 +75,42 @@ def _open_tag(tag: str, cls: str | None = None, id_: str | None = None) -> str:
     return r"<%s\b%s[^>]*>" % (tag, attrs)
 
 
+def _body(tag: str) -> str:
+    """Element body up to its first closing tag, written as an unrolled
+    loop with possessive quantifiers: runs of ``[^<]`` are consumed without
+    backtracking and only ``<`` characters are tested (same matches as
+    ``(.*?)</tag\\s*>``, linear time)."""
+    return r"([^<]*+(?:<(?!/%s\s*>)[^<]*+)*+)</%s\s*>" % (tag, tag)
+
+
 def element_html(col: ColumnOrName, tag: str, cls: str | None = None, id_: str | None = None) -> Column:
-    """Inner HTML of the first ``<tag>`` (with class/id) up to its first
-    closing tag; null when absent."""
-    pattern = r"(?is)%s(.*?)</%s\s*>" % (_open_tag(tag, cls, id_), tag)
-    return F.nullif(F.regexp_extract(_c(col), pattern, 1), F.lit(""))
+    """Inner HTML of the first ``<tag>`` (with class/id) up to its closing
+    tag; null when absent. One regex pass over the page."""
+    pattern = "(?is)" + _open_tag(tag, cls, id_) + _body(tag)
+    return F.regexp_extract(F.regexp_substr(_c(col), F.lit(pattern)), pattern, 1)
+
+
+def finish_text(inner: ColumnOrName) -> Column:
+    """Tags removed, entities decoded, stripped; empty → null."""
+    return empty_to_null(py_strip(unescape(strip_tags(inner))))
 
 
 def element_text(col: ColumnOrName, tag: str, cls: str | None = None, id_: str | None = None) -> Column:
-    """H2: trimmed visible text of the first matching element, null if absent
-    or empty."""
-    inner = element_html(col, tag, cls, id_)
-    return F.nullif(py_strip(unescape(strip_tags(inner))), F.lit(""))
+    """H2: stripped visible text of the first matching element, null if
+    absent or empty."""
+    return finish_text(element_html(col, tag, cls, id_))
 
 
-def nested_text(col: ColumnOrName, outer: tuple[str, str | None], inner: tuple[str, str | None]) -> Column:
-    """H3: text of an element inside another (``dpe-diagram`` → ``selected``).
+def nested_html(col: ColumnOrName, outer: tuple[str, str | None], inner: tuple[str, str | None]) -> Column:
+    """Inner HTML of the first ``inner`` element after the opening tag of
+    the first ``outer`` element (one regex pass)."""
+    pattern = "(?is)" + _open_tag(*outer) + ".*?" + _open_tag(*inner) + _body(inner[0])
+    return F.regexp_extract(F.regexp_substr(_c(col), F.lit(pattern)), pattern, 1)
 
-    The outer element is cut at the start of the inner one's closing region:
-    everything after the outer opening tag is searched for the inner element.
-    """
-    otag, ocls = outer
-    after_outer = F.regexp_extract(_c(col), r"(?is)%s(.*)" % _open_tag(otag, ocls), 1)
-    return element_text(F.nullif(after_outer, F.lit("")), inner[0], inner[1])
+
+def nested_text(col: ColumnOrName, outer: tuple[str, str | None], inner: tuple[str, str | None]) -> Column:
+    """H3: text of an element inside another (``dpe-diagram`` → ``selected``)."""
+    return finish_text(nested_html(col, outer, inner))
 
 
 def page_text(col: ColumnOrName, sep: str = " | ") -> Column:
@@ -106,8 +139,7 @@ def attr(col: ColumnOrName, tag: str, name: str, default: str | None = None, cls
         (r"""\bclass\s*=\s*"[^"]*\b%s\b[^"]*\"""" % re.escape(cls)) if cls else "",
         re.escape(name),
     )
-    v = F.regexp_extract(_c(col), pattern, 1)
-    found = F.when(F.regexp_extract(_c(col), pattern, 0) != "", v)
+    found = F.regexp_extract(F.regexp_substr(_c(col), F.lit(pattern)), pattern, 1)
     return F.coalesce(found, F.lit(default)) if default is not None else found
 
 
@@ -123,7 +155,7 @@ def links_with_prefix(col: ColumnOrName, prefix: str) -> Column:
 
 def first_nonempty(*cols: ColumnOrName) -> Column:
     """H7: first candidate that is neither null nor empty."""
-    return F.coalesce(*[F.nullif(F.trim(_c(c)), F.lit("")) for c in cols])
+    return F.coalesce(*[empty_to_null(F.trim(_c(c))) for c in cols])
 
 
 def blocks(col: ColumnOrName, tag: str, cls: str | None = None, keep_open: bool = False) -> Column:
@@ -139,9 +171,7 @@ def blocks(col: ColumnOrName, tag: str, cls: str | None = None, keep_open: bool
     """
     opener = _open_tag(tag, cls)
     if keep_open:
-        parts = F.split(_c(col), "(?i)(?=" + opener + ")")
-        return F.filter(parts, lambda s: s.rlike("^(?i)" + opener))
-    parts = F.split(_c(col), "(?i)" + opener)
-    tail = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-    close = "</%s>" % tag
-    return F.transform(tail, lambda s: F.substring_index(s, close, 1))
+        pattern = "(?is)(%s(?:(?!%s).)*)" % (opener, opener)
+        return F.regexp_extract_all(_c(col), F.lit(pattern), 1)
+    pattern = "(?is)%s((?:(?!<%s\\b|</%s>).)*)" % (opener, tag, tag)
+    return F.regexp_extract_all(_c(col), F.lit(pattern), 1)

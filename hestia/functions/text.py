@@ -60,8 +60,16 @@ DISTRICT_SUFFIX = r"\s*\d+e\b"
 
 # ------------------------------------------------------------------- T4, T5
 def capture(col: ColumnOrName, pattern: str, group: int = 1) -> Column:
-    """T4: regex capture group; null when there is no match (or it is empty)."""
-    return F.nullif(F.regexp_extract(_c(col), pattern, group), F.lit(""))
+    """T4: regex capture group of the first match; null when there is no
+    match.
+
+    One scan of the input that stops at the first match
+    (``regexp_substr``); the group is then read from the short matched
+    text. ``nullif(regexp_extract(..))`` would scan the input twice.
+    Patterns must not look at context outside their own match.
+    """
+    first = F.regexp_substr(_c(col), F.lit(pattern))
+    return first if group == 0 else F.regexp_extract(first, pattern, group)
 
 
 def capture_or(col: ColumnOrName, pattern: str, default: str, group: int = 0) -> Column:
@@ -70,7 +78,11 @@ def capture_or(col: ColumnOrName, pattern: str, default: str, group: int = 0) ->
 
 
 def any_contains(col: ColumnOrName, needles: Iterable[str]) -> Column:
-    """T5: true when any needle is a substring (case-sensitive; lower first)."""
+    """T5: true when any needle is a substring (case-sensitive; lower first).
+
+    An OR of substring tests: measured faster on long texts than one regex
+    alternation, and it stops at the first hit.
+    """
     c = _c(col)
     out = None
     for n in needles:
@@ -79,11 +91,29 @@ def any_contains(col: ColumnOrName, needles: Iterable[str]) -> Column:
     return out if out is not None else F.lit(False)
 
 
+def first_listed(col: ColumnOrName, table: Sequence[tuple[str, object]], guard: Sequence[str] | None = None) -> Column:
+    """Value of the first entry of ``table`` (in table order) whose word
+    occurs anywhere in ``col``; null when none does.
+
+    ``guard``: substrings such that every word contains one of them; texts
+    with none of them skip the per-word tests.
+    """
+    c = _c(col)
+    chain = None
+    for w, v in table:
+        cond = c.contains(w)
+        chain = F.when(cond, F.lit(v)) if chain is None else chain.when(cond, F.lit(v))
+    if guard:
+        assert all(any(g in w for g in guard) for w, _ in table), "guard must cover every word"
+        return F.when(any_contains(c, guard), chain)
+    return chain
+
+
 # -------------------------------------------------------------- T12 .. T16
 def parse_price(col: ColumnOrName) -> Column:
     """``'250 000 €'`` → 250000; spaces of any width and € removed."""
     cleaned = F.regexp_replace(_c(col), "(?U)[\\s\u00a0\u202f€]", "")
-    return F.nullif(cleaned, F.lit("")).try_cast("bigint")
+    return cleaned.try_cast("bigint")
 
 
 AREA_PATTERN = r"(\d+(?:[.,]\d+)?)\s*m\S*"
@@ -164,6 +194,8 @@ FLOOR_WORDS = [
     ("dixième", 10), ("dixieme", 10),
 ]
 GROUND_WORDS = ["rez-de-chaussée", "rez de chaussée", "rez-de-chaussee", "rez de chaussee", "rdc", "r.d.c"]
+# Every ordinal word contains one of these (checked at use).
+FLOOR_WORD_GUARD = ["premi", "ième", "ieme"]
 
 
 def extract_floor(
@@ -182,10 +214,7 @@ def extract_floor(
     """
     c = _c(col)
     low = F.lower(c) if low is None else low
-    by_word = None
-    for w, n in words:
-        cond = low.contains(w)
-        by_word = F.when(cond, F.lit(n)) if by_word is None else by_word.when(cond, F.lit(n))
+    by_word = first_listed(low, words, FLOOR_WORD_GUARD if words is FLOOR_WORDS else None)
     ground_hit = F.when(any_contains(low, ground), F.lit(0))
     found = F.coalesce(capture(c, FLOOR_DIGITS, 1).try_cast("int"), by_word, ground_hit)
     return F.when(c.isNull() | (c == ""), F.lit(None).cast("int")).otherwise(found)
@@ -283,7 +312,7 @@ def tokens(col: ColumnOrName, min_len: int = 4, stopwords: Sequence[str] = STOPW
     """Lower, non-letters → space, split on whitespace, keep words of
     at least ``min_len`` characters that are not stop words."""
     cleaned = F.regexp_replace(F.lower(_c(col)), f"(?U)[^{TOKEN_KEEP}\\s]", " ")
-    parts = F.split(cleaned, r"(?U)\s+")
+    parts = F.regexp_extract_all(cleaned, F.lit(r"(?U)\S+"), 0)
     stop = F.array(*[F.lit(w) for w in sorted(set(stopwords))])
     return F.filter(
         parts,

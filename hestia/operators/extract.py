@@ -104,25 +104,37 @@ def extract_listing_details(pages: DataFrame, html: str = "html", url: str = "ur
 
     A field that cannot be read is null (never a failed row): ``try_cast``
     and null-on-no-match regexes stand in for per-field exception handlers.
+    Stage 1 reads every raw field with one regex pass over the page;
+    later stages work on those short strings only.
     """
     h = F.col(html)
-    raw_title = H.element_text(h, "title")
-    norm = (lambda c: T.nfkc(c, cheap=True)) if nfkc_cheap else T.nfkc
-    titre = norm(raw_title)
-    desc = norm(H.element_text(h, *DETAIL_DESC))
-    # Computed once (own projection) and shared by the floor rules.
-    staged = pages.select(
+    raw = pages.select(
         F.col(url).alias("lien"),
-        titre.alias("titre"),
-        norm(H.element_text(h, *DETAIL_H1)).alias("description"),
-        H.py_strip(T.nth_token(raw_title, "²", -1)).alias("ville"),
-        T.parse_price(H.element_text(h, *DETAIL_PRICE)).alias("prix"),
-        T.parse_area_field(H.element_text(h, *DETAIL_AREA)).alias("surface"),
-        T.parse_rooms(H.element_text(h, *DETAIL_ROOMS)).alias("pieces"),
-        H.nested_text(h, *DETAIL_DPE).alias("DPE"),
-        desc.alias("full_description"),
+        H.element_html(h, "title").alias("r_title"),
+        H.element_html(h, *DETAIL_H1).alias("r_h1"),
+        H.element_html(h, *DETAIL_PRICE).alias("r_price"),
+        H.element_html(h, *DETAIL_AREA).alias("r_area"),
+        H.element_html(h, *DETAIL_ROOMS).alias("r_rooms"),
+        H.element_html(h, *DETAIL_DESC).alias("r_desc"),
+        H.nested_html(h, *DETAIL_DPE).alias("r_dpe"),
+    )
+    norm = (lambda c: T.nfkc(c, cheap=True)) if nfkc_cheap else T.nfkc
+    texts = raw.select(
+        "lien",
+        H.finish_text("r_title").alias("t_title"),
+        norm(H.finish_text("r_h1")).alias("description"),
+        T.parse_price(H.finish_text("r_price")).alias("prix"),
+        T.parse_area_field(H.finish_text("r_area")).alias("surface"),
+        T.parse_rooms(H.finish_text("r_rooms")).alias("pieces"),
+        H.finish_text("r_dpe").alias("DPE"),
+        norm(H.finish_text("r_desc")).alias("full_description"),
+    )
+    staged = texts.select(
+        "*",
+        norm(F.col("t_title")).alias("titre"),
+        H.py_strip(T.nth_token("t_title", "²", -1)).alias("ville"),
+        F.lower("full_description").alias("__low"),
     )
-    staged = staged.withColumn("__low", F.lower("full_description"))
     return staged.select(
         "titre",
         "description",
@@ -178,7 +190,7 @@ def extract_price_cards(pages: DataFrame, html: str = "html") -> DataFrame:
         digits.alias("prix"),
         _card_text(blk, PRICE_CARD_FIELDS["type_de_bien"]).alias("type_de_bien"),
         F.coalesce(
-            F.nullif(_card_text(blk, PRICE_CARD_FIELDS["details"], True), F.lit("")),
+            H.empty_to_null(_card_text(blk, PRICE_CARD_FIELDS["details"], True)),
             _card_text(blk, PRICE_CARD_FIELDS["details_alt"], True),
         ).alias("details"),
         _card_text(blk, PRICE_CARD_FIELDS["zone"]).alias("zone"),

@@ -72,7 +72,11 @@ def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
 
-    joined = li.join(places, li.l_suppkey == places.s_suppkey, "inner").join(
+    # supplier ⋈ nation grows with the scale (10k suppliers per SF): it is
+    # broadcast only behind a size check; the fact table is never broadcast.
+    from hestia.operators.joins import small_side
+
+    joined = li.join(small_side(places, 5_000_000), li.l_suppkey == places.s_suppkey, "inner").join(
         docs, li.l_partkey == docs.doc_id, "left"
     )
     type_bien = F.when(F.col("l_returnflag") == "R", "Maison").otherwise("Appartement")
