@@ -40,10 +40,9 @@ def unescape(col: ColumnOrName) -> Column:
 
 
 def empty_to_null(col: ColumnOrName) -> Column:
-    """``''`` → null while evaluating the input once (``nullif`` would
-    evaluate an expensive input twice): the first match of ``.+`` is the
-    whole string, and there is none in an empty one."""
-    return F.regexp_substr(_c(col), F.lit("(?s).+"))
+    """``''`` → null. (Spark 4 rewrites ``nullif`` with a shared common
+    expression, so an expensive input is still evaluated once.)"""
+    return F.nullif(_c(col), F.lit(""))
 
 
 # Fixed value: the characters Python's ``str.strip()`` removes (every
@@ -63,30 +62,34 @@ def py_strip(col: ColumnOrName) -> Column:
 
 
 def strip_tags(col: ColumnOrName, sep: str = "") -> Column:
-    return F.regexp_replace(_c(col), "<[^>]*>", sep)
+    """Replace every tag by ``sep``; text without ``<`` skips the regex."""
+    c = _c(col)
+    return F.when(c.contains("<"), F.regexp_replace(c, "<[^>]*>", sep)).otherwise(c)
 
 
 def _open_tag(tag: str, cls: str | None = None, id_: str | None = None) -> str:
+    """Opening-tag pattern, case-insensitive inside its own group only."""
     attrs = ""
     if cls:
         attrs = r"""[^>]*\bclass\s*=\s*"[^"]*\b%s\b[^"]*\"""" % re.escape(cls)
     elif id_:
         attrs = r"""[^>]*\bid\s*=\s*"%s\"""" % re.escape(id_)
-    return r"<%s\b%s[^>]*>" % (tag, attrs)
+    return r"(?i:<%s\b%s[^>]*>)" % (tag, attrs)
 
 
 def _body(tag: str) -> str:
     """Element body up to its first closing tag, written as an unrolled
     loop with possessive quantifiers: runs of ``[^<]`` are consumed without
-    backtracking and only ``<`` characters are tested (same matches as
-    ``(.*?)</tag\\s*>``, linear time)."""
-    return r"([^<]*+(?:<(?!/%s\s*>)[^<]*+)*+)</%s\s*>" % (tag, tag)
+    backtracking (and without case folding) and only ``<`` characters are
+    tested. Same matches as ``(.*?)</tag\\s*>``, linear time."""
+    close = r"(?i:/%s\s*>)" % tag
+    return r"([^<]*+(?:<(?!%s)[^<]*+)*+)<%s" % (close, close)
 
 
 def element_html(col: ColumnOrName, tag: str, cls: str | None = None, id_: str | None = None) -> Column:
     """Inner HTML of the first ``<tag>`` (with class/id) up to its closing
     tag; null when absent. One regex pass over the page."""
-    pattern = "(?is)" + _open_tag(tag, cls, id_) + _body(tag)
+    pattern = _open_tag(tag, cls, id_) + _body(tag)
     return F.regexp_extract(F.regexp_substr(_c(col), F.lit(pattern)), pattern, 1)
 
 
@@ -104,7 +107,7 @@ def element_text(col: ColumnOrName, tag: str, cls: str | None = None, id_: str |
 def nested_html(col: ColumnOrName, outer: tuple[str, str | None], inner: tuple[str, str | None]) -> Column:
     """Inner HTML of the first ``inner`` element after the opening tag of
     the first ``outer`` element (one regex pass)."""
-    pattern = "(?is)" + _open_tag(*outer) + ".*?" + _open_tag(*inner) + _body(inner[0])
+    pattern = _open_tag(*outer) + "(?s:.*?)" + _open_tag(*inner) + _body(inner[0])
     return F.regexp_extract(F.regexp_substr(_c(col), F.lit(pattern)), pattern, 1)
 
 
@@ -117,19 +120,16 @@ def page_text(col: ColumnOrName, sep: str = " | ") -> Column:
     """H4: visible text pieces, each stripped, empty ones dropped, joined
     with ``sep`` (``get_text(separator=sep, strip=True)`` semantics).
 
-    Scripts, styles and comments are dropped; every tag is a boundary.
+    Scripts, styles and comments are dropped; every tag becomes a one-
+    character boundary; the pieces between boundaries are split without a
+    regex (single-character separator), stripped, filtered and joined.
     """
     c = F.regexp_replace(_c(col), r"(?is)<script\b.*?</script\s*>", "\u0001")
     c = F.regexp_replace(c, r"(?is)<style\b.*?</style\s*>", "\u0001")
     c = F.regexp_replace(c, r"(?s)<!--.*?-->", "\u0001")
     c = F.regexp_replace(c, r"<[^>]*>", "\u0001")
-    c = unescape(c)
-    # Strip every piece and drop the empty ones: whitespace next to a
-    # boundary goes, runs of boundaries collapse to one.
-    c = F.regexp_replace(c, "(?U)\\s*\u0001[\\s\u0001]*", "\u0001")
-    c = F.regexp_replace(c, "^\u0001|\u0001$", "")
-    c = py_strip(c)
-    return F.replace(c, F.lit("\u0001"), F.lit(sep))
+    pieces = F.transform(F.split(unescape(c), "\u0001"), lambda x: py_strip(x))
+    return F.array_join(F.filter(pieces, lambda x: F.length(x) > 0), sep)
 
 
 def attr(col: ColumnOrName, tag: str, name: str, default: str | None = None, cls: str | None = None) -> Column:
@@ -168,10 +168,14 @@ def blocks(col: ColumnOrName, tag: str, cls: str | None = None, keep_open: bool
     ``keep_open=True`` (cards with nested elements): the block keeps its
     opening tag (and so its attributes) and runs to the next opening tag
     of the same kind/class or the end of the page.
+
+    Both are unrolled loops: non-``<`` runs are consumed possessively and
+    the stop test only runs at ``<`` characters.
     """
     opener = _open_tag(tag, cls)
     if keep_open:
-        pattern = "(?is)(%s(?:(?!%s).)*)" % (opener, opener)
-        return F.regexp_extract_all(_c(col), F.lit(pattern), 1)
-    pattern = "(?is)%s((?:(?!<%s\\b|</%s>).)*)" % (opener, tag, tag)
+        pattern = "(%s[^<]*+(?:(?!%s)<[^<]*+)*+)" % (opener, opener)
+    else:
+        stop = r"(?i:%s\b|/%s>)" % (tag, tag)
+        pattern = "%s([^<]*+(?:<(?!%s)[^<]*+)*+)" % (opener, stop)
     return F.regexp_extract_all(_c(col), F.lit(pattern), 1)

@@ -170,7 +170,10 @@ NFKC_CHEAP_TO = "  23"
 def nfkc(col: ColumnOrName, cheap: bool = False) -> Column:
     """Unicode NFKC. ``cheap=True`` maps only NBSP/narrow NBSP/²/³."""
     if cheap:
-        return F.translate(_c(col), NFKC_CHEAP_FROM, NFKC_CHEAP_TO)
+        c = _c(col)
+        # Most texts hold none of the four characters: one class scan
+        # decides, the per-character mapping runs only when needed.
+        return F.when(c.rlike("[" + NFKC_CHEAP_FROM + "]"), F.translate(c, NFKC_CHEAP_FROM, NFKC_CHEAP_TO)).otherwise(c)
     return _nfkc_udf(_c(col))
 
 
@@ -216,7 +219,9 @@ def extract_floor(
     low = F.lower(c) if low is None else low
     by_word = first_listed(low, words, FLOOR_WORD_GUARD if words is FLOOR_WORDS else None)
     ground_hit = F.when(any_contains(low, ground), F.lit(0))
-    found = F.coalesce(capture(c, FLOOR_DIGITS, 1).try_cast("int"), by_word, ground_hit)
+    # The digit pattern needs "tage" (any case): texts without it skip it.
+    digits = F.when(low.contains("tage"), capture(c, FLOOR_DIGITS, 1))
+    found = F.coalesce(digits.try_cast("int"), by_word, ground_hit)
     return F.when(c.isNull() | (c == ""), F.lit(None).cast("int")).otherwise(found)
 
 
@@ -271,7 +276,11 @@ def context_pattern(word_pattern: str = "[eéE]tage", width: int = 20) -> str:
 
 
 def context_matches(
-    col: ColumnOrName, word_pattern: str = "[eéE]tage", width: int = 20, guard: str | None = "tage"
+    col: ColumnOrName,
+    word_pattern: str = "[eéE]tage",
+    width: int = 20,
+    guard: str | None = "tage",
+    low: Column | None = None,
 ) -> Column:
     """Every match of the word with up to ``width`` chars each side.
 
@@ -282,7 +291,8 @@ def context_matches(
     found = F.regexp_extract_all(c, F.lit(context_pattern(word_pattern, width)), 0)
     if guard is None:
         return found
-    return F.when(F.lower(c).contains(guard), found).otherwise(F.array().cast("array<string>"))
+    low = F.lower(c) if low is None else low
+    return F.when(low.contains(guard), found).otherwise(F.array().cast("array<string>"))
 
 
 def round_num(col: ColumnOrName, digits: int = 0, mode: str = "half_up") -> Column:
