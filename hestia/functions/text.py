@@ -250,7 +250,7 @@ def long_run(col: ColumnOrName, min_len: int = 80) -> Column:
 def capture_date(col: ColumnOrName, typed: bool = False) -> Column:
     """First ``dd/mm/yyyy``; ``typed=True`` returns a DATE (bad → null)."""
     txt = capture(col, DATE_DMY, 1)
-    return F.try_to_date(txt, F.lit("dd/MM/yyyy")) if typed else txt
+    return F.try_to_date(txt, "dd/MM/yyyy") if typed else txt
 
 
 def with_unit(col: ColumnOrName, unit: str = " m²") -> Column:

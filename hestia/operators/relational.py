@@ -123,3 +123,10 @@ def violations(df: DataFrame, predicate: Column) -> DataFrame:
 def preview(df: DataFrame, n: int, order: Sequence[ColumnOrName]) -> DataFrame:
     """F8: first ``n`` rows under a total order (TakeOrderedAndProject)."""
     return df.orderBy(*order).limit(n)
+
+
+def cached(df: DataFrame) -> DataFrame:
+    """K3: keep a table reused by several jobs (memory, spilling to disk)."""
+    from pyspark import StorageLevel
+
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
