@@ -167,13 +167,15 @@ def duplicate_groups(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def share(df: DataFrame, key: str, digits: int = 6) -> DataFrame:
     """Rows per key and their share of all rows.
 
-    The total is a scalar subquery (one extra small job), so the per-key
-    rows are never funnelled through a single window partition.
+    One pass over the input: the per-key counts are a partial aggregate;
+    the total is summed over those aggregated rows (one row per key, so the
+    unpartitioned window only ever sees the category list, never the data).
     """
-    total = df.agg(F.count(F.lit(1)).alias("t")).scalar()
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("count")).withColumn(
-        "share", F.round(F.col("count") / total, digits)
-    )
+    from pyspark.sql import Window
+
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
+    total = F.sum("count").over(Window.partitionBy())
+    return counts.withColumn("share", F.round(F.col("count") / total, digits))
 
 
 def histogram(df: DataFrame, col: ColumnOrName, bins: int, digits: int = 4) -> DataFrame:

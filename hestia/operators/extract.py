@@ -64,10 +64,10 @@ CARD_PLACE = r"(?U)([A-ZÀ-Ÿa-zà-ÿ\-\s]+)\s*\((\d{2})\)"
 CARD_PLACE_DEFAULT = "Lyon"
 
 
-def card_fields(block: Column, source: str) -> list[Column]:
-    """Fields of one card block (the text is the card's visible text joined
-    with `` | ``)."""
-    text = H.page_text(block, " | ")
+def card_fields(block: Column, source: str, text: Column | None = None) -> list[Column]:
+    """Fields of one card block; ``text`` is the card's visible text joined
+    with `` | `` (pass it as a staged column to compute it once)."""
+    text = H.page_text(block, " | ") if text is None else text
     area = T.capture(text, CARD_AREA, 1)
     return [
         H.attr(block, CARD_TAG, "data-id").alias("id"),
@@ -84,9 +84,14 @@ def card_fields(block: Column, source: str) -> list[Column]:
 
 
 def extract_listing_cards(pages: DataFrame, html: str = "html", source: str = "cards") -> DataFrame:
-    """One listing record per card of every page."""
+    """One listing record per card of every page.
+
+    The card text is its own column (one evaluation per card) before the
+    field patterns read it.
+    """
     b = explode_blocks(pages, html, CARD_TAG, CARD_CLASS, keep_open=True, keep=["page_id"])
-    return b.select("page_id", "block_no", *card_fields(F.col("block"), source))
+    staged = b.withColumn("__text", H.page_text(F.col("block"), " | "))
+    return staged.select("page_id", "block_no", *card_fields(F.col("block"), source, F.col("__text")))
 
 
 # ------------------------------------------------------------- H12 details

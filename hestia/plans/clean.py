@@ -62,12 +62,23 @@ class CleaningRules:
 
 
 def dpe_inference(dpe: Column, low_text: Column, rules: CleaningRules) -> Column:
-    """T6 cascade for the energy class (null-only rules)."""
-    missing = dpe.isNull()
-    steps = [(missing & any_contains(low_text, needles), label) for needles, label in rules.dpe_rules]
-    unknown = any_contains(low_text, rules.dpe_unknown) | ~low_text.contains("dpe") | low_text.isNull()
-    steps.append((missing & unknown, DPE_UNKNOWN_LABEL))
-    return cascade(steps, dpe)
+    """T6 cascade for the energy class (null-only rules).
+
+    Every needle contains "dpe", so a text without it (or a missing text)
+    goes straight to the unknown label and skips the needle tests; the
+    result equals the plain first-match cascade.
+    """
+    needles = [n for ns, _ in rules.dpe_rules for n in ns] + list(rules.dpe_unknown)
+    assert all("dpe" in n for n in needles), "every energy-class needle must contain 'dpe'"
+    has = low_text.contains("dpe")
+    steps = [(any_contains(low_text, ns), label) for ns, label in rules.dpe_rules]
+    steps.append((any_contains(low_text, rules.dpe_unknown), DPE_UNKNOWN_LABEL))
+    inferred = cascade(steps, None)
+    return (
+        F.when(dpe.isNotNull(), dpe)
+        .when(low_text.isNull() | ~has, F.lit(DPE_UNKNOWN_LABEL))
+        .otherwise(inferred)
+    )
 
 
 def band_index(area: Column, edges: Sequence[float]) -> list[Column]:
@@ -121,9 +132,11 @@ def clean_listings(df: DataFrame, rules: CleaningRules | None = None, drop_bad:
         s3 = s2.withColumns({"pieces": rooms.cast("double")})
     else:
         s3 = _fill_rooms_from_data(s2, r.room_edges)
-    top = F.when(F.col("etage").isNull() & any_contains(F.col("__low"), r.top_floor_words), F.lit(TOP_FLOOR_VALUE)).otherwise(
-        F.col("etage")
-    )
+    # Every top-floor phrase contains "tage": one test skips the others.
+    assert all("tage" in w for w in r.top_floor_words)
+    low = F.col("__low")
+    hit = low.contains("tage") & any_contains(low, r.top_floor_words)
+    top = F.when(F.col("etage").isNull() & hit, F.lit(TOP_FLOOR_VALUE)).otherwise(F.col("etage"))
     s4 = s3.withColumns({"etage": top})
     kind = F.col("type_bien")
     default = cascade([(F.col("etage").isNull() & (kind == t), v) for t, v in r.floor_defaults.items()], F.col("etage"))

@@ -58,6 +58,11 @@ def price_vs_area(df: DataFrame) -> DataFrame:
 
 
 def market_report(df: DataFrame) -> dict[str, DataFrame]:
+    """All statistics over one input, persisted once (every statistic reads
+    it; the caller unpersists when done)."""
+    from hestia.operators.relational import cached
+
+    df = cached(df)
     return {
         "type_share": type_share(df),
         "price_histogram": price_histogram(df),
