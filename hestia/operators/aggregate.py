@@ -186,9 +186,10 @@ def histogram(df: DataFrame, col: ColumnOrName, bins: int, digits: int = 4) -> D
     """
     c = _c(col).cast("double")
     vals = df.select(c.alias("__x")).filter(F.col("__x").isNotNull())
-    bounds = vals.agg(F.min("__x").alias("lo"), F.max("__x").alias("hi"))
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
+    # One scalar subquery (one scan) for both bounds.
+    bounds = vals.agg(F.struct(F.min("__x").alias("lo"), F.max("__x").alias("hi")).alias("b")).scalar()
+    lo = bounds.getField("lo")
+    hi = bounds.getField("hi")
     width = (hi - lo) / F.lit(bins)
     idx = F.least(
         F.coalesce(F.floor(F.try_divide(F.col("__x") - lo, width)), F.lit(0)),

@@ -109,8 +109,9 @@ def tail_rows(df: DataFrame, cols: Sequence[str], p: float = 0.99, exact: bool =
         (F.percentile(c, p) if exact else F.percentile_approx(c, p, accuracy)).cast("double").alias(f"q_{c}")
         for c in cols
     ]
-    q = df.agg(*aggs)
-    hits = [F.when(F.col(c) >= q.select(f"q_{c}").scalar(), F.lit(c)) for c in cols]
+    # One scalar subquery (one scan) carrying every threshold.
+    q = df.agg(F.struct(*aggs).alias("q")).scalar()
+    hits = [F.when(F.col(c) >= q.getField(f"q_{c}"), F.lit(c)) for c in cols]
     out = df.withColumn("tail_columns", F.array_compact(F.array(*hits)))
     return out.filter(F.size("tail_columns") > 0)
 
