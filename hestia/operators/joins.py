@@ -53,7 +53,10 @@ def enrich(
     small, so a hot key on the fact side never lands in one shuffle task.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    d = dim.select(*keys, *cols).dropDuplicates(keys)
+    # One whole row per key, chosen deterministically (the smallest).
+    d = dim.groupBy(*keys).agg(F.min(F.struct(*cols)).alias("__d")).select(*keys, "__d.*")
+    # If the dimension is too big to broadcast, the shuffle join relies on
+    # AQE skew-join splitting for a hot fact key.
     return df.join(small_side(d, max_rows), keys, "left")
 
 

@@ -76,7 +76,7 @@ A1 AS (SELECT * REPLACE (trim(regexp_replace({fold('ville')}, '\s*\d+e\b', '', '
 A2 AS (SELECT * REPLACE ({_alias_case()} AS ville) FROM A1),
 A3 AS (SELECT * REPLACE (CASE WHEN type_bien = 'maison' THEN 'MAISON' WHEN etage = 0 THEN 'RDC'
                               ELSE CAST(etage AS VARCHAR) END AS etage) FROM A2),
-A4 AS (SELECT A3.*, d.code_postal FROM A3 LEFT JOIN (SELECT ville, any_value(code_postal) AS code_postal
+A4 AS (SELECT A3.*, d.code_postal FROM A3 LEFT JOIN (SELECT ville, min(code_postal) AS code_postal
                                                      FROM DIM2 GROUP BY ville) d ON A3.ville = d.ville),
 B AS (SELECT prix, lower(type_bien) AS type_clean,
              CASE WHEN lower(type_bien) = 'maison' THEN 'MAISON' WHEN etage = 0 THEN 'RDC'
