@@ -285,6 +285,19 @@ def esc(c):
     return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
+CARDS_PER_PAGE = 4
+
+
+def _paged(v):
+    """Assign ads to result pages by a content hash (MD5 of link and
+    title) over ``ceil(N / 4)`` pages: a page holds a small Poisson-sized
+    number of ads whatever the skew of any business key, so the per-page
+    list below stays bounded."""
+    n_pages = v.agg(F.ceil(F.count(F.lit(1)) / CARDS_PER_PAGE).cast("bigint").alias("n")).scalar()
+    h = F.conv(F.substr(F.md5(F.concat_ws("|", "lien", "titre")), F.lit(1), F.lit(15)), 16, 10).cast("bigint")
+    return v.withColumn("__h", h).withColumn("__page", F.pmod(F.col("__h"), n_pages))
+
+
 def _ad_keys(v):
     seg = F.element_at(F.split("lien", "/"), -1)
     return v.withColumn("__seg", seg).withColumn("__ok", F.split_part(seg, F.lit("-"), F.lit(1)).cast("bigint")).withColumn(
@@ -367,9 +380,8 @@ def card_pages(spark, sf):
         span(_card_date(F.col("__ok"))),
         F.lit("</div>"),
     )
-    # At most seven ads per order: a bounded list per page.
-    g = v.groupBy(F.col("__ok").alias("page_id")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__ln"), F.col("__seg"), F.col("prix"), F.col("titre"), card.alias("c")))), lambda s: s["c"]), "").alias("cards")
+    g = _paged(v).groupBy(F.col("__page").alias("page_id")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__h"), F.col("__seg"), F.col("prix"), F.col("titre"), card.alias("c")))), lambda s: s["c"]), "").alias("cards")
     )
     return g.select("page_id", F.concat(F.lit("<html><body>"), F.col("cards"), F.lit("</body></html>")).alias("html"))
 
@@ -383,10 +395,13 @@ def _sql_card_text() -> str:
 
 
 WS = r"[\s\x{a0}\x{202f}]"
-CARD_SQL = rf""", K AS (SELECT *, string_split(lien, '/')[-1] AS seg,
+PAGED_SQL = """, K0 AS (SELECT *, string_split(lien, '/')[-1] AS seg,
                   CAST(split_part(string_split(lien, '/')[-1], '-', 1) AS BIGINT) AS ok,
-                  CAST(split_part(string_split(lien, '/')[-1], '-', 2) AS INTEGER) AS ln FROM V),
-C AS (SELECT ok AS page_id, row_number() OVER (PARTITION BY ok ORDER BY ln, seg, prix, titre) AS block_no, seg AS id, titre,
+                  CAST('0x' || substr(md5(lien || '|' || titre), 1, 15) AS BIGINT) AS h FROM V),
+K AS (SELECT *, h % (SELECT CAST(ceil(count(*) / 4) AS BIGINT) FROM V) AS pg FROM K0)"""
+
+CARD_SQL = PAGED_SQL + rf""",
+C AS (SELECT pg AS page_id, row_number() OVER (PARTITION BY pg ORDER BY h, seg, prix, titre) AS block_no, seg AS id, titre,
              {_sql_card_text()} AS texte FROM K)
 SELECT page_id, block_no, id, titre,
   nullif(regexp_replace(regexp_extract(texte, '([\d\s\x{{a0}}\x{{202f}}]+€)', 1), '^{WS}+|{WS}+$', '', 'g'), '') AS prix,
@@ -422,8 +437,8 @@ def price_card_pages(spark, sf):
         F.lit('<span class="css-jeruic">'), kind, F.lit("</span>"), details,
         F.lit('<span class="css-1bola4h">'), F.col("ville"), F.lit("</span></div>"),
     )
-    g = v.groupBy(F.col("__ok").alias("page_id")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__ln"), F.col("__seg"), F.col("prix"), F.col("titre"), card.alias("c")))), lambda s: s["c"]), "").alias("cards")
+    g = _paged(v).groupBy(F.col("__page").alias("page_id")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__h"), F.col("__seg"), F.col("prix"), F.col("titre"), card.alias("c")))), lambda s: s["c"]), "").alias("cards")
     )
     return g.select("page_id", F.concat(F.lit("<html><body>"), F.col("cards"), F.lit("</body></html>")).alias("html"))
 
@@ -431,11 +446,9 @@ def price_card_pages(spark, sf):
 @register(
     "price_cards",
     v=True,
-    sql=""", K AS (SELECT *, string_split(lien, '/')[-1] AS seg,
-                  CAST(split_part(string_split(lien, '/')[-1], '-', 1) AS BIGINT) AS ok,
-                  CAST(split_part(string_split(lien, '/')[-1], '-', 2) AS INTEGER) AS ln FROM V)
+    sql=PAGED_SQL + """
 SELECT page_id, block_no, prix, type_de_bien, details, zone FROM (
-  SELECT ok AS page_id, row_number() OVER (PARTITION BY ok ORDER BY ln, seg, prix, titre) AS block_no, DPE,
+  SELECT pg AS page_id, row_number() OVER (PARTITION BY pg ORDER BY h, seg, prix, titre) AS block_no, DPE,
          CAST(CAST(floor(prix) AS BIGINT) AS VARCHAR) AS prix,
          replace(concat_ws(', ', type_bien, CAST(CAST(surface AS INTEGER) AS VARCHAR) || ' m²'), ',', ' ') AS type_de_bien,
          coalesce(CAST(pieces AS VARCHAR) || ' pièces, ' || coalesce(CAST(etage AS VARCHAR), '?') || ' étage',
