@@ -485,9 +485,10 @@ def q_ingest_pages(spark, sf):
 @register(
     "card_dates_typed",
     v=True,
-    sql=""", K AS (SELECT CAST(split_part(string_split(lien, '/')[-1], '-', 1) AS BIGINT) AS ok FROM V),
+    sql=""", K AS (SELECT ville, CAST(split_part(string_split(lien, '/')[-1], '-', 1) AS BIGINT) AS ok FROM V),
 D AS (SELECT 'publié le ' || lpad(CAST(ok % 28 + 1 AS VARCHAR), 2, '0') || '/' || lpad(CAST(ok % 12 + 1 AS VARCHAR), 2, '0')
-             || '/' || CAST(ok % 5 + 2020 AS VARCHAR) || ', ' || CAST(ok % 97 AS VARCHAR) || ' (69)' AS t FROM K)
+             || '/' || CAST(ok % 5 + 2020 AS VARCHAR) || ', ' || translate(ville, '_0123456789', '-abcdefghij') || ' (69)' AS t
+      FROM K)
 SELECT CAST(try_strptime(regexp_extract(t, '(\\d{2}/\\d{2}/\\d{4})', 1), '%d/%m/%Y') AS DATE) AS date,
        coalesce(nullif(trim(regexp_extract(t, '([A-ZÀ-Ÿa-zà-ÿ\\-\\s]+)\\s*\\((\\d{2})\\)', 0)), ''), 'Lyon') AS place,
        count(*) AS count FROM D GROUP BY 1, 2""",
@@ -496,7 +497,8 @@ def q_card_dates_typed(spark, sf):
     """Typed date capture and capture-with-default on ad text."""
     v = _ad_keys(listing_view(spark, sf))
     ok = F.col("__ok")
-    t = F.concat(F.lit("publié le "), _card_date(ok), F.lit(", "), (ok % 97).cast("string"), F.lit(" (69)"))
+    place = F.translate("ville", "_0123456789", "-abcdefghij")
+    t = F.concat(F.lit("publié le "), _card_date(ok), F.lit(", "), place, F.lit(" (69)"))
     d = v.select(t.alias("t"))
     from hestia.operators.aggregate import group_count
 
