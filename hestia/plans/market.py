@@ -39,10 +39,11 @@ def top_cities(df: DataFrame, k: int = 10, pinned: str = "lyon") -> DataFrame:
 
 def top_per_type(df: DataFrame, k: int = 10, kinds=("maison", "appart")) -> DataFrame:
     """Top-k ads by price for each kind (substring of the type, any case)."""
-    parts = None
-    for kind in kinds:
-        sel = df.filter(F.lower("type_bien").contains(kind)).withColumn("kind", F.lit(kind))
-        parts = sel if parts is None else parts.unionByName(sel)
+    # One pass over the input: each row carries the kinds it matches (a row
+    # may match several), exploded, then ranked per kind.
+    low = F.lower("type_bien")
+    matched = F.array_compact(F.array(*[F.when(low.contains(k), F.lit(k)) for k in kinds]))
+    parts = df.withColumn("kind", F.explode(matched))
     order = [("prix", "desc")] + [(c, "asc") for c in df.columns if c != "prix"]
     return O.top_k_per(parts, ["kind"], order, k)
 
