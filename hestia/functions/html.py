@@ -71,10 +71,11 @@ def _open_tag(tag: str, cls: str | None = None, id_: str | None = None) -> str:
     """Opening-tag pattern, case-insensitive inside its own group only."""
     attrs = ""
     if cls:
-        attrs = r"""[^>]*\bclass\s*=\s*"[^"]*\b%s\b[^"]*\"""" % re.escape(cls)
+        # Tag and attribute names ignore case; class values do not (HTML).
+        attrs = r"""[^>]*(?i:\bclass)\s*=\s*"[^"]*\b%s\b[^"]*\"""" % re.escape(cls)
     elif id_:
-        attrs = r"""[^>]*\bid\s*=\s*"%s\"""" % re.escape(id_)
-    return r"(?i:<%s\b%s[^>]*>)" % (tag, attrs)
+        attrs = r"""[^>]*(?i:\bid)\s*=\s*"%s\"""" % re.escape(id_)
+    return r"(?i:<%s\b)%s[^>]*>" % (tag, attrs)
 
 
 def _body(tag: str) -> str:
@@ -90,7 +91,12 @@ def element_html(col: ColumnOrName, tag: str, cls: str | None = None, id_: str |
     """Inner HTML of the first ``<tag>`` (with class/id) up to its closing
     tag; null when absent. One regex pass over the page."""
     pattern = _open_tag(tag, cls, id_) + _body(tag)
-    return F.regexp_extract(F.regexp_substr(_c(col), F.lit(pattern)), pattern, 1)
+    c = _c(col)
+    found = F.regexp_extract(F.regexp_substr(c, F.lit(pattern)), pattern, 1)
+    literal = cls or id_
+    # A page without the class (or id) literal cannot hold the element:
+    # a byte search skips the regex scan of the whole page.
+    return F.when(c.contains(literal), found) if literal else found
 
 
 def finish_text(inner: ColumnOrName) -> Column:
@@ -108,7 +114,9 @@ def nested_html(col: ColumnOrName, outer: tuple[str, str | None], inner: tuple[s
     """Inner HTML of the first ``inner`` element after the opening tag of
     the first ``outer`` element (one regex pass)."""
     pattern = _open_tag(*outer) + "(?s:.*?)" + _open_tag(*inner) + _body(inner[0])
-    return F.regexp_extract(F.regexp_substr(_c(col), F.lit(pattern)), pattern, 1)
+    c = _c(col)
+    found = F.regexp_extract(F.regexp_substr(c, F.lit(pattern)), pattern, 1)
+    return F.when(c.contains(outer[1]), found) if outer[1] else found
 
 
 def nested_text(col: ColumnOrName, outer: tuple[str, str | None], inner: tuple[str, str | None]) -> Column:
