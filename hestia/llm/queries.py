@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hestia.llm import bpe, simhash
+from hestia.llm import bpe, contamination, ledger, simhash
 from hestia.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,63 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ledger.scan(table(spark, sf_dir, "documents"), content="text", keep=["doc_id"])
+    base = F.filter("spans", lambda x: x["rank"] < len(ledger.BASE_RULES))
+    counts = [ledger.count_of(F.col("spans"), r.kind).alias(f"n_{r.kind}") for r in ledger.BASE_RULES]
+    return found.select("doc_id", *counts, F.sha2(ledger.joined(base), 256).alias("base_sha256"), ledger.joined(F.col("spans")).alias("spans"))
+
+
+def _op1_rule(rank: int, rule: ledger.Rule) -> str:
+    pattern = rule.pattern.replace("'", "''")
+    return f"""SELECT doc_id, {rank} AS rank, '{rule.kind}' AS kind, {rule.at_least} AS at_least,
+      string_split_regex(x, '{pattern}') AS parts, regexp_extract_all(x, '{pattern}', 0) AS found,
+      regexp_extract_all(x, '{pattern}', {rule.group}) AS vals FROM t"""
+
+
+ORACLES["op1_secrets"] = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
+r AS ({' UNION ALL '.join(_op1_rule(i, r) for i, r in enumerate(ledger.RULES))}),
+i AS (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM r),
+s AS (SELECT doc_id, rank, kind, length(found[i]) AS size,
+    list_sum(list_transform(parts[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(found[1:i-1], lambda p: length(p))), 0) AS b
+  FROM i WHERE length(vals[i]) >= at_least),
+j AS (SELECT doc_id, rank, kind, b, kind || ':' || CAST(b AS BIGINT) || ':' || CAST(b + size AS BIGINT) AS span FROM s),
+g AS (SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+    string_agg(span, ',' ORDER BY b, rank) FILTER (rank < {len(ledger.BASE_RULES)}) AS base, string_agg(span, ',' ORDER BY b, rank) AS spans FROM j GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN g ON t.doc_id = g.doc_id"""
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
+
+
+_OP5_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLES["op5_decontamination"] = f"""
+WITH b AS (SELECT item_id, {_OP5_WORDS} AS w FROM benchmark),
+bw AS (SELECT item_id, w, least(10, len(w)) AS size FROM b WHERE len(w) > 0),
+bi AS (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM bw),
+win AS (SELECT DISTINCT item_id, size, array_to_string(w[i:i+size-1], ' ') AS g FROM bi),
+d AS (SELECT doc_id, {_OP5_WORDS} AS w FROM documents),
+k AS (SELECT DISTINCT size FROM win),
+di AS (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, k),
+dg AS (SELECT doc_id, i, size, array_to_string(w[i:i+size-1], ' ') AS g FROM di),
+h AS (SELECT doc_id, i, dg.size, item_id FROM dg JOIN win ON dg.g = win.g AND dg.size = win.size),
+p AS (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS at FROM h),
+n AS (SELECT doc_id, count(*) AS n_hit FROM p GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN m ON d.doc_id = m.doc_id"""
+
+
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
