@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hestia.llm import bpe, contamination, ledger, simhash
+from hestia.llm import bpe, contamination, ledger, merkle, simhash
 from hestia.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,12 @@ SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM t LEFT JOIN g ON t.doc_id = g.doc_id"""
 
 
+@query
+def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.compare_with_edits(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 @query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
