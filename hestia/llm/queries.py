@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hestia.llm import bpe, contamination, ledger, merkle, simhash
-from hestia.llm.common import table
+from hestia.llm import bpe, contamination, language, ledger, licences, merkle, simhash
+from hestia.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,6 +49,13 @@ SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM t LEFT JOIN g ON t.doc_id = g.doc_id"""
 
 
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", language.held_out(crc_of_id()).alias("held_out"))
+    learned = language.learn(docs.where("not held_out"))
+    return language.classify(docs, learned, keep=["doc_id", "held_out"])
+
+
 @query
 def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.compare_with_edits(table(spark, sf_dir, "documents"))
@@ -74,7 +81,7 @@ k AS (SELECT DISTINCT size FROM win),
 di AS (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, k),
 dg AS (SELECT doc_id, i, size, array_to_string(w[i:i+size-1], ' ') AS g FROM di),
 h AS (SELECT doc_id, i, dg.size, item_id FROM dg JOIN win ON dg.g = win.g AND dg.size = win.size),
-p AS (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS at FROM h),
+p AS (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS pos FROM h),
 n AS (SELECT doc_id, count(*) AS n_hit FROM p GROUP BY doc_id),
 m AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM h) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
@@ -88,6 +95,37 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licences(table(spark, sf_dir, "documents"))
+
+
+_OP8_WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_OP8_PHRASES = ", ".join(f"('{a}', {b.split()!r})" for a, b in licences.PHRASES)
+_OP8_TEMPLATES = ", ".join(f"({i}, '{a}', {b.split()!r})" for i, (a, b) in enumerate(licences.TEMPLATES))
+ORACLES["op8_licences"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS x, {_OP8_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+ph(label, p) AS (VALUES {_OP8_PHRASES}),
+i AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d WHERE list_contains(w, 'license')),
+base AS (SELECT doc_id, i - 1 AS pos, label FROM i, ph WHERE w[i:i+len(p)-1] = p),
+tp(t, label, w) AS (VALUES {_OP8_TEMPLATES}),
+ti AS (SELECT t, label, w, unnest(range(1, len(w))) AS i FROM tp),
+tpair AS (SELECT DISTINCT t, label, w[i] || ' ' || w[i+1] AS pair FROM ti),
+tn AS (SELECT t, label, count(*) AS n FROM tpair GROUP BY t, label),
+ln AS (SELECT doc_id, unnest(string_split(x, chr(10))) AS line FROM d),
+lw AS (SELECT doc_id, row_number() OVER () AS b, {_OP8_WORDS.format("line")} AS w FROM ln),
+li AS (SELECT doc_id, b, w, unnest(range(1, len(w))) AS i FROM lw),
+lp AS (SELECT DISTINCT doc_id, b, w[i] || ' ' || w[i+1] AS pair FROM li),
+o AS (SELECT doc_id, b, t, count(*) AS hit FROM lp JOIN tpair ON lp.pair = tpair.pair GROUP BY doc_id, b, t),
+more AS (SELECT doc_id, label, hit / n AS c FROM o JOIN tn ON o.t = tn.t WHERE hit >= ceil({licences.THRESHOLD} * n - 1e-9)),
+bs AS (SELECT doc_id, count(*) AS n_base, min(pos) AS f, max(pos) AS l, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY doc_id),
+ms AS (SELECT doc_id, max(c) AS c FROM more GROUP BY doc_id),
+al AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM base UNION ALL SELECT doc_id, label FROM more) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, f AS first_word, l AS last_word, coalesce(bs.labels, '') AS base_labels,
+  coalesce(al.labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(c, 0.0)::DOUBLE END AS score
+FROM d LEFT JOIN bs ON d.doc_id = bs.doc_id LEFT JOIN ms ON d.doc_id = ms.doc_id LEFT JOIN al ON d.doc_id = al.doc_id"""
+
+
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
