@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hestia.llm import bpe, contamination, language, ledger, licences, merkle, simhash
+from hestia.llm import bpe, contamination, language, ledger, licences, merkle, simhash, toxicity
 from hestia.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,6 +126,14 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_bas
 FROM d LEFT JOIN bs ON d.doc_id = bs.doc_id LEFT JOIN ms ON d.doc_id = ms.doc_id LEFT JOIN al ON d.doc_id = al.doc_id"""
 
 
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", toxicity.held_out(crc_of_id()).alias("held_out"))
+    labels = table(spark, sf_dir, "labels").where(~toxicity.held_out(crc_of_id()))
+    found = toxicity.score(docs, toxicity.learn(docs, labels), keep=["doc_id", "held_out"])
+    return found.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
