@@ -267,54 +267,58 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encoded_type(digest: bool) -> str:
-    return (
-        "n_tokens long, ids_sha256 string, decoded_sha256 string"
-        if digest
-        else "ids array<int>, offsets array<int>"
-    )
+#: What ``encode`` can return for a text.
+OUTPUTS = {
+    "n_tokens": ("long", pa.int64()),
+    "ids": ("array<int>", pa.list_(pa.int32())),
+    "offsets": ("array<int>", pa.list_(pa.int32())),
+    "ids_sha256": ("string", pa.string()),
+    "decoded_sha256": ("string", pa.string()),
+}
 
 
-def _encoded(path: str, digest: bool):
+def _encoded(path: str, outputs: list[str], names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
         for batch in batches:
             *rest, text = batch.columns
-            texts = [t or "" for t in text.to_pylist()]
-            rows: list[tuple] = []
-            for groups, begin in e.encode(texts):
+            rows: dict[str, list] = {x: [] for x in outputs}
+            for groups, begin in e.encode([t or "" for t in text.to_pylist()]):
                 ids = [i for g, _ in groups for i in g]
-                if digest:
-                    rows.append((
-                        len(ids),
-                        hashlib.sha256(" ".join([decimal for _, decimal in groups]).encode()).hexdigest(),
-                        hashlib.sha256(e.decode(ids)).hexdigest(),
-                    ))
-                else:
-                    rows.append((ids, [b for (g, _), b in zip(groups, begin) for _ in g]))
-            kinds = [pa.int64(), pa.string(), pa.string()] if digest else [pa.list_(pa.int32())] * 2
-            made = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
-            names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digest else ["ids", "offsets"]
+                for name, held in rows.items():
+                    if name == "n_tokens":
+                        held.append(len(ids))
+                    elif name == "ids":
+                        held.append(ids)
+                    elif name == "offsets":
+                        held.append([b for (g, _), b in zip(groups, begin) for _ in g])
+                    elif name == "ids_sha256":
+                        held.append(hashlib.sha256(" ".join([decimal for _, decimal in groups]).encode()).hexdigest())
+                    else:
+                        held.append(hashlib.sha256(e.decode(ids)).hexdigest())
+            made = [pa.array(held, OUTPUTS[name][1]) for name, held in rows.items()]
             yield pa.RecordBatch.from_arrays([*rest, *made], names=[*batch.schema.names[:-1], *names])
 
     return run
 
 
-def encode(df: DataFrame, path: str, *, text: str = "text", keep: list[str], digest: bool = False) -> DataFrame:
-    """Ids of every whole text; one row for each row of ``df``, with the columns ``keep``.
+def encode(df: DataFrame, path: str, *, text: str = "text", keep: list[str], outputs: tuple[str, ...] = ("ids", "offsets"), prefix: str = "") -> DataFrame:
+    """Ids of every whole text; one row for each row of ``df``, with the columns ``keep`` and, named after ``prefix``, ``outputs``.
 
-    ``ids`` and ``offsets`` (code point at which the slice of each id starts)
-    or, with ``digest``, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``
-    (of the bytes that decoding the ids gives). A null text counts as empty
-    and has no ids; repeated rows are encoded each; an empty table gives an
-    empty one; other columns than ``keep`` are not read. ``path`` must name
-    the rank file on every executor.
+    ``ids``, ``offsets`` (code point at which the slice of each id starts),
+    ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` (of the bytes that
+    decoding the ids gives). A null text counts as empty and has no ids;
+    repeated rows are encoded each; an empty table gives an empty one; other
+    columns than ``keep`` are not read, and ``prefix`` keeps the names of the
+    outputs from clashing with them. ``path`` must name the rank file on every
+    executor.
     """
     from pyspark.sql.types import StructType
 
     chosen = df.select(*keep, F.col(text).alias("__text"))
-    fields = StructType([*chosen.schema.fields[:-1], *StructType.fromDDL(encoded_type(digest)).fields])
-    return chosen.mapInArrow(_encoded(path, digest), fields)
+    names = [f"{prefix}{x}" for x in outputs]
+    made = StructType.fromDDL(", ".join(f"`{n}` {OUTPUTS[x][0]}" for n, x in zip(names, outputs)))
+    return chosen.mapInArrow(_encoded(path, list(outputs), names), StructType([*chosen.schema.fields[:-1], *made.fields]))
 
 
 def decode(ids: Column, path: str) -> Column:

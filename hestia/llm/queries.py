@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hestia.llm import bpe, contamination, language, ledger, licences, merkle, simhash, toxicity
+from hestia.llm import bpe, contamination, htmltree, language, ledger, licences, merkle, simhash, toxicity, warc
 from hestia.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,11 @@ SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM t LEFT JOIN g ON t.doc_id = g.doc_id"""
 
 
+@query
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltree.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 @query
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", language.held_out(crc_of_id()).alias("held_out"))
@@ -89,6 +94,24 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN m ON d.doc_id = m.doc_id"""
 
 
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archive_and_read(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")
+
+
+_OP6_DIGITS = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (CAST('0x' || substr(h, {5 * i + 1}, 5) AS INTEGER) >> {s}) % 32 + 1, 1)" for i in range(8) for s in (15, 10, 5, 0)
+)
+ORACLES["op6_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS x, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT x, max(page_id) AS last FROM p GROUP BY x)
+SELECT page_id, CAST(octet_length(encode(p.x)) AS BIGINT) AS payload_bytes, {_OP6_DIGITS} AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to, CAST(NULL AS VARCHAR) AS problem
+FROM p JOIN g ON p.x = g.x"""
+
+
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
@@ -138,4 +161,4 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
-    return bpe.encode(table(spark, sf_dir, "documents"), path("byte_bpe_50k.tiktoken"), keep=["doc_id"], digest=True)
+    return bpe.encode(table(spark, sf_dir, "documents"), path("byte_bpe_50k.tiktoken"), keep=["doc_id"], outputs=("n_tokens", "ids_sha256", "decoded_sha256"))

@@ -235,8 +235,8 @@ def one_of_each(docs: DataFrame, *, shingle: int = 3, radius: int = 2) -> DataFr
     one of the smallest text hash stays; rows that also agree in their text
     are one document.
     """
-    keyed = docs.withColumns({"__id": F.coalesce("doc_id", F.lit(-1)), "__text": F.xxhash64("text")})
-    found = near_duplicates(keyed, keep=["__id", "__text"], shingle=shingle, radius=radius)
-    first = F.min(F.struct(F.col("doc_id").isNull(), "__id", "__text")).alias("first")
-    kept = found.groupBy("root").agg(first).select("first.__id", "first.__text")
-    return keyed.join(kept, ["__id", "__text"], "left_semi").dropDuplicates(["__id", "__text"]).select(docs.columns)
+    keyed = docs.withColumns({"__id": F.coalesce("doc_id", F.lit(-1)), "__hash": F.xxhash64("text")})
+    found = near_duplicates(keyed, keep=["__id", "__hash"], shingle=shingle, radius=radius)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "__id", "__hash")).alias("first")
+    kept = found.groupBy("root").agg(first).select("first.__id", "first.__hash")
+    return keyed.join(kept, ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"]).select(docs.columns)
