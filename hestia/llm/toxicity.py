@@ -28,6 +28,8 @@ LABELLED, TERMS = 20_000, 5_000
 PURITY, STEM_WORDS, STEM_LETTERS, STEM_MOST = 0.85, 3, 4, 10
 #: Letters from which a term may differ in one edit; weight of such a find; words around a find that are its context.
 FUZZY_FROM, FUZZY_WEIGHT, CONTEXT = 5, 0.8, 8
+#: Sums of weights above this count as this: one sure find in a plain context is halfway.
+CAP = 2.0
 #: Words that a worker remembers at most.
 CACHE_ENTRIES = 500_000
 
@@ -215,7 +217,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
         counts.unpersist()
         model = {"words": terms, "stems": short}
         scored = _mapped(rows.select("y", "t"), model, None, ["y"], "t")
-        levels = scored.groupBy(F.round(F.least("x", F.lit(4.0)), 1).alias("x"), "y").agg(F.count("*").alias("n")).collect()
+        levels = scored.groupBy(F.round(F.least("x", F.lit(CAP)), 1).alias("x"), "y").agg(F.count("*").alias("n")).collect()
         model["curve"] = fitted([(r.x, r.y, r.n) for r in levels])
         return model
     finally:
@@ -271,7 +273,7 @@ def _mapped(df: DataFrame, model: dict, curve: tuple[float, float] | None, keep:
             x = [lexicon.abuse(t) if t else 0.0 for t in texts.to_pylist()]
             if curve:
                 a, b = curve
-                x = [1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * min(v, 4.0))))) for v in x]
+                x = [1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * min(v, CAP))))) for v in x]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(x, pa.float64())], names=[*batch.schema.names[:-1], "x"])
 
     chosen = df.select(*keep, F.col(text).alias("__text"))
