@@ -279,13 +279,14 @@ def context_matches(
     col: ColumnOrName,
     word_pattern: str = "[eéE]tage",
     width: int = 20,
-    guard: str | None = "tage",
+    guard: str | None = None,
     low: Column | None = None,
 ) -> Column:
     """Every match of the word with up to ``width`` chars each side.
 
-    ``guard`` is a lower-case substring every match must contain; texts
-    without it skip the (backtracking) regex scan entirely.
+    ``guard`` is a lower-case substring that every match of *this* word
+    pattern contains (``tage`` for the default one); texts without it skip
+    the (backtracking) regex scan. Without a guard every text is scanned.
     """
     c = _c(col)
     found = F.regexp_extract_all(c, F.lit(context_pattern(word_pattern, width)), 0)

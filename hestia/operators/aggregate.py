@@ -8,9 +8,9 @@ histogram bounds) are scalar subqueries, not cross joins or global windows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hestia.functions.text import ColumnOrName, _c
@@ -53,11 +53,18 @@ def group_stats(
     """Mean, median and count of ``value`` per group.
 
     ``exact=False`` uses ``percentile_approx`` (bounded sketch per group);
-    ``exact=True`` uses ``percentile`` (value→count map per group, so its
-    memory follows the number of distinct values of the hottest group).
+    ``exact=True`` selects the exact median within the narrow range that the
+    sketch leaves open (see ``exact_quantiles``).
     """
     v = _c(value)
-    med = F.percentile(v, 0.5) if exact else F.percentile_approx(v, 0.5, accuracy)
+    if exact:
+        names = [k if isinstance(k, str) else f"__k{i}" for i, k in enumerate(keys)]
+        rows = df.select(*[_c(k).alias(n) for k, n in zip(keys, names)], v.alias("__v"))
+        q = exact_quantiles(rows, names, "__v", [0.5], accuracy)
+        g = rows.groupBy(*names).agg(F.avg("__v").alias("moyenne"), F.count(F.lit(1)).alias("nb_obs"))
+        j = _join_on(g, q, names, "left").select(*names, "moyenne", F.col("values")[0].alias("mediane"), "nb_obs")
+        return j if digits is None else j.withColumns({c: F.round(c, digits) for c in ("moyenne", "mediane")})
+    med = F.percentile_approx(v, 0.5, accuracy)
     mean = F.avg(v)
     if digits is not None:
         mean = F.round(mean, digits)
@@ -67,13 +74,61 @@ def group_stats(
     )
 
 
-def center(df: DataFrame, col: ColumnOrName, digits: int = 2) -> DataFrame:
+def center(df: DataFrame, col: ColumnOrName, digits: int | None = 2) -> DataFrame:
     """Global median (exact) and mean."""
-    c = _c(col)
-    return df.agg(
-        F.round(F.median(c), digits).alias("median"),
-        F.round(F.avg(c), digits).alias("mean"),
+    rows = df.select(_c(col).alias("__v"))
+    median = exact_quantiles(rows, [], "__v", [0.5]).select("values").scalar()
+    out = rows.agg(F.avg("__v").alias("mean")).select(median[0].alias("median"), "mean")
+    return out if digits is None else out.select(*[F.round(c, digits).alias(c) for c in ("median", "mean")])
+
+
+def _join_on(a: DataFrame, b: DataFrame, names: Sequence[str], how: str) -> DataFrame:
+    """Join on key columns that may be null; the keys of ``a`` stay."""
+    b = b.withColumnsRenamed({n: f"__of_{n}" for n in names})
+    return a.join(b, [F.col(n).eqNullSafe(F.col(f"__of_{n}")) for n in names], how)
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """Exact interpolated quantiles per group: ``(keys…, values)``, an array in the order of ``probs``.
+
+    A sketch (``percentile_approx``: rank error at most n / accuracy) gives a
+    low and a high bound around each quantile. One pass counts the values
+    below the low bounds; the values between the bounds, at most some
+    thousandths of the rows, are counted per distinct value, and the ranks
+    wanted are read off their running counts. No task holds more than the
+    narrow range of its group. Nulls are left out; a group without values
+    has no row.
+    """
+    from pyspark.sql import Window
+
+    names = list(keys)
+    rows = df.select(*names, F.col(value).cast("double").alias("__x")).filter(F.col("__x").isNotNull())
+    slack = 2.0 / accuracy
+    around = [min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)]
+    found = F.percentile_approx("__x", around, accuracy)
+    bounds = F.transform(
+        F.sequence(F.lit(0), F.lit(len(probs) - 1)),
+        lambda i: F.struct(i.alias("i"), F.get(F.col("__b"), 2 * i).alias("lo"), F.get(F.col("__b"), 2 * i + 1).alias("hi")),
     )
+    per_group = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"), found.alias("__b")).select(*names, "__n", bounds.alias("__r"))
+    if names:
+        near = _join_on(rows, per_group, names, "inner").select(*names, "__x", "__n", F.explode("__r").alias("r"))
+    else:
+        one = per_group.select(F.struct("__n", "__r").alias("s")).scalar()
+        near = rows.select("__x", one["__n"].alias("__n"), F.explode(one["__r"]).alias("r"))
+    # Values below all become one entry, those above none.
+    at = F.when(F.col("__x") < F.col("r.lo"), F.lit(None).cast("double")).otherwise(F.col("__x"))
+    counts = near.filter(F.col("__x") <= F.col("r.hi")).groupBy(*names, "__n", F.col("r.i").alias("i"), at.alias("__at")).agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy(*names, "i").orderBy(F.col("__at").asc_nulls_first())
+    running = counts.withColumn("to", F.sum("c").over(w))
+    p = F.get(F.array(*[F.lit(float(x)) for x in probs]), F.col("i"))
+    place = p * (F.col("__n") - 1)
+    ranked = running.withColumns({"__place": place, "__low": F.floor(place), "__high": F.ceil(place)})
+    first = lambda rank: F.min(F.when(F.col("to") > F.col(rank), F.col("__at")))
+    each = ranked.groupBy(*names, "i").agg(first("__low").alias("a"), first("__high").alias("b"), F.max(F.col("__place") - F.col("__low")).alias("f"))
+    exact = F.when(F.col("f") == 0, F.col("a")).otherwise((1 - F.col("f")) * F.col("a") + F.col("f") * F.col("b"))
+    out = each.groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("i", exact.alias("v")))).alias("q"))  # one entry for each of ``probs``
+    return out.select(*names, F.transform("q", lambda x: x["v"]).alias("values"))
 
 
 def group_mean(df: DataFrame, key: str, value: ColumnOrName, name: str = "mean", digits: int = 4) -> DataFrame:
@@ -100,15 +155,21 @@ def quantiles(
     exact: bool = False,
     accuracy: int = DEFAULT_ACCURACY,
 ) -> DataFrame:
-    """A10: several quantiles of several columns in one aggregate, long form
-    ``(column_name, prob, value)``."""
+    """A10: several quantiles of several columns, long form
+    ``(column_name, prob, value)``: approximate ones in one aggregate, exact
+    ones with one ``exact_quantiles`` over (column, value) rows."""
+    if exact:
+        long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("__v")) for c in cols])).alias("r")).select("r.*")
+        at = F.array(*[F.lit(float(p)) for p in probs])
+        q = exact_quantiles(long, ["column_name"], "__v", probs, accuracy)
+        return q.select("column_name", F.inline(F.arrays_zip(at.alias("prob"), F.col("values").alias("value"))))
     aggs = []
     names = []
     for c in cols:
         for i, p in enumerate(probs):
             n = f"{c}__{i}"
             names.append((n, c, p))
-            q = F.percentile(c, p) if exact else F.percentile_approx(c, p, accuracy)
+            q = F.percentile_approx(c, p, accuracy)
             aggs.append(q.cast("double").alias(n))
     wide = df.agg(*aggs)
     parts = [
@@ -156,12 +217,18 @@ def duplicate_totals(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
 
 
 def duplicate_groups(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Every value group that occurs more than once, with its count."""
-    return (
-        df.groupBy(*cols)
-        .agg(F.count(F.lit(1)).alias("count"))
-        .filter(F.col("count") > 1)
-    )
+    """Every value group that occurs more than once, with its count, the
+    most frequent first.
+
+    Rows are grouped by a 256-bit hash of their values, so that long texts
+    aren't shuffled as keys; only those that occur more than once are then
+    fetched.
+    """
+    cols = list(cols)
+    keyed = df.select(*cols).withColumn("__h", F.unhex(F.sha2(F.to_json(F.struct(*cols)), 256)))
+    often = keyed.groupBy("__h").agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") > 1)
+    rows = keyed.join(often, "__h").groupBy("__h").agg(F.first(F.struct(*cols, "count")).alias("r")).select("r.*")
+    return rows.orderBy(F.desc("count"), *cols)
 
 
 def share(df: DataFrame, key: str, digits: int = 6) -> DataFrame:
@@ -208,25 +275,21 @@ def histogram(df: DataFrame, col: ColumnOrName, bins: int, digits: int = 4) -> D
     )
 
 
-def group_by_key(
-    df: DataFrame,
-    key: str,
-    value: str,
-    id_cols: Sequence[str],
-    max_items: int = 10000,
-) -> DataFrame:
-    """Values of each key gathered into lists of at most ~``max_items``.
+def group_by_key(df: DataFrame, key: str, value: str, id_cols: Sequence[str], chunks: int = 1) -> DataFrame:
+    """Values of each key gathered into ``chunks`` lists by a hash of the
+    row id columns and the value, whatever the key's size.
 
-    A key with many values is split into ``ceil(n / max_items)`` chunks by a
-    hash of the row id columns, so no single list (or task) has to hold a
-    hot key's values. Output: ``(key, chunk, values)``, values sorted.
+    Output ``(key, chunk, values)``, values sorted. Pick ``chunks`` so that
+    the largest key's values split into lists that fit a task; ``values_of``
+    gives long rows instead, without any list.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    n_chunks = F.greatest(F.ceil(F.col("__n") / F.lit(max_items)), F.lit(1))
-    salted = df.join(counts, key).withColumn(
-        "chunk", F.pmod(F.xxhash64(*[F.col(c) for c in id_cols]), n_chunks).cast("int")
-    )
-    return salted.groupBy(key, "chunk").agg(F.array_sort(F.collect_list(value)).alias("values"))
+    chunk = F.pmod(F.xxhash64(*[F.col(c) for c in id_cols], F.col(value)), F.lit(chunks)).cast("int")
+    return df.groupBy(key, chunk.alias("chunk")).agg(F.array_sort(F.collect_list(value)).alias("values"))
+
+
+def values_of(df: DataFrame, key: str, value: str) -> DataFrame:
+    """A16 without lists: ``(key, value)`` rows, sorted by both."""
+    return df.select(key, F.col(value).alias("value")).orderBy(key, "value")
 
 
 # Named folds with a partial (combinable) phase.
@@ -242,12 +305,35 @@ FOLDS = {
 }
 
 
-def reduce_by_key(df: DataFrame, key: str, value: ColumnOrName, op: str = "sum", name: str = "value") -> DataFrame:
-    """Fold the values of each key with an associative operation."""
+def reduce_by_key(
+    df: DataFrame,
+    key: str,
+    value: ColumnOrName,
+    op: str | None = "sum",
+    name: str = "value",
+    zero: Column | None = None,
+    merge: Callable[[Column, Column], Column] | None = None,
+    chunks: int = 256,
+) -> DataFrame:
+    """Fold the values of each key, with a named operation or with any
+    associative and commutative ``merge(a, b)`` and its neutral ``zero``.
+
+    A general fold runs in two steps, so that no key's values meet in one
+    list: ``chunks`` folds a key by a hash of the value and the row's place,
+    then one over their results.
+    """
+    if merge is not None:
+        if zero is None:
+            raise ValueError("a fold with merge needs its zero")
+        salt = F.pmod(F.xxhash64(_c(value), F.monotonically_increasing_id()), F.lit(chunks))
+        rows = df.select(key, _c(value).alias("__v"), salt.alias("__s"))
+        fold_all = lambda c: F.aggregate(F.collect_list(c), zero, merge)
+        parts = rows.groupBy(key, "__s").agg(fold_all("__v").alias("__p"))
+        return parts.groupBy(key).agg(fold_all("__p").alias(name))
     try:
         fold = FOLDS[op]
     except KeyError as e:
-        raise ValueError(f"unknown fold {op!r}; use one of {sorted(FOLDS)}") from e
+        raise ValueError(f"unknown fold {op!r}; use one of {sorted(FOLDS)}, or merge and zero") from e
     return df.groupBy(key).agg(fold(_c(value)).alias(name))
 
 
@@ -257,15 +343,13 @@ def group_value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFr
 
 
 def mode_per_group(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Most frequent value per group, ties to the smallest value.
+    """Most frequent value per group, ties to the smallest value, for
+    values of any type that can be ordered.
 
-    ``max_by`` over the already-aggregated (keys, value) counts: one more
+    A minimum over the already-aggregated (keys, value) counts: one more
     partial aggregate, no window, no list.
     """
     vc = group_value_counts(df, keys, value)
-    # Order key: higher count first, then smaller value.
-    return vc.groupBy(*keys).agg(
-        F.max_by(F.struct(F.col("count"), F.col(value)), F.struct(F.col("count"), -F.col(value)))
-        .alias("__m")
-    ).select(*keys, F.col(f"__m.{value}").alias(value), F.col("__m.count").alias("count"))
-
+    # Order: higher count first, then smaller value.
+    best = F.min(F.struct((-F.col("count")).alias("less"), F.col(value).alias("value")))
+    return vc.groupBy(*keys).agg(best.alias("__m")).select(*keys, F.col("__m.value").alias(value), (-F.col("__m.less")).alias("count"))

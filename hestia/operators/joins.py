@@ -10,25 +10,6 @@ from pyspark.sql import functions as F
 from hestia.functions.rules import cascade
 from hestia.functions.text import ColumnOrName, _c
 
-# Default ceiling for a broadcast side. The check is exact (bounded count).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``limit(max_rows + 1)`` bounds the work of the check: it stops reading
-    once the ceiling is passed, whatever the table's size.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only behind a size check; otherwise leave the choice
-    (shuffle hash / sort-merge, AQE re-plan) to Spark."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
 def unmatched_keys(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Distinct keys of ``a`` with no match in ``b`` (left anti)."""
     return a.select(key).distinct().join(b.select(key).distinct(), key, "left_anti")
@@ -44,20 +25,18 @@ def enrich(
     dim: DataFrame,
     key: str | Sequence[str],
     cols: Sequence[str],
-    max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Left join of a dimension's columns.
 
     The dimension is de-duplicated on the key first, so the join never
-    multiplies fact rows; it is broadcast only when its size is proven
-    small, so a hot key on the fact side never lands in one shuffle task.
+    multiplies fact rows. Whether it is broadcast is Spark's choice, by its
+    size in bytes (``spark.sql.autoBroadcastJoinThreshold``, checked again
+    at run time); beyond that, a hot fact key is split by the skew join.
     """
     keys = [key] if isinstance(key, str) else list(key)
     # One whole row per key, chosen deterministically (the smallest).
     d = dim.groupBy(*keys).agg(F.min(F.struct(*cols)).alias("__d")).select(*keys, "__d.*")
-    # If the dimension is too big to broadcast, the shuffle join relies on
-    # AQE skew-join splitting for a hot fact key.
-    return df.join(small_side(d, max_rows), keys, "left")
+    return df.join(d, keys, "left")
 
 
 def apply_aliases(col: ColumnOrName, mapping: Mapping[str, str]) -> Column:
@@ -66,11 +45,11 @@ def apply_aliases(col: ColumnOrName, mapping: Mapping[str, str]) -> Column:
     return cascade([(c == F.lit(old), new) for old, new in mapping.items()], c)
 
 
-def apply_aliases_join(df: DataFrame, col: str, aliases: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def apply_aliases_join(df: DataFrame, col: str, aliases: DataFrame) -> DataFrame:
     """J4, table form: ``aliases(alias, canonical)`` joined on the value."""
     a = aliases.select(F.col("alias").alias(col), "canonical").dropDuplicates([col])
     return (
-        df.join(small_side(a, max_rows), col, "left")
+        df.join(a, col, "left")
         .withColumn(col, F.coalesce("canonical", col))
         .drop("canonical")
     )

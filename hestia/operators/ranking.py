@@ -83,7 +83,15 @@ def top_k_with_pinned(
     needle: str,
 ) -> DataFrame:
     """Top-k rows by ``by`` plus the first row whose key contains
-    ``needle`` (case-insensitive), de-duplicated, sorted by ``by`` desc."""
-    top = df.orderBy(F.desc(by), F.asc(key)).limit(k)
-    pinned = df.filter(F.lower(F.col(key)).contains(needle.lower())).orderBy(F.asc(key)).limit(1)
-    return top.unionByName(pinned).distinct()
+    ``needle`` (case-insensitive), de-duplicated, sorted by ``by`` desc.
+
+    One read of ``df``: each row goes to the list of all rows and, if it
+    matches, to that of the pinned ones; both are limited before the
+    shuffle, and only k + 1 rows are left to sort."""
+    hit = F.lower(F.col(key)).contains(needle.lower())
+    lists = F.explode(F.array_compact(F.array(F.lit(0), F.when(hit, F.lit(1)))))
+    w = Window.partitionBy("__list").orderBy(F.when(F.col("__list") == 0, F.col(by)).desc_nulls_last(), F.asc(key))
+    ranked_rows = df.withColumn("__list", lists).withColumn("__rank", F.row_number().over(w))
+    kept = ranked_rows.filter(F.col("__rank") <= F.lit(k))
+    kept = kept.filter((F.col("__list") == 0) | (F.col("__rank") == 1)).select(df.columns).distinct()
+    return kept.orderBy(F.desc_nulls_last(by), F.asc(key))

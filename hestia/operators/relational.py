@@ -105,13 +105,16 @@ def tail_rows(df: DataFrame, cols: Sequence[str], p: float = 0.99, exact: bool =
     scalar subquery: no cross join and nothing collected to the driver.
     Adds a ``tail_columns`` array naming the columns that hit.
     """
-    aggs = [
-        (F.percentile(c, p) if exact else F.percentile_approx(c, p, accuracy)).cast("double").alias(f"q_{c}")
-        for c in cols
-    ]
-    # One scalar subquery (one scan) carrying every threshold.
-    q = df.agg(F.struct(*aggs).alias("q")).scalar()
-    hits = [F.when(F.col(c) >= q.getField(f"q_{c}"), F.lit(c)) for c in cols]
+    # One scalar subquery carrying every threshold.
+    if exact:
+        from hestia.operators.aggregate import quantiles
+
+        rows = quantiles(df, cols, [p], exact=True, accuracy=accuracy)
+        q = rows.agg(F.map_from_entries(F.collect_list(F.struct("column_name", "value"))).alias("q")).scalar()
+    else:
+        aggs = [x for c in cols for x in (F.lit(c), F.percentile_approx(c, p, accuracy).cast("double"))]
+        q = df.agg(F.create_map(*aggs).alias("q")).scalar()
+    hits = [F.when(F.col(c) >= F.try_element_at(q, F.lit(c)), F.lit(c)) for c in cols]
     out = df.withColumn("tail_columns", F.array_compact(F.array(*hits)))
     return out.filter(F.size("tail_columns") > 0)
 

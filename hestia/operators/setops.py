@@ -15,12 +15,13 @@ def union_loose(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def align_types(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Cast columns whose types differ to string on both sides, so the union
-    never fails on int-vs-text under ANSI."""
+    """Cast columns that are text on one side only to text on the other, so
+    the union never fails on int-vs-text under ANSI. Numbers of different
+    types are left to the union, which widens them (int and double: double)."""
     ta = dict(a.dtypes)
     tb = dict(b.dtypes)
     for c in cols:
-        if ta[c] != tb[c]:
+        if ta[c] != tb[c] and "string" in (ta[c], tb[c]):
             a = a.withColumn(c, a[c].cast("string"))
             b = b.withColumn(c, b[c].cast("string"))
     return a, b

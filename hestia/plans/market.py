@@ -25,10 +25,8 @@ def price_histogram(df: DataFrame, bins: int = 50) -> DataFrame:
 
 def price_center(df: DataFrame) -> DataFrame:
     """Median (rounded to units) and mean (2 decimals) price."""
-    return df.agg(
-        F.round(F.median("prix"), 0).alias("median_price"),
-        F.round(F.avg("prix"), 2).alias("mean_price"),
-    )
+    c = A.center(df, "prix", None)
+    return c.select(F.round("median", 0).alias("median_price"), F.round("mean", 2).alias("mean_price"))
 
 
 def top_cities(df: DataFrame, k: int = 10, pinned: str = "lyon") -> DataFrame:

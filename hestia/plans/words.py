@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hestia.functions.text import tokens
-from hestia.operators.ranking import ranked
+from hestia.operators.ranking import ranked, sort_by
 
 
 def word_pairs(df: DataFrame, col: str) -> DataFrame:
@@ -20,10 +20,14 @@ def word_pairs(df: DataFrame, col: str) -> DataFrame:
 
 
 def word_count(df: DataFrame, col: str) -> DataFrame:
-    """``(word, count)`` over all texts."""
+    """``(word, count)`` over all texts, the most frequent first."""
+    return sort_by(_counts(df, col), [("count", "desc"), ("word", "asc")])
+
+
+def _counts(df: DataFrame, col: str) -> DataFrame:
     return word_pairs(df, col).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 def top_words(df: DataFrame, col: str, k: int = 30) -> DataFrame:
     """The ``k`` most frequent words with their rank (ties by word)."""
-    return ranked(word_count(df, col), [("count", "desc"), ("word", "asc")], k)
+    return ranked(_counts(df, col), [("count", "desc"), ("word", "asc")], k)

@@ -51,14 +51,16 @@ def _phrase(key: Column) -> Column:
     return expr
 
 
-def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listing_view(spark: SparkSession, sf_dir: str, text: bool = True) -> DataFrame:
     """View ``V``: one ad per ``lineitem`` row, with deterministic nulls.
 
     Columns follow the raw-ad schema (titre, description, ville, type_bien,
     etage, prix, surface, pieces, DPE, full_description, lien). The place is
     the supplier's nation; the long text is the document whose ``doc_id``
     equals ``l_partkey`` (left join, so ads without a document carry a null
-    text), followed by a phrase picked by the order key.
+    text), followed by a phrase picked by the order key. ``text=False``
+    leaves out the long text and the join that brings it (``doc_id`` is
+    unique, so the rows are the same).
     """
     li = load(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
@@ -70,15 +72,15 @@ def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
         "s_suppkey", "n_name"
     )
-    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
 
-    # supplier ⋈ nation grows with the scale (10k suppliers per SF): it is
-    # broadcast only behind a size check; the fact table is never broadcast.
-    from hestia.operators.joins import small_side
-
-    joined = li.join(small_side(places, 5_000_000), li.l_suppkey == places.s_suppkey, "inner").join(
-        docs, li.l_partkey == docs.doc_id, "left"
-    )
+    # supplier ⋈ nation grows with the scale: Spark broadcasts it up to its
+    # size threshold in bytes and shuffles beyond.
+    joined = li.join(places, li.l_suppkey == places.s_suppkey, "inner")
+    long_text = []
+    if text:
+        docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+        joined = joined.join(docs, li.l_partkey == docs.doc_id, "left")
+        long_text = [F.concat(F.col("text"), _phrase(F.col("l_orderkey"))).alias("full_description")]
     type_bien = F.when(F.col("l_returnflag") == "R", "Maison").otherwise("Appartement")
     area_txt = (F.col("l_quantity") * 6).cast("int").cast("string")
     return joined.select(
@@ -91,7 +93,7 @@ def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_orderkey") % 11 == 0, F.lit(None)).otherwise(F.col("l_quantity") * 6).alias("surface"),
         F.when(F.col("l_partkey") % 5 == 0, F.lit(None)).otherwise(F.col("l_linenumber")).alias("pieces"),
         F.when(F.col("l_orderkey") % 3 == 0, F.lit(None)).otherwise(F.col("l_linestatus")).alias("DPE"),
-        F.concat(F.col("text"), _phrase(F.col("l_orderkey"))).alias("full_description"),
+        *long_text,
         F.concat_ws(
             "-",
             F.concat(F.lit("https://annonces.example/"), F.col("l_orderkey").cast("string")),

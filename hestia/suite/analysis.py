@@ -19,7 +19,7 @@ RATIO_LABELS = ["100-150", "150-250", "250+"]
 
 
 def ratio_rows(spark, sf):
-    v = listing_view(spark, sf)
+    v = listing_view(spark, sf, text=False)
     return (
         v.filter(F.col("surface").isNotNull() & F.col("pieces").isNotNull() & (F.col("pieces") > 0))
         .withColumn("ratio_surface_piece", P.ratio("surface", "pieces"))
@@ -63,7 +63,7 @@ def q_group_stats_exact(spark, sf):
 # ------------------------------------------------------------------ P1..P7
 @register("project_listing", v=True, sql="SELECT titre, ville, prix FROM V")
 def q_project_listing(spark, sf):
-    return P.project(listing_view(spark, sf), ["titre", "ville", "prix"])
+    return P.project(listing_view(spark, sf, text=False), ["titre", "ville", "prix"])
 
 
 @register(
@@ -72,7 +72,7 @@ def q_project_listing(spark, sf):
     sql="SELECT lien, prix / NULLIF(surface, 0) AS prix_m2 FROM V",
 )
 def q_derive_ratio(spark, sf):
-    v = P.with_ratio(listing_view(spark, sf), "prix", "surface", "prix_m2")
+    v = P.with_ratio(listing_view(spark, sf, text=False), "prix", "surface", "prix_m2")
     return v.select("lien", "prix_m2")
 
 
@@ -106,15 +106,36 @@ def q_numeric_columns(spark, sf):
     return part.select(*P.columns_of_type(part, exclude=["p_partkey"]))
 
 
-@register("schema_listing")
+def _schema_sql():
+    from hestia.sources.tables import LISTING_COLUMNS
+
+    kinds = {"etage": "int", "prix": "double", "surface": "double", "pieces": "int"}
+    never_null = {"type_bien", "lien"}
+    rows = [f"({i}, '{c}', '{kinds.get(c, 'string')}', {str(c not in never_null).lower()})" for i, c in enumerate(LISTING_COLUMNS, 1)]
+    table = f"(VALUES {', '.join(rows)}) AS t(position, column_name, data_type, nullable)"
+    return f"SELECT t.*, n_null FROM {table} JOIN ({_null_profile_sql()}) USING (column_name)"
+
+
+def _null_profile_sql():
+    from hestia.sources.tables import LISTING_COLUMNS
+
+    parts = [
+        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM V"
+        for c in LISTING_COLUMNS
+    ]
+    return "\nUNION ALL ".join(parts)
+
+
+@register("schema_listing", v=True, sql=_schema_sql())
 def q_schema_listing(spark, sf):
-    return P.schema_table(spark, listing_view(spark, sf))
+    v = listing_view(spark, sf)
+    return P.schema_table(spark, v).join(A.null_profile(v), "column_name")
 
 
 # ------------------------------------------------------------------ F1..F8
 @register("filter_null", v=True, sql="SELECT lien, titre FROM V WHERE surface IS NULL")
 def q_filter_null(spark, sf):
-    return P.filter_null(listing_view(spark, sf), "surface").select("lien", "titre")
+    return P.filter_null(listing_view(spark, sf, text=False), "surface").select("lien", "titre")
 
 
 @register(
@@ -129,7 +150,7 @@ def q_filter_null_keyword(spark, sf):
 
 @register("filter_eq", v=True, sql="SELECT lien, prix FROM V WHERE type_bien = 'Maison'")
 def q_filter_eq(spark, sf):
-    return P.filter_eq(listing_view(spark, sf), "type_bien", "Maison").select("lien", "prix")
+    return P.filter_eq(listing_view(spark, sf, text=False), "type_bien", "Maison").select("lien", "prix")
 
 
 @register(
@@ -139,7 +160,7 @@ def q_filter_eq(spark, sf):
 WHERE prix / NULLIF(surface, 0) BETWEEN 500 AND 25000 AND surface < 925""",
 )
 def q_outlier_band(spark, sf):
-    v = listing_view(spark, sf)
+    v = listing_view(spark, sf, text=False)
     return P.drop_outliers(v, "prix", "surface", 500, 25000, {"surface": 925}).select("lien", "prix", "surface")
 
 
@@ -151,24 +172,23 @@ def q_contains_ci(spark, sf):
 TAIL_COLS = ["surface", "pieces", "etage"]
 
 
-@register(
-    "tail_p99",
-    v=True,
-    sql=""", Q AS (SELECT quantile_cont(surface, 0.99) AS qs, quantile_cont(pieces, 0.99) AS qp,
+TAIL_SQL = """, Q AS (SELECT quantile_cont(surface, 0.99) AS qs, quantile_cont(pieces, 0.99) AS qp,
                    quantile_cont(etage, 0.99) AS qe FROM V)
 SELECT lien, surface, pieces, etage,
        concat_ws(',', CASE WHEN surface >= qs THEN 'surface' END, CASE WHEN pieces >= qp THEN 'pieces' END,
                  CASE WHEN etage >= qe THEN 'etage' END) AS tail_columns
-FROM V, Q WHERE surface >= qs OR pieces >= qp OR etage >= qe""",
-)
+FROM V, Q WHERE surface >= qs OR pieces >= qp OR etage >= qe"""
+
+
+@register("tail_p99", v=True, sql=TAIL_SQL)
 def q_tail_p99(spark, sf):
-    t = P.tail_rows(listing_view(spark, sf), TAIL_COLS, 0.99, exact=True)
+    t = P.tail_rows(listing_view(spark, sf, text=False), TAIL_COLS, 0.99, exact=True)
     return t.select("lien", *TAIL_COLS, F.array_join("tail_columns", ",").alias("tail_columns"))
 
 
-@register("tail_p99_approx")
+@register("tail_p99_approx", v=True, sql=TAIL_SQL.replace("quantile_cont", "quantile_disc"))
 def q_tail_p99_approx(spark, sf):
-    t = P.tail_rows(listing_view(spark, sf), TAIL_COLS, 0.99, exact=False)
+    t = P.tail_rows(listing_view(spark, sf, text=False), TAIL_COLS, 0.99, exact=False)
     return t.select("lien", *TAIL_COLS, F.array_join("tail_columns", ",").alias("tail_columns"))
 
 
@@ -180,7 +200,7 @@ SELECT count(*) AS n_violations FROM C
 WHERE prix / NULLIF(surface, 0) < 500 OR prix / NULLIF(surface, 0) > 25000 OR surface >= 925""",
 )
 def q_assert_clean(spark, sf):
-    c = P.drop_outliers(listing_view(spark, sf), "prix", "surface", 500, 25000, {"surface": 925})
+    c = P.drop_outliers(listing_view(spark, sf, text=False), "prix", "surface", 500, 25000, {"surface": 925})
     r = P.ratio("prix", "surface")
     bad = P.violations(c, (r < 500) | (r > 25000) | (F.col("surface") >= 925))
     return bad.agg(F.count(F.lit(1)).alias("n_violations"))
@@ -188,7 +208,7 @@ def q_assert_clean(spark, sf):
 
 @register("preview", v=True, sql="SELECT lien, prix, ville FROM V ORDER BY prix DESC, lien LIMIT 5")
 def q_preview(spark, sf):
-    v = listing_view(spark, sf).select("lien", "prix", "ville")
+    v = listing_view(spark, sf, text=False).select("lien", "prix", "ville")
     return P.preview(v, 5, [F.desc("prix"), F.asc("lien")])
 
 
@@ -206,7 +226,7 @@ URGENT_SQL = "(SELECT o_custkey AS custkey FROM orders WHERE o_orderpriority = '
 
 
 @register(
-    "anti_keys",
+    "anti_keys",  # the question: which customers have no urgent order
     sql=f"SELECT DISTINCT c_custkey AS custkey FROM customer WHERE c_custkey NOT IN (SELECT custkey FROM {URGENT_SQL})",
 )
 def q_anti_keys(spark, sf):
@@ -215,10 +235,10 @@ def q_anti_keys(spark, sf):
 
 @register(
     "inner_keys",
-    sql=f"SELECT DISTINCT c_custkey AS custkey FROM customer WHERE c_custkey IN (SELECT custkey FROM {URGENT_SQL})",
+    sql="SELECT DISTINCT c_custkey AS custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)",
 )
 def q_inner_keys(spark, sf):
-    return J.matched_keys(_customers(spark, sf), _urgent(spark, sf), "custkey")
+    return J.matched_keys(_customers(spark, sf), load(spark, sf, "orders").select(F.col("o_custkey").alias("custkey")), "custkey")
 
 
 @register(
@@ -244,7 +264,7 @@ NATION_ALIASES = {"NATION_1": "NATION_1_2", "NATION_2": "NATION_1_2", "NATION_3"
 FROM V GROUP BY 1""",
 )
 def q_alias_map(spark, sf):
-    v = listing_view(spark, sf).withColumn("ville", J.apply_aliases("ville", NATION_ALIASES))
+    v = listing_view(spark, sf, text=False).withColumn("ville", J.apply_aliases("ville", NATION_ALIASES))
     return A.group_count(v, ["ville"])
 
 
@@ -257,37 +277,27 @@ FROM V GROUP BY 1""",
 )
 def q_alias_map_table(spark, sf):
     aliases = spark.createDataFrame(list(NATION_ALIASES.items()), "alias string, canonical string")
-    v = J.apply_aliases_join(listing_view(spark, sf), "ville", aliases)
+    v = J.apply_aliases_join(listing_view(spark, sf, text=False), "ville", aliases)
     return A.group_count(v, ["ville"])
 
 
 @register(
     "match_report",
     sql=f"""WITH a AS (SELECT c_custkey AS custkey, count(*) AS n FROM customer GROUP BY 1),
-b AS (SELECT custkey, count(*) AS n FROM {URGENT_SQL} GROUP BY 1)
+b AS (SELECT o_custkey AS custkey, count(*) AS n FROM orders GROUP BY 1)
 SELECT coalesce(a.custkey, b.custkey) AS custkey, coalesce(a.n, 0) AS left_rows, coalesce(b.n, 0) AS right_rows,
        CASE WHEN a.n IS NOT NULL AND b.n IS NOT NULL THEN 'both' WHEN a.n IS NOT NULL THEN 'left_only'
             ELSE 'right_only' END AS status
 FROM a FULL OUTER JOIN b ON a.custkey = b.custkey""",
 )
 def q_match_report(spark, sf):
-    return J.match_report(_customers(spark, sf), _urgent(spark, sf), "custkey")
+    return J.match_report(_customers(spark, sf), load(spark, sf, "orders").select(F.col("o_custkey").alias("custkey")), "custkey")
 
 
 # ----------------------------------------------------------------- A1..A18
 @register("row_count", v=True, sql="SELECT count(*) AS n_rows FROM V")
 def q_row_count(spark, sf):
-    return A.row_count(listing_view(spark, sf))
-
-
-def _null_profile_sql():
-    from hestia.sources.tables import LISTING_COLUMNS
-
-    parts = [
-        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM V"
-        for c in LISTING_COLUMNS
-    ]
-    return "\nUNION ALL ".join(parts)
+    return A.row_count(listing_view(spark, sf, text=False))
 
 
 @register("null_profile", v=True, sql=_null_profile_sql())
@@ -297,7 +307,7 @@ def q_null_profile(spark, sf):
 
 @register("group_count", v=True, sql="SELECT type_bien, count(*) AS count FROM V GROUP BY 1")
 def q_group_count(spark, sf):
-    return A.group_count(listing_view(spark, sf), ["type_bien"])
+    return A.group_count(listing_view(spark, sf, text=False), ["type_bien"])
 
 
 @register(
@@ -306,7 +316,7 @@ def q_group_count(spark, sf):
     sql="SELECT lower(trim(ville)) AS ville_key, count(*) AS count FROM V GROUP BY 1",
 )
 def q_group_count_expr(spark, sf):
-    return A.group_count(listing_view(spark, sf), [F.lower(F.trim("ville")).alias("ville_key")])
+    return A.group_count(listing_view(spark, sf, text=False), [F.lower(F.trim("ville")).alias("ville_key")])
 
 
 # The five area bands used for floors.
@@ -322,18 +332,18 @@ FLOOR_BAND_SQL = """CASE WHEN surface < 40 THEN '<40' WHEN surface < 70 THEN '40
     sql=f"SELECT type_bien, {FLOOR_BAND_SQL} AS surface_bin, etage, count(*) AS count FROM V GROUP BY 1, 2, 3",
 )
 def q_group_count_multi(spark, sf):
-    v = listing_view(spark, sf).withColumn("surface_bin", bin_labels("surface", FLOOR_BAND_EDGES, FLOOR_BAND_LABELS))
+    v = listing_view(spark, sf, text=False).withColumn("surface_bin", bin_labels("surface", FLOOR_BAND_EDGES, FLOOR_BAND_LABELS))
     return A.group_count(v, ["type_bien", "surface_bin", "etage"], order=["type_bien", "surface_bin", F.desc("count")])
 
 
 @register("global_center", v=True, sql="SELECT round(median(prix), 2) AS median, round(avg(prix), 2) AS mean FROM V")
 def q_global_center(spark, sf):
-    return A.center(listing_view(spark, sf), "prix")
+    return A.center(listing_view(spark, sf, text=False), "prix")
 
 
 @register("group_mean", v=True, sql="SELECT ville, round(avg(prix), 4) AS mean FROM V WHERE ville IS NOT NULL GROUP BY 1")
 def q_group_mean(spark, sf):
-    return A.group_mean(listing_view(spark, sf), "ville", "prix")
+    return A.group_mean(listing_view(spark, sf, text=False), "ville", "prix")
 
 
 @register(
@@ -343,31 +353,31 @@ def q_group_mean(spark, sf):
 GROUP BY 1 HAVING avg(prix / NULLIF(surface, 0)) IS NOT NULL ORDER BY mean_ratio DESC, ville LIMIT 10""",
 )
 def q_ratio_mean_top(spark, sf):
-    return A.top_ratio_mean(listing_view(spark, sf), "ville", "prix", "surface", 10)
+    return A.top_ratio_mean(listing_view(spark, sf, text=False), "ville", "prix", "surface", 10)
 
 
 QUANTILE_PROBS = [0.25, 0.5, 0.99]
 
 
-def _quantile_sql():
+def _quantile_sql(fn="quantile_cont"):
     parts = []
     for c in ["surface", "pieces"]:
         for p in QUANTILE_PROBS:
             parts.append(
-                f"SELECT '{c}' AS column_name, CAST({p} AS DOUBLE) AS prob, round(quantile_cont({c}, {p}), 4) AS value FROM V"
+                f"SELECT '{c}' AS column_name, CAST({p} AS DOUBLE) AS prob, round({fn}({c}, {p}), 4) AS value FROM V"
             )
     return "\nUNION ALL ".join(parts)
 
 
 @register("quantiles", v=True, sql=_quantile_sql())
 def q_quantiles(spark, sf):
-    q = A.quantiles(listing_view(spark, sf), ["surface", "pieces"], QUANTILE_PROBS, exact=True)
+    q = A.quantiles(listing_view(spark, sf, text=False), ["surface", "pieces"], QUANTILE_PROBS, exact=True)
     return q.withColumn("value", F.round("value", 4))
 
 
-@register("quantiles_approx")
+@register("quantiles_approx", v=True, sql=_quantile_sql("quantile_disc"))
 def q_quantiles_approx(spark, sf):
-    return A.quantiles(listing_view(spark, sf), ["surface", "pieces"], QUANTILE_PROBS, exact=False)
+    return A.quantiles(listing_view(spark, sf, text=False), ["surface", "pieces"], QUANTILE_PROBS, exact=False)
 
 
 def _describe_sql():
@@ -383,7 +393,7 @@ def _describe_sql():
 
 @register("describe_table", v=True, sql=_describe_sql())
 def q_describe(spark, sf):
-    return A.describe_table(listing_view(spark, sf), ["prix", "surface", "pieces"])
+    return A.describe_table(listing_view(spark, sf, text=False), ["prix", "surface", "pieces"])
 
 
 @register(
@@ -424,35 +434,27 @@ SELECT bin, round(any_value(lo) + bin * any_value(w), 4) AS bin_lo,
 
 @register("price_histogram", v=True, sql=", " + histogram_sql("V", "prix", 50))
 def q_price_histogram(spark, sf):
-    return A.histogram(listing_view(spark, sf), "prix", 50)
+    return A.histogram(listing_view(spark, sf, text=False), "prix", 50)
 
 
-COLLECT_MAX_ITEMS = 1000
+COLLECT_CHUNKS = 16
 
 
 @register(
     "collect_by_key",
     v=True,
-    sql=f"""SELECT ville, CAST(greatest(ceil(count(*) / {COLLECT_MAX_ITEMS}), 1) AS INTEGER) AS n_chunks,
-       count(*) AS n_values, CAST(sum(pieces) AS BIGINT) AS sum_values, min(pieces) AS min_value,
-       max(pieces) AS max_value
-FROM V WHERE pieces IS NOT NULL GROUP BY ville""",
+    sql="SELECT ville, pieces AS value, count(*) AS n FROM V WHERE pieces IS NOT NULL GROUP BY ville, pieces",
 )
 def q_collect_by_key(spark, sf):
-    v = listing_view(spark, sf).filter(F.col("pieces").isNotNull())
-    g = A.group_by_key(v, "ville", "pieces", ["lien"], max_items=COLLECT_MAX_ITEMS)
-    return g.groupBy("ville").agg(
-        F.count(F.lit(1)).cast("int").alias("n_chunks"),
-        F.sum(F.size("values")).cast("bigint").alias("n_values"),
-        F.sum(F.aggregate("values", F.lit(0).cast("bigint"), lambda acc, x: acc + x)).cast("bigint").alias("sum_values"),
-        F.min(F.array_min("values")).alias("min_value"),
-        F.max(F.array_max("values")).alias("max_value"),
-    )
+    v = listing_view(spark, sf, text=False).filter(F.col("pieces").isNotNull())
+    g = A.group_by_key(v, "ville", "pieces", ["lien"], chunks=COLLECT_CHUNKS)
+    # The lists' contents, compared as counts of each value.
+    return g.select("ville", F.explode("values").alias("value")).groupBy("ville", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("fold_by_key", v=True, sql="SELECT ville, round(sum(prix), 2) AS value FROM V GROUP BY ville")
 def q_fold_by_key(spark, sf):
-    r = A.reduce_by_key(listing_view(spark, sf), "ville", "prix", "sum")
+    r = A.reduce_by_key(listing_view(spark, sf, text=False), "ville", "prix", "sum")
     return r.withColumn("value", F.round("value", 2))
 
 
@@ -465,13 +467,13 @@ WHERE rn = 1"""
 
 @register("mode_per_group", v=True, sql=MODE_SQL)
 def q_mode_per_group(spark, sf):
-    v = listing_view(spark, sf).withColumn("surface_bin", bin_labels("surface", FLOOR_BAND_EDGES, FLOOR_BAND_LABELS))
+    v = listing_view(spark, sf, text=False).withColumn("surface_bin", bin_labels("surface", FLOOR_BAND_EDGES, FLOOR_BAND_LABELS))
     return A.mode_per_group(v, ["type_bien", "surface_bin"], "etage").select("type_bien", "surface_bin", "etage", "count")
 
 
 @register("mode_window", v=True, sql=MODE_SQL)
 def q_mode_window(spark, sf):
-    v = listing_view(spark, sf).withColumn("surface_bin", bin_labels("surface", FLOOR_BAND_EDGES, FLOOR_BAND_LABELS))
+    v = listing_view(spark, sf, text=False).withColumn("surface_bin", bin_labels("surface", FLOOR_BAND_EDGES, FLOOR_BAND_LABELS))
     counts = A.group_value_counts(v, ["type_bien", "surface_bin"], "etage")
     top = O.top_row(counts, ["type_bien", "surface_bin"], [("count", "desc"), ("etage", "asc")])
     return top.select("type_bien", "surface_bin", "etage", "count")
@@ -489,7 +491,7 @@ def q_sort_one(spark, sf):
     sql="SELECT type_bien, ville, count(*) AS count FROM V GROUP BY 1, 2",
 )
 def q_sort_multi(spark, sf):
-    c = A.group_count(listing_view(spark, sf), ["type_bien", "ville"])
+    c = A.group_count(listing_view(spark, sf, text=False), ["type_bien", "ville"])
     return O.sort_by(c, [("type_bien", "asc"), ("count", "desc"), ("ville", "asc")])
 
 
@@ -511,7 +513,7 @@ def q_topk(spark, sf):
 WHERE rank <= 10""",
 )
 def q_topk_per_type(spark, sf):
-    v = listing_view(spark, sf)
+    v = listing_view(spark, sf, text=False)
     v = v.filter(F.lower("type_bien").contains("maison") | F.lower("type_bien").contains("appart"))
     t = O.top_k_per(v, ["type_bien"], [("prix", "desc"), ("lien", "asc")], 10)
     return t.select("type_bien", "lien", "prix", F.col("rank").cast("bigint").alias("rank"))
@@ -547,7 +549,7 @@ SELECT DISTINCT * FROM (
   (SELECT * FROM M WHERE contains(lower(ville), 'nation_1') ORDER BY ville LIMIT 1))""",
 )
 def q_topk_plus_pinned(spark, sf):
-    m = A.group_mean(listing_view(spark, sf), "ville", "prix")
+    m = A.group_mean(listing_view(spark, sf, text=False), "ville", "prix")
     return O.top_k_with_pinned(m, "ville", "mean", 10, "NATION_1")
 
 

@@ -32,9 +32,10 @@ def first_source(spark, sf):
 
 def second_source(spark, sf):
     """The second site's cleaned format, derived from ``V``."""
-    v = listing_view(spark, sf)
-    d = place_dim(spark, sf).select(F.col("ville").alias("__v"), "code_postal")
-    j = v.join(F.broadcast(d), fold_accents("ville") == F.col("__v"), "left")
+    v = listing_view(spark, sf, text=False)
+    # One code per place, so that a repeated place never multiplies ads.
+    d = place_dim(spark, sf).groupBy(F.col("ville").alias("__v")).agg(F.min("code_postal").alias("code_postal"))
+    j = v.join(d, fold_accents("ville") == F.col("__v"), "left")
     kind = F.lower("type_bien")
     return j.select(
         "prix",

@@ -188,10 +188,10 @@ def q_parse_area(spark, sf):
     "parse_rooms",
     v=True,
     sql="""SELECT lien, CAST(pieces AS VARCHAR) || CASE WHEN pieces > 1 THEN ' pièces' ELSE ' pièce' END AS rooms_text,
-       pieces AS rooms FROM V WHERE pieces IS NOT NULL""",
+       pieces AS rooms FROM V""",
 )
 def q_parse_rooms(spark, sf):
-    v = listing_view(spark, sf).filter(F.col("pieces").isNotNull())
+    v = listing_view(spark, sf, text=False)
     txt = F.concat(F.col("pieces").cast("string"), F.when(F.col("pieces") > 1, " pièces").otherwise(" pièce"))
     return v.select("lien", txt.alias("rooms_text")).withColumn("rooms", T.parse_rooms("rooms_text"))
 
@@ -283,7 +283,7 @@ def q_floor_extract_docs(spark, sf):
 )
 def q_context_matches(spark, sf):
     v = listing_view(spark, sf).filter(F.col("etage").isNull())
-    return v.select("lien", F.explode(T.context_matches("full_description")).alias("context"))
+    return v.select("lien", F.explode(T.context_matches("full_description", guard="tage")).alias("context"))
 
 
 @register(
@@ -322,47 +322,47 @@ def token_sql(x: str) -> str:
     return TOKEN_SQL.format(x=x, stop=stop)
 
 
-FR_DOCS = "(SELECT doc_id, text FROM documents WHERE lang = 'fr' AND text IS NOT NULL)"
+DOCS = "(SELECT doc_id, text FROM documents WHERE text IS NOT NULL)"
 
 
 @register(
     "tokenise",
-    sql=f"SELECT doc_id, CAST(len({token_sql('text')}) AS INTEGER) AS n_tokens FROM {FR_DOCS}",
+    sql=f"SELECT doc_id, CAST(len({token_sql('text')}) AS INTEGER) AS n_tokens FROM {DOCS}",
 )
 def q_tokenise(spark, sf):
-    d = load(spark, sf, "documents").filter((F.col("lang") == "fr") & F.col("text").isNotNull())
+    d = load(spark, sf, "documents").filter(F.col("text").isNotNull())
     return d.select("doc_id", F.size(T.tokens("text")).alias("n_tokens"))
 
 
 @register(
     "word_pairs",
     sql=f"""SELECT word, CAST(sum(one) AS BIGINT) AS n_pairs FROM (
-  SELECT unnest({token_sql('text')}) AS word, 1 AS one FROM {FR_DOCS}) GROUP BY word""",
+  SELECT unnest({token_sql('text')}) AS word, 1 AS one FROM {DOCS}) GROUP BY word""",
 )
 def q_word_pairs(spark, sf):
-    d = load(spark, sf, "documents").filter(F.col("lang") == "fr")
+    d = load(spark, sf, "documents")
     pairs = word_pairs(d, "text")
     return A.reduce_by_key(pairs, "word", "one", "sum", "n_pairs").withColumn("n_pairs", F.col("n_pairs").cast("bigint"))
 
 
 @register(
     "word_count",
-    sql=f"""SELECT word, count(*) AS count FROM (SELECT unnest({token_sql('text')}) AS word FROM {FR_DOCS})
+    sql=f"""SELECT word, count(*) AS count FROM (SELECT unnest({token_sql('text')}) AS word FROM {DOCS})
 GROUP BY word""",
 )
 def q_word_count(spark, sf):
-    d = load(spark, sf, "documents").filter(F.col("lang") == "fr")
+    d = load(spark, sf, "documents")
     return word_count(d, "text")
 
 
 @register(
     "top_words",
     sql=f"""SELECT word, count, row_number() OVER (ORDER BY count DESC, word) AS rank FROM (
-  SELECT word, count(*) AS count FROM (SELECT unnest({token_sql('text')}) AS word FROM {FR_DOCS}) GROUP BY word)
+  SELECT word, count(*) AS count FROM (SELECT unnest({token_sql('text')}) AS word FROM {DOCS}) GROUP BY word)
 ORDER BY count DESC, word LIMIT 30""",
 )
 def q_top_words(spark, sf):
-    d = load(spark, sf, "documents").filter(F.col("lang") == "fr")
+    d = load(spark, sf, "documents")
     return top_words(d, "text", 30).withColumn("rank", F.col("rank").cast("bigint"))
 
 

@@ -46,24 +46,38 @@ def test_topk_subset_and_order(spark, sf):
 
 def test_group_by_key_chunks(spark, sf):
     v = listing_view(spark, sf).filter(F.col("pieces").isNotNull())
-    g = A.group_by_key(v, "ville", "pieces", ["lien"], max_items=50)
+    g = A.group_by_key(v, "ville", "pieces", ["lien"], chunks=7)
     per_key = g.groupBy("ville").agg(F.count(F.lit(1)).alias("chunks"), F.sum(F.size("values")).alias("n"))
     truth = v.groupBy("ville").agg(F.count(F.lit(1)).alias("n_true"))
     rows = per_key.join(truth, "ville").collect()
     assert rows and all(r["n"] == r["n_true"] for r in rows)
-    assert all(r["chunks"] == max(1, -(-r["n_true"] // 50)) for r in rows)
-    assert g.agg(F.max(F.size("values"))).first()[0] < 50 * 3
+    assert all(r["chunks"] <= 7 for r in rows)
+    assert A.values_of(v, "ville", "pieces").count() == v.count()
+
+
+def test_hot_key_with_one_repeated_id_is_split(spark):
+    df = spark.range(4000).selectExpr("'hot' AS k", "id AS v", "1 AS row_id")
+    g = A.group_by_key(df, "k", "v", ["row_id"], chunks=8)
+    sizes = [len(r["values"]) for r in g.collect()]
+    assert len(sizes) == 8 and sum(sizes) == 4000 and max(sizes) < 700
 
 
 def test_mode_tie_break(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 2), ("a", 1), ("b", 5)], "k string, v int")
     got = {r["k"]: (r["v"], r["count"]) for r in A.mode_per_group(df, ["k"], "v").collect()}
     assert got == {"a": (1, 2), "b": (5, 1)}
+    text = spark.createDataFrame([("a", "y"), ("a", "x"), ("a", "x"), ("a", "y"), ("b", None)], "k string, v string")
+    assert [(r["k"], r["v"], r["count"]) for r in A.mode_per_group(text, ["k"], "v").collect()] == [("a", "x", 2)]
 
 
 def test_reduce_by_key_and_share(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 4.0)], "k string, v double")
     assert {r["k"]: r["value"] for r in A.reduce_by_key(df, "k", "v", "sum").collect()} == {"a": 3.0, "b": 4.0}
+    longest = A.reduce_by_key(
+        spark.createDataFrame([("a", "x"), ("a", "xyz"), ("b", "q"), ("b", None)], "k string, v string"),
+        "k", "v", zero=F.lit(""), merge=lambda x, y: F.when(F.length(y) > F.length(x), y).otherwise(x), chunks=2,
+    )
+    assert {r["k"]: r["value"] for r in longest.collect()} == {"a": "xyz", "b": "q"}
     s = {r["k"]: r["share"] for r in A.share(df, "k").collect()}
     assert abs(s["a"] - 2 / 3) < 1e-6
 
@@ -85,6 +99,48 @@ def test_same_result_any_partitioning(spark, sf):
     assert a == b
 
 
-def test_broadcast_check(spark, sf):
-    nation = load(spark, sf, "nation")
-    assert J.fits(nation, 25) and not J.fits(nation, 24)
+def test_exact_quantiles(spark):
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(3)
+    rows = [(k, rnd.choice([None, float(rnd.randrange(40)), rnd.random() * 1e6])) for k in "aab" for _ in range(3000)]
+    rows += [("one", 7.0), ("none", None), (None, 2.0), (None, 3.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    probs = [0.0, 0.25, 0.5, 0.99, 1.0]
+    got = {r["k"]: r["values"] for r in A.exact_quantiles(df, ["k"], "v", probs).collect()}
+    assert "none" not in got and got["one"] == [7.0] * 5
+    assert np.allclose(got[None], [2.0, 2.25, 2.5, 2.99, 3.0])
+    for k in "ab":
+        want = np.quantile([v for x, v in rows if x == k and v is not None], probs)
+        assert np.allclose(got[k], want)
+    every = A.exact_quantiles(df, [], "v", [0.5], accuracy=100).first()["values"][0]
+    assert np.isclose(every, np.median([v for _, v in rows if v is not None]))
+
+
+def test_union_widens_numbers(spark):
+    from hestia.operators.setops import union_common
+
+    a = spark.createDataFrame([(250000, "x", 1)], "prix int, ville string, code int")
+    b = spark.createDataFrame([(250000.0, "x", "1"), (90000.0, "y", "2")], "prix double, ville string, code string")
+    u = union_common(a, b)
+    assert dict(u.dtypes) == {"prix": "double", "ville": "string", "code": "string"}
+    assert [r["prix"] for r in u.distinct().orderBy(F.desc("prix")).collect()] == [250000.0, 90000.0]
+
+
+def test_pinned_and_duplicates_are_sorted(spark):
+    df = spark.createDataFrame([("a", 3.0), ("b", 9.0), ("c", 1.0), ("Lyon x", 0.5), ("lyon a", 0.7), ("d", None)], "ville string, prix double")
+    got = [tuple(r) for r in O.top_k_with_pinned(df, "ville", "prix", 2, "LYON").collect()]
+    assert got == [("b", 9.0), ("a", 3.0), ("Lyon x", 0.5)]
+    dup = spark.createDataFrame([("x",), ("y",), ("y",), ("y",), ("x",), ("z",), (None,), (None,)], "t string")
+    assert [tuple(r) for r in A.duplicate_groups(dup, ["t"]).collect()] == [("y", 3), (None, 2), ("x", 2)]
+    words = spark.createDataFrame([("maison jardin maison",), ("grand jardin maison",)], "t string")
+    assert [tuple(r) for r in word_count(words, "t").collect()] == [("maison", 3), ("jardin", 2), ("grand", 1)]
+
+
+def test_context_without_guard(spark):
+    from hestia.functions.text import context_matches
+
+    df = spark.createDataFrame([("grand balcon sud",)], "t string")
+    assert df.select(context_matches("t", "balcon")).first()[0] == ["grand balcon sud"]
