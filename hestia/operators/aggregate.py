@@ -95,15 +95,16 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     low and a high bound around each quantile. One pass counts the values
     below the low bounds; the values between the bounds, at most some
     thousandths of the rows, are counted per distinct value, and the ranks
-    wanted are read off their running counts. No task holds more than the
-    narrow range of its group. Nulls are left out; a group without values
+    wanted are read off their running counts. In a group of at most
+    ``accuracy`` rows, where a rank is finer than the sketch's error, all
+    values are. No task holds more than that. Nulls are left out; a group without values
     has no row.
     """
     from pyspark.sql import Window
 
     names = list(keys)
     rows = df.select(*names, F.col(value).cast("double").alias("__x")).filter(F.col("__x").isNotNull())
-    slack = 2.0 / accuracy
+    slack = 4.0 / accuracy
     around = [min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)]
     found = F.percentile_approx("__x", around, accuracy)
     bounds = F.transform(
@@ -116,10 +117,11 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     else:
         one = per_group.select(F.struct("__n", "__r").alias("s")).scalar()
         near = rows.select("__x", one["__n"].alias("__n"), F.explode(one["__r"]).alias("r"))
-    # Values below all become one entry, those above none.
-    at = F.when(F.col("__x") < F.col("r.lo"), F.lit(None).cast("double")).otherwise(F.col("__x"))
-    counts = near.filter(F.col("__x") <= F.col("r.hi")).groupBy(*names, "__n", F.col("r.i").alias("i"), at.alias("__at")).agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy(*names, "i").orderBy(F.col("__at").asc_nulls_first())
+    # All values below become one entry, and all above: of those, only the least can be wanted.
+    side = F.when(F.col("__n") <= accuracy, 1).when(F.col("__x") < F.col("r.lo"), 0).when(F.col("__x") <= F.col("r.hi"), 1).otherwise(2)
+    inside = F.when(side == 1, F.col("__x"))
+    counts = near.groupBy(*names, "__n", F.col("r.i").alias("i"), side.alias("__side"), inside.alias("__in")).agg(F.count(F.lit(1)).alias("c"), F.min("__x").alias("__at"))
+    w = Window.partitionBy(*names, "i").orderBy("__side", "__at")
     running = counts.withColumn("to", F.sum("c").over(w))
     p = F.get(F.array(*[F.lit(float(x)) for x in probs]), F.col("i"))
     place = p * (F.col("__n") - 1)
