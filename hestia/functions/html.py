@@ -8,35 +8,48 @@ pages is processed like any other table (no parser object per row).
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hestia.functions.text import ColumnOrName, _c
 
-# Entities decoded by ``unescape`` (name, character).
-ENTITIES = [
-    ("&nbsp;", "\u00a0"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&euro;", "€"),
-    ("&amp;", "&"),
-]
+#: Named character references of HTML 4 (the standard library's table).
+ENTITIES = {name: chr(code) for name, code in sorted(name2codepoint.items())} | {"apos": "'"}
+_REFERENCE = "&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _character(ref: Column) -> Column:
+    """The character that a reference (without ``&`` and ``;``) stands for; unknown ones stay as they are."""
+    digits = F.when(F.lower(F.left(ref, F.lit(2))) == "#x", F.conv(F.substr(ref, F.lit(3)), 16, 10)).when(
+        F.left(ref, F.lit(1)) == "#", F.substr(ref, F.lit(2))
+    )
+    code = digits.try_cast("bigint")
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    numeric = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    # One literal that Spark folds into a map.
+    names = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in ENTITIES.items())), F.lit("\x01"), F.lit("\x02"))
+    return F.coalesce(F.try_element_at(names, ref), numeric, F.concat(F.lit("&"), ref, F.lit(";")))
 
 
 def unescape(col: ColumnOrName) -> Column:
-    """Decode the common named entities (``&amp;`` last). Text without
-    ``&`` skips the nine replace passes (the input appears in the test and
-    both branches, so codegen evaluates it once)."""
+    """Decode named, decimal and hexadecimal character references, each once.
+    Text without ``&`` is passed through."""
     c = _c(col)
-    out = c
-    for name, char in ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return F.when(c.contains("&"), out).otherwise(c)
+
+    def decoded(x: Column) -> Column:
+        refs = F.transform(F.regexp_extract_all(x, F.lit(_REFERENCE), 1), _character)
+        pieces = F.zip_with(F.split(x, _REFERENCE), refs, lambda p, r: F.concat(p, F.coalesce(r, F.lit(""))))
+        return F.array_join(pieces, "")
+
+    return F.when(c.contains("&"), _bound(c, decoded)).otherwise(c)
 
 
 def empty_to_null(col: ColumnOrName) -> Column:
@@ -67,38 +80,95 @@ def strip_tags(col: ColumnOrName, sep: str = "") -> Column:
     return F.when(c.contains("<"), F.regexp_replace(c, "<[^>]*>", sep)).otherwise(c)
 
 
-def _open_tag(tag: str, cls: str | None = None, id_: str | None = None) -> str:
-    """Opening-tag pattern, case-insensitive inside its own group only."""
+# Fixed value: an attribute's value, quoted either way or bare.
+_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
+def _unquoted(value: Column) -> Column:
+    first = F.left(value, F.lit(1))
+    return F.when((first == '"') | (first == "'"), F.substr(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+
+
+def _open_tag(tag: str, cls: str | None = None, id_: str | None = None, having: str | None = None) -> str:
+    """Opening-tag pattern without groups. Tag and attribute names ignore
+    case; class values do not (HTML), and a class matches as a whole token."""
     attrs = ""
     if cls:
-        # Tag and attribute names ignore case; class values do not (HTML).
-        attrs = r"""[^>]*(?i:\bclass)\s*=\s*"[^"]*\b%s\b[^"]*\"""" % re.escape(cls)
+        token = re.escape(cls)
+        attrs = (
+            r"""[^>]*\s(?i:class)\s*=\s*(?:"(?:[^"]*\s)?%s(?:\s[^"]*)?"|'(?:[^']*\s)?%s(?:\s[^']*)?'|%s(?=[\s>]))"""
+            % (token, token, token)
+        )
     elif id_:
-        attrs = r"""[^>]*(?i:\bid)\s*=\s*"%s\"""" % re.escape(id_)
-    return r"(?i:<%s\b)%s[^>]*>" % (tag, attrs)
+        token = re.escape(id_)
+        attrs = r"""[^>]*\s(?i:id)\s*=\s*(?:"%s"|'%s'|%s(?=[\s>]))""" % (token, token, token)
+    if having:
+        attrs = r"(?=[^>]*\s(?i:%s)\s*=)" % re.escape(having) + attrs
+    return r"(?i:<%s)(?=[\s/>])%s[^>]*>" % (tag, attrs)
+
+
+def _to_own_end(rest: Column, marks: Column | str) -> Column:
+    """``rest`` (what follows an opening tag) up to the closing tag that
+    balances it; all of it where none does. ``marks`` is the pattern of the
+    tags of that name, opening and closing."""
+    pattern = F.lit(marks) if isinstance(marks, str) else marks
+    found = F.regexp_extract_all(rest, pattern, F.lit(0))
+    gaps = F.transform(F.split(rest, pattern), F.length)
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("at"), F.lit(-1).alias("end"))
+
+    def step(acc: Column, x: Column) -> Column:
+        depth = acc["depth"] + F.when(x["mark"].startswith("</"), -1).otherwise(1)
+        at = acc["at"] + x["gap"]
+        ends = (acc["end"] < 0) & (depth == 0)
+        return F.struct(depth.alias("depth"), (at + F.length(x["mark"])).alias("at"), F.when(ends, at).otherwise(acc["end"]).alias("end"))
 
+    pairs = _bound(found, lambda f: F.arrays_zip(F.slice(gaps, 1, F.size(f)).alias("gap"), f.alias("mark")))
+    end = F.aggregate(pairs, start, step, lambda acc: acc["end"])
+    return _bound(end, lambda e: F.when(e < 0, rest).otherwise(F.left(rest, e)))
 
-def _body(tag: str) -> str:
-    """Element body up to its first closing tag, written as an unrolled
-    loop with possessive quantifiers: runs of ``[^<]`` are consumed without
-    backtracking (and without case folding) and only ``<`` characters are
-    tested. Same matches as ``(.*?)</tag\\s*>``, linear time."""
-    close = r"(?i:/%s\s*>)" % tag
-    return r"([^<]*+(?:<(?!%s)[^<]*+)*+)<%s" % (close, close)
+
+def _first_close(tag: str) -> str:
+    """Group of the text up to the first closing tag: one possessive, linear scan."""
+    return r"([^<]*+(?:<(?!(?i:/%s\s*>))[^<]*+)*+)" % tag
+
+
+def _holds(x: Column, tag: str) -> Column:
+    """Whether an element of that name starts in ``x``."""
+    return x.contains("<") & x.rlike(r"(?i)<%s[\s/>]" % tag)
+
+
+def _marks(tag: str) -> str:
+    return r"(?i)</?%s(?=[\s/>])[^>]*>" % tag
 
 
 def element_html(col: ColumnOrName, tag: str, cls: str | None = None, id_: str | None = None) -> Column:
-    """Inner HTML of the first ``<tag>`` (with class/id) up to its closing
-    tag; null when absent. One regex pass over the page."""
-    pattern = _open_tag(tag, cls, id_) + _body(tag)
+    """Inner HTML of the first ``<tag>`` (with class/id) up to its own closing
+    tag (the page's end if it has none); null when absent or empty.
+
+    One scan of the page finds the text up to the first closing tag; only
+    where that holds another element of the same name are tags counted."""
     c = _c(col)
-    found = F.regexp_extract(F.regexp_substr(c, F.lit(pattern)), pattern, 1)
+    opener = _open_tag(tag, cls, id_)
+    first = F.regexp_extract(c, opener + _first_close(tag), 1)
+    counted = _bound(F.regexp_extract(c, opener + "((?s:.*))", 1), lambda r: _to_own_end(r, _marks(tag)))
+    found = _bound(first, lambda x: F.when(_holds(x, tag), counted).when(x != "", x))
     literal = cls or id_
     # A page without the class (or id) literal cannot hold the element:
     # a byte search skips the regex scan of the whole page.
     return F.when(c.contains(literal), found) if literal else found
 
 
+def any_element_html(col: ColumnOrName, cls: str) -> Column:
+    """Inner HTML of the first element with the class, whatever its tag."""
+    c = _c(col)
+    opener = _open_tag(r"(\w+)", cls)
+    first = F.regexp_extract(c, opener + r"([^<]*+(?:<(?!(?i:/\1\s*>))[^<]*+)*+)", 2)
+    rest = F.regexp_extract(c, opener + "((?s:.*))", 2)
+    marks = F.concat(F.lit("(?i)</?"), F.regexp_extract(c, opener, 1), F.lit(r"(?=[\s/>])[^>]*>"))
+    counted = _bound(rest, lambda r: _bound(marks, lambda m: _to_own_end(r, m)))
+    return F.when(c.contains(cls), _bound(first, lambda x: F.when(x.contains("<"), counted).when(x != "", x)))
+
+
 def finish_text(inner: ColumnOrName) -> Column:
     """Tags removed, entities decoded, stripped; empty → null."""
     return empty_to_null(py_strip(unescape(strip_tags(inner))))
@@ -111,12 +181,8 @@ def element_text(col: ColumnOrName, tag: str, cls: str | None = None, id_: str |
 
 
 def nested_html(col: ColumnOrName, outer: tuple[str, str | None], inner: tuple[str, str | None]) -> Column:
-    """Inner HTML of the first ``inner`` element after the opening tag of
-    the first ``outer`` element (one regex pass)."""
-    pattern = _open_tag(*outer) + "(?s:.*?)" + _open_tag(*inner) + _body(inner[0])
-    c = _c(col)
-    found = F.regexp_extract(F.regexp_substr(c, F.lit(pattern)), pattern, 1)
-    return F.when(c.contains(outer[1]), found) if outer[1] else found
+    """Inner HTML of the first ``inner`` element inside the first ``outer`` one."""
+    return _bound(element_html(col, *outer), lambda o: element_html(o, *inner))
 
 
 def nested_text(col: ColumnOrName, outer: tuple[str, str | None], inner: tuple[str, str | None]) -> Column:
@@ -140,20 +206,24 @@ def page_text(col: ColumnOrName, sep: str = " | ") -> Column:
     return F.array_join(F.filter(pieces, lambda x: F.length(x) > 0), sep)
 
 
-def attr(col: ColumnOrName, tag: str, name: str, default: str | None = None, cls: str | None = None) -> Column:
-    """H5: value of attribute ``name`` on the first ``<tag>`` carrying it."""
-    pattern = r"""(?is)<%s\b[^>]*%s[^>]*\b%s\s*=\s*"([^"]*)\"""" % (
-        tag,
-        (r"""\bclass\s*=\s*"[^"]*\b%s\b[^"]*\"""" % re.escape(cls)) if cls else "",
-        re.escape(name),
-    )
-    found = F.regexp_extract(F.regexp_substr(_c(col), F.lit(pattern)), pattern, 1)
+def attr(
+    col: ColumnOrName, tag: str, name: str, default: str | None = None, cls: str | None = None, having: str | None = None
+) -> Column:
+    """H5: value of attribute ``name`` of the first ``<tag>`` (of class ``cls``,
+    carrying the attribute ``having``); null, or ``default``, where that tag
+    lacks it."""
+    opening = F.regexp_extract(_c(col), _open_tag(tag, cls, having=having), 0)
+    value = F.regexp_extract(opening, r"(?i)\s%s\s*=\s*%s" % (re.escape(name), _VALUE), 1)
+    found = _bound(value, lambda v: F.when(v != "", unescape(_unquoted(v))))
     return F.coalesce(found, F.lit(default)) if default is not None else found
 
 
-def hrefs(col: ColumnOrName) -> Column:
-    """All ``href`` values of ``<a>`` tags, in page order."""
-    return F.regexp_extract_all(_c(col), F.lit(r"""(?i)<a\b[^>]*\bhref\s*=\s*"([^"]*)\""""), 1)
+def hrefs(col: ColumnOrName, container: tuple[str, str | None] | None = None) -> Column:
+    """All ``href`` values of ``<a>`` tags, in page order, of the whole page
+    or of the first ``container`` element (tag, class)."""
+    c = element_html(col, *container) if container else _c(col)
+    values = F.regexp_extract_all(c, F.lit(r"(?i)<a(?=\s)[^>]*\shref\s*=\s*" + _VALUE), 1)
+    return F.transform(values, lambda v: unescape(_unquoted(v)))
 
 
 def links_with_prefix(col: ColumnOrName, prefix: str) -> Column:
@@ -161,6 +231,11 @@ def links_with_prefix(col: ColumnOrName, prefix: str) -> Column:
     return F.filter(hrefs(col), lambda h: h.startswith(prefix))
 
 
+def links_containing(col: ColumnOrName, needle: str, container: tuple[str, str | None] | None = None) -> Column:
+    """H6: hrefs that hold ``needle``, of a container element if one is given."""
+    return F.filter(hrefs(col, container), lambda h: h.contains(needle))
+
+
 def first_nonempty(*cols: ColumnOrName) -> Column:
     """H7: first candidate that is neither null nor empty."""
     return F.coalesce(*[empty_to_null(F.trim(_c(c))) for c in cols])
@@ -174,8 +249,9 @@ def blocks(col: ColumnOrName, tag: str, cls: str | None = None, keep_open: bool
     unclosed ``<p>`` still yields one block per opening tag.
 
     ``keep_open=True`` (cards with nested elements): the block keeps its
-    opening tag (and so its attributes) and runs to the next opening tag
-    of the same kind/class or the end of the page.
+    opening tag (and so its attributes) and runs to its own closing tag (or,
+    unclosed, to the next opening tag of the same kind/class or the end of
+    the page).
 
     Both are unrolled loops: non-``<`` runs are consumed possessively and
     the stop test only runs at ``<`` characters.
@@ -183,6 +259,10 @@ def blocks(col: ColumnOrName, tag: str, cls: str | None = None, keep_open: bool
     opener = _open_tag(tag, cls)
     if keep_open:
         pattern = "(%s[^<]*+(?:(?!%s)<[^<]*+)*+)" % (opener, opener)
+        found = F.regexp_extract_all(_c(col), F.lit(pattern), 1)
+        size = lambda x: F.length(F.regexp_extract(x, "^<[^>]*>", 0))
+        cut = lambda x, n: F.concat(F.left(x, n), _bound(F.substr(x, n + 1), lambda r: _to_own_end(r, _marks(tag))))
+        return F.transform(found, lambda x: _bound(size(x), lambda n: cut(x, n)))
     else:
         stop = r"(?i:%s\b|/%s>)" % (tag, tag)
         pattern = "%s([^<]*+(?:<(?!%s)[^<]*+)*+)" % (opener, stop)

@@ -63,13 +63,13 @@ def capture(col: ColumnOrName, pattern: str, group: int = 1) -> Column:
     """T4: regex capture group of the first match; null when there is no
     match.
 
-    One scan of the input that stops at the first match
-    (``regexp_substr``); the group is then read from the short matched
-    text. ``nullif(regexp_extract(..))`` would scan the input twice.
-    Patterns must not look at context outside their own match.
+    One scan of the input that stops at the first match: the value is bound
+    before it is compared with the empty string (as ``nullif`` and
+    ``regexp_substr`` are written, the input would be scanned twice). An empty
+    group counts as no match.
     """
-    first = F.regexp_substr(_c(col), F.lit(pattern))
-    return first if group == 0 else F.regexp_extract(first, pattern, group)
+    found = F.transform(F.array(F.regexp_extract(_c(col), pattern, group)), lambda x: F.when(x != "", x))
+    return F.get(found, F.lit(0))
 
 
 def capture_or(col: ColumnOrName, pattern: str, default: str, group: int = 0) -> Column:

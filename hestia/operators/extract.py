@@ -71,7 +71,7 @@ def card_fields(block: Column, source: str, text: Column | None = None) -> list[
     area = T.capture(text, CARD_AREA, 1)
     return [
         H.attr(block, CARD_TAG, "data-id").alias("id"),
-        F.coalesce(H.py_strip(H.unescape(H.attr(block, "a", "title"))), F.when(block.rlike("(?i)<a\\b"), F.lit(""))).alias("titre"),
+        F.coalesce(H.py_strip(H.attr(block, "a", "title", having="href")), F.when(H.attr(block, "a", "href", having="href").isNotNull(), F.lit(""))).alias("titre"),
         H.py_strip(T.capture(text, CARD_PRICE, 1)).alias("prix"),
         T.with_unit(area, " m²").alias("surface"),
         T.capture(text, CARD_ROOMS, 1).alias("pieces"),
@@ -124,15 +124,17 @@ def extract_listing_details(pages: DataFrame, html: str = "html", url: str = "ur
         H.nested_html(h, *DETAIL_DPE).alias("r_dpe"),
     )
     norm = (lambda c: T.nfkc(c, cheap=True)) if nfkc_cheap else T.nfkc
-    texts = raw.select(
+    # Finished texts are a stage of their own: what follows reads each of them several times.
+    done = raw.select("lien", *[H.finish_text(f"r_{x}").alias(f"t_{x}") for x in ("title", "h1", "price", "area", "rooms", "desc", "dpe")])
+    texts = done.select(
         "lien",
-        H.finish_text("r_title").alias("t_title"),
-        norm(H.finish_text("r_h1")).alias("description"),
-        T.parse_price(H.finish_text("r_price")).alias("prix"),
-        T.parse_area_field(H.finish_text("r_area")).alias("surface"),
-        T.parse_rooms(H.finish_text("r_rooms")).alias("pieces"),
-        H.finish_text("r_dpe").alias("DPE"),
-        norm(H.finish_text("r_desc")).alias("full_description"),
+        "t_title",
+        norm("t_h1").alias("description"),
+        T.parse_price("t_price").alias("prix"),
+        T.parse_area_field("t_area").alias("surface"),
+        T.parse_rooms("t_rooms").alias("pieces"),
+        F.col("t_dpe").alias("DPE"),
+        norm("t_desc").alias("full_description"),
     )
     staged = texts.select(
         "*",
@@ -177,7 +179,7 @@ PRICE_CARD_FIELDS = {
 def _card_text(block: Column, cls: str, keep_comma: bool = False) -> Column:
     """Text of the first element with class ``cls``: newlines → spaces,
     stripped, commas → spaces unless kept; empty when absent."""
-    inner = F.regexp_extract(block, r"""(?is)<(\w+)\b[^>]*\bclass\s*=\s*"[^"]*\b%s\b[^"]*"[^>]*>(.*?)</\1\s*>""" % cls, 2)
+    inner = F.coalesce(H.any_element_html(block, cls), F.lit(""))
     t = H.py_strip(F.replace(H.unescape(H.strip_tags(inner)), F.lit("\n"), F.lit(" ")))
     return t if keep_comma else F.replace(t, F.lit(","), F.lit(" "))
 

@@ -282,6 +282,18 @@ def q_good_records(spark, sf):
 
 # ------------------------------------------------------ synthetic ad pages
 def esc(c):
+    """Text as page source: markup characters and some accented letters as references of each kind."""
+    c = _markup(c)
+    for char, ref in (("é", "&eacute;"), ("à", "&#224;"), ("ç", "&#xE7;")):
+        c = F.replace(c, F.lit(char), F.lit(ref))
+    return c
+
+
+# What follows the records of a page and must not be read into them.
+FOOTER = "<footer><div class='note'><a href='/legal' title='Legal'>990 € 12 m² 9 pièces Paris (75) 01/01/2001</a></div></footer>"
+
+
+def _markup(c):
     return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
@@ -310,16 +322,18 @@ def detail_pages(spark, sf):
     v = listing_view(spark, sf)
     area = F.concat(F.lit('<div class="ep-area">'), F.col("surface").cast("int").cast("string"), F.lit(" m²</div>"))
     rooms = F.concat(F.lit('<div class="ep-room">'), F.col("pieces").cast("string"), F.lit(" pièces</div>"))
-    desc = F.concat(F.lit('<div class="ep-desc-truncated">'), esc(F.col("full_description")), F.lit("</div>"))
+    desc = F.concat(F.lit("<div class='ep-desc-truncated long'><div class=\"inner\">"), esc(F.col("full_description")), F.lit("</div></div>"))
     dpe = F.concat(
         F.lit('<div class="dpe-diagram"><div class="dpe-a">A</div><div class="selected">'), F.col("DPE"), F.lit("</div></div>")
     )
+    # An empty diagram, and a selection outside of it.
+    no_dpe = F.lit('<div class="dpe-diagram"></div><div class="ges"><div class="selected">B</div></div>')
     html = F.concat(
         F.lit("<html><head><title>"), esc(F.col("titre")), F.lit("</title></head><body>"),
         F.lit('<h1 class="annonce-immobilier">'), esc(F.col("description")), F.lit("</h1>"),
-        F.lit('<div class="ep-price">'), price_text(F.col("prix")), F.lit("</div>"),
+        F.lit('<div class="ep-price-old">999 €</div><div class=ep-price>'), price_text(F.col("prix")), F.lit("</div>"),
         F.coalesce(area, F.lit("")), F.coalesce(rooms, F.lit("")), F.coalesce(desc, F.lit("")),
-        F.coalesce(dpe, F.lit("")), F.lit("</body></html>"),
+        F.coalesce(dpe, no_dpe), F.lit(FOOTER + "</body></html>"),
     )
     return v.select(F.col("lien").alias("url"), html.alias("html"))
 
@@ -369,7 +383,7 @@ def card_pages(spark, sf):
     place = F.translate("ville", "_0123456789", "-abcdefghij")
     span = lambda x: F.concat(F.lit("<span>"), x, F.lit("</span>"))
     card = F.concat(
-        F.lit('<div class="blocAnnonce" data-id="'), F.col("__seg"), F.lit('"><a href="'), F.col("lien"),
+        F.lit("<div data-id='"), F.col("__seg"), F.lit("' class='blocAnnonce premium'><div><a title=\"Photo\"></a></div><a href=\""), F.col("lien"),
         F.lit('" title="'), esc(F.col("titre")), F.lit('"></a>'),
         span(price_text(F.col("prix"))),
         F.coalesce(span(F.concat(F.col("surface").cast("int").cast("string"), F.lit(" m²"))), F.lit("")),
@@ -383,7 +397,7 @@ def card_pages(spark, sf):
     g = _paged(v).groupBy(F.col("__page").alias("page_id")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__h"), F.col("__seg"), F.col("prix"), F.col("titre"), card.alias("c")))), lambda s: s["c"]), "").alias("cards")
     )
-    return g.select("page_id", F.concat(F.lit("<html><body>"), F.col("cards"), F.lit("</body></html>")).alias("html"))
+    return g.select("page_id", F.concat(F.lit("<html><body>"), F.col("cards"), F.lit(FOOTER + "</body></html>")).alias("html"))
 
 
 def _sql_card_text() -> str:
@@ -433,14 +447,14 @@ def price_card_pages(spark, sf):
         F.col("DPE").isNotNull(), F.concat(F.lit('<span class="css-1ilgral">'), price_text(F.col("prix")), F.lit("</span>"))
     ).otherwise(F.lit(""))
     card = F.concat(
-        F.lit('<div class="css-wb0bqw">'), price,
+        F.lit('<div class="card css-wb0bqw"><div class="css-1ilgral-old">999 €</div>'), price,
         F.lit('<span class="css-jeruic">'), kind, F.lit("</span>"), details,
         F.lit('<span class="css-1bola4h">'), F.col("ville"), F.lit("</span></div>"),
     )
     g = _paged(v).groupBy(F.col("__page").alias("page_id")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__h"), F.col("__seg"), F.col("prix"), F.col("titre"), card.alias("c")))), lambda s: s["c"]), "").alias("cards")
     )
-    return g.select("page_id", F.concat(F.lit("<html><body>"), F.col("cards"), F.lit("</body></html>")).alias("html"))
+    return g.select("page_id", F.concat(F.lit("<html><body>"), F.col("cards"), F.lit(FOOTER + "</body></html>")).alias("html"))
 
 
 @register(

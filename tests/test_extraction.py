@@ -56,3 +56,65 @@ def test_detail_page(spark):
     assert r["prix"] == 250000.0 and r["surface"] == 75.0 and r["pieces"] == 3
     assert r["etage"] == 2 and r["DPE"] == "C"
     assert r["full_description"] == "Au 2e et dernier étage & vue"
+
+
+def _one(spark, html, column):
+    return spark.createDataFrame([(html,)], "html string").select(column.alias("x")).first()["x"]
+
+
+def test_elements_end_where_they_do(spark):
+    import hestia.functions.html as H
+
+    nested = '<div class="dpe-diagram"></div><div class="dpe-diagram"><div class="selected">B</div></div>'
+    assert _one(spark, nested, H.nested_text("html", ("div", "dpe-diagram"), ("div", "selected"))) is None
+    inside = '<div class="dpe-diagram"><div>A</div><div class="x selected">C</div></div>'
+    assert _one(spark, inside, H.nested_text("html", ("div", "dpe-diagram"), ("div", "selected"))) == "C"
+    body = '<div class="ep-desc-truncated">Bel appartement <div class="more">au 3ème étage</div> calme</div> autre'
+    assert _one(spark, body, H.element_text("html", "div", "ep-desc-truncated")) == "Bel appartement au 3ème étage calme"
+    assert _one(spark, "<div class=a>open <div>in</div> end", H.element_text("html", "div", "a")) == "open in end"
+    assert _one(spark, '<div class="a"></div>', H.element_text("html", "div", "a")) is None
+
+
+def test_class_tokens_and_quotes(spark):
+    import hestia.functions.html as H
+
+    old = """<div class="ep-price-old">999</div><p data-class="ep-price">1</p><div class='big ep-price'>250</div>"""
+    assert _one(spark, old, H.element_text("html", "div", "ep-price")) == "250"
+    assert _one(spark, "<div class=ep-price>7</div>", H.element_text("html", "div", "ep-price")) == "7"
+    assert _one(spark, "<DIV CLASS='Ep-Price'>7</DIV>", H.element_text("html", "div", "ep-price")) is None
+    links = """<div class="list"><a href='/t1'>x</a><a class=q href=/t2>y</a><a href="/t3?a=1&amp;b=2">z</a></div><a href="/t4">o</a>"""
+    assert _one(spark, links, H.links_with_prefix("html", "/t")) == ["/t1", "/t2", "/t3?a=1&b=2", "/t4"]
+    assert _one(spark, links, H.links_containing("html", "t", ("div", "list"))) == ["/t1", "/t2", "/t3?a=1&b=2"]
+    assert _one(spark, "<a title='T'>x</a><a href='/u'>y</a>", H.attr("html", "a", "title")) == "T"
+    assert _one(spark, "<a title='T'>x</a><a href='/u'>y</a>", H.attr("html", "a", "title", having="href")) is None
+
+
+def test_references(spark):
+    import hestia.functions.html as H
+
+    text = "<p>R&eacute;sidence l&#8217;&#xE9;tage &amp;lt; &euro; &bogus; &#0; &#xD800; &#x1F600; a&b; &am</p>"
+    assert _one(spark, text, H.element_text("html", "p")) == "Résidence l’étage &lt; € &bogus; &#0; &#xD800; 😀 a&b; &am"
+
+
+def test_card_ends_before_the_footer(spark):
+    page = (
+        "<div class='blocAnnonce' data-id='7'><a title='Photo'></a><a href='/x'>Prix sur demande</a></div>"
+        "<footer><div data-id='9'>990 € Paris (75) 01/01/2001</div></footer>"
+    )
+    from hestia.operators.extract import extract_listing_cards
+
+    (r,) = extract_listing_cards(spark.createDataFrame([(1, page)], "page_id long, html string")).collect()
+    assert (r["id"], r["titre"], r["prix"], r["localisation"], r["date"]) == ("7", "", None, "Lyon", None)
+
+
+def test_page_regexes_run_once(spark):
+    import contextlib
+    import io
+
+    from hestia.operators.extract import extract_listing_details
+
+    df = extract_listing_details(spark.createDataFrame([("u", "<p>")], "url string, html string"), nfkc_cheap=True)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="extended")
+    assert "nullif(regexp_extract" not in buf.getvalue() and "if ((regexp_extract(html" not in buf.getvalue()
