@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -42,40 +42,31 @@ def get_session(
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+    """Return the shared folder the cluster names (``spark.checkpoint.dir``).
 
-    ``spark.checkpoint.dir`` is read from the session; a private folder is
-    only created when it is unset (local tests). Never a local checkpoint.
+    It is read from the session. Only on a local master, as in tests, a
+    temporary folder stands in where it is unset; on a cluster executors would
+    not see the driver's folder, so that is an error. Never a local checkpoint.
     """
     sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
-    path = tempfile.mkdtemp(prefix="hestia-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="hestia-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
+    return sc.getCheckpointDir() or root
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for job outputs under the shared checkpoint root.
+    """A fresh path for job outputs under the shared folder.
 
     Written tables that cut lineage live next to the checkpoints, so on a
     cluster they land in shared storage, never in a machine-local folder.
     """
-    root = ensure_checkpoint_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    if "://" in root:
-        import uuid
-
-        return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(root, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=root)
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

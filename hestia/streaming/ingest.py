@@ -1,27 +1,33 @@
 """ST1: incremental ingest of landed page files.
 
 New page files in ``in_dir`` are read as a stream; each micro-batch is
-extracted to records, de-duplicated, filtered against keys already in the
-target (left anti join: no unbounded streaming state), and appended.
-Re-running a batch after a failure skips what the failed attempt already
-wrote, so the sink is idempotent; the checkpoint records progress.
+extracted to records, de-duplicated, filtered against keys that other
+batches have written (left anti join: no unbounded streaming state), and
+written to a partition of its own, named after the checkpoint and the batch.
+A batch that runs again after a failure replaces its partition, so the sink is
+idempotent; a replay with another checkpoint finds all keys there. The log of
+batches is counted from these partitions, so it can't disagree with them.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import StringType, StructField, StructType
 
 from hestia.functions import html as H
+from hestia.operators.extract import extract_price_cards
 
+BATCH = "batch"
 PAGE_SCHEMA = "page_id long, url string, html string"
 
 
 def page_record(pages: DataFrame) -> DataFrame:
-    """Default extraction: the page's title, heading and link count."""
+    """One record a page: title, heading and link count."""
     return pages.select(
         "page_id",
         "url",
@@ -31,11 +37,18 @@ def page_record(pages: DataFrame) -> DataFrame:
     )
 
 
-def _existing(spark: SparkSession, path: str, key: Sequence[str]) -> DataFrame | None:
+def _written(spark: SparkSession, path: str, keys: Sequence[str], own: str, schema: StructType) -> DataFrame | None:
+    """Keys that other batches have written; None where nothing is there yet.
+
+    Any other trouble with the target is an error, not an empty target."""
+    fields = StructType([schema[k] for k in keys] + [StructField(BATCH, StringType())])
     try:
-        return spark.read.parquet(path).select(*key)
-    except AnalysisException:
-        return None
+        table = spark.read.schema(fields).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return table.filter(F.col(BATCH) != own).select(*keys)
 
 
 def ingest_pages(
@@ -43,9 +56,9 @@ def ingest_pages(
     in_dir: str,
     out_dir: str,
     checkpoint: str,
-    extract: Callable[[DataFrame], DataFrame] = page_record,
-    key: Sequence[str] = ("page_id",),
-    max_files_per_trigger: int | None = 1,
+    extract: Callable[[DataFrame], DataFrame] = extract_price_cards,
+    key: Sequence[str] = ("page_id", "block_no"),
+    max_files_per_trigger: int | None = 1000,
     schema: str = PAGE_SCHEMA,
 ) -> None:
     """Run the ingest until every landed file is processed (availableNow)."""
@@ -54,18 +67,15 @@ def ingest_pages(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(in_dir)
     keys = list(key)
-    log_dir = out_dir.rstrip("/") + "_batches"
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        own = f"{run}-{epoch_id}"
         records = extract(batch).dropDuplicates(keys)
-        known = _existing(spark, out_dir, keys)
+        known = _written(spark, out_dir, keys, own, records.schema)
         if known is not None:
             records = records.join(known, keys, "left_anti")
-        records = records.persist()
-        n_new = records.count()
-        records.write.mode("append").parquet(out_dir)
-        records.unpersist()
-        spark.createDataFrame([(int(epoch_id), int(n_new))], "batch_id long, n_new long").write.mode("append").parquet(log_dir)
+        records.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{BATCH}={own}")
 
     q = (
         stream.writeStream.foreachBatch(write_batch)
@@ -77,5 +87,5 @@ def ingest_pages(
 
 
 def batch_log(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Per-batch counts of newly appended records."""
-    return spark.read.parquet(out_dir.rstrip("/") + "_batches")
+    """Records that each batch has brought: ``(batch, n_new)``."""
+    return spark.read.parquet(out_dir).groupBy(BATCH).agg(F.count(F.lit(1)).alias("n_new"))

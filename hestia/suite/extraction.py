@@ -483,17 +483,17 @@ def q_price_cards(spark, sf):
 )
 def q_ingest_pages(spark, sf):
     """The pages table is landed twice as separate files (a re-crawl); the
-    stream ingests them one file per batch and must end equal to the batch
+    stream ingests them in batches of few files and must end equal to the batch
     extraction with each page once."""
-    from hestia.streaming.ingest import ingest_pages
+    from hestia.streaming.ingest import BATCH, ingest_pages, page_record
 
     root = scratch_dir(spark, "ingest")
     land, out, ckpt = f"{root}/landed", f"{root}/table", f"{root}/checkpoint"
     pages = _pages(spark, sf)
-    pages.coalesce(1).write.mode("overwrite").parquet(land)
-    pages.coalesce(1).write.mode("append").parquet(land)
-    ingest_pages(spark, land, out, ckpt)
-    return spark.read.parquet(out)
+    pages.write.mode("overwrite").parquet(land)
+    pages.write.mode("append").parquet(land)
+    ingest_pages(spark, land, out, ckpt, page_record, ["page_id"], max_files_per_trigger=4)
+    return spark.read.parquet(out).drop(BATCH)
 
 
 @register(

@@ -1,26 +1,71 @@
 """Streaming ingest idempotence and deterministic model split."""
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from hestia.plans import model as M
 from hestia.session import scratch_dir
 from hestia.sources.pages import read_pages
-from hestia.streaming.ingest import batch_log, ingest_pages
+from hestia.streaming.ingest import BATCH, batch_log, ingest_pages, page_record
 
 
 def test_ingest_is_idempotent(spark, sf):
     pages = read_pages(spark, f"{sf}/pages.parquet")
     root = scratch_dir(spark, "ingest-test")
     land, out = f"{root}/landed", f"{root}/table"
-    pages.coalesce(1).write.parquet(land)
-    ingest_pages(spark, land, out, f"{root}/ckpt1")
+    pages.write.parquet(land)
+    ingest_pages(spark, land, out, f"{root}/ckpt1", page_record, ["page_id"])
     first = spark.read.parquet(out).count()
     # A replay from scratch (lost checkpoint) appends nothing new.
-    ingest_pages(spark, land, out, f"{root}/ckpt2")
+    ingest_pages(spark, land, out, f"{root}/ckpt2", page_record, ["page_id"])
     assert spark.read.parquet(out).count() == first == pages.count()
     assert batch_log(spark, out).agg(F.sum("n_new")).first()[0] == first
 
 
+def test_failed_write_is_made_good(spark, sf):
+    pages = read_pages(spark, f"{sf}/pages.parquet")
+    root = scratch_dir(spark, "ingest-fail")
+    land, out, ckpt = f"{root}/landed", f"{root}/table", f"{root}/ckpt"
+    pages.repartition(3).write.parquet(land)
+    calls = []
+
+    def fails_once(batch):
+        calls.append(1)
+        records = page_record(batch)
+        if len(calls) == 2:  # the second batch breaks off while it is written
+            records = records.withColumn("h1", F.when(F.col("page_id") % 5 == 0, F.raise_error(F.lit("lost"))).otherwise(F.col("h1")))
+        return records
+
+    with pytest.raises(StreamingQueryException):
+        ingest_pages(spark, land, out, ckpt, fails_once, ["page_id"], max_files_per_trigger=1)
+    ingest_pages(spark, land, out, ckpt, fails_once, ["page_id"], max_files_per_trigger=1)
+    got = spark.read.parquet(out)
+    assert got.count() == pages.count() == got.select("page_id").distinct().count()
+    assert sorted(r["n_new"] for r in batch_log(spark, out).collect() if r["n_new"]) and batch_log(spark, out).count() == 3
+
+
+def test_unreadable_target_is_an_error(spark, sf):
+    root = scratch_dir(spark, "ingest-bad")
+    read_pages(spark, f"{sf}/pages.parquet").write.parquet(f"{root}/landed")
+    spark.range(3).selectExpr("cast(id as string) AS value").write.text(f"{root}/table/{BATCH}=other")
+    with pytest.raises(StreamingQueryException):
+        ingest_pages(spark, f"{root}/landed", f"{root}/table", f"{root}/ckpt", page_record, ["page_id"])
+
+
+def test_models_of_each_kind(spark):
+    rows = [(float(1000 * s + 5000 * p + i % 7), float(p), float(s), "69001", f"v{i % 3}", "maison" if i % 2 else "appartement", str(i % 4)) for i in range(240) for p, s in [(i % 5 + 1, 20 + i % 60)]]
+    fused = spark.createDataFrame(rows + [(None, 1.0, 2.0, "1", "v0", "maison", "0")], "prix double, pieces double, surface double, code_postal string, ville string, type_bien string, etage string")
+    grids = {"dt": {"maxDepth": [2, 5]}, "rf": {"maxDepth": [4], "numTrees": [5]}, "gbt": {"maxDepth": [3], "stepSize": [0.1]}}
+    m = M.fit_price_models(spark, fused, grids, folds=2, gbt_iter=3, fit_rows=150)
+    assert m.scores.count() == 4 and m.comparison.count() == 3 and m.comparison.filter("best").count() == 1
+    assert m.dropped.count() == 1 and m.comparison.agg(F.max("r2")).first()[0] > 0.5
+    imp = [(r["model"], -r["importance"], r["feature"]) for r in m.importances.collect()]
+    assert imp == sorted(imp) and len(imp) == 18
+    assert M.max_bins_for(fused) == 256
+    assert [len(M.param_grid(M.make_regressor(k, 256), v)) for k, v in M.FULL_GRIDS.items()] == [3, 4, 4]
+
+
 def test_split_ignores_partitioning(spark, sf):
     from hestia.sources.tables import load
 
