@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hestia.functions.text import DISTRICT_SUFFIX, floor_label, fold_accents, strip_pattern
@@ -40,13 +40,8 @@ PLACE_ALIASES = {
 PLACE_LINE = r"(.*)\s\((\d+)\)"
 
 
-def lines_to_table(spark: SparkSession, text: str, col: str = "line") -> DataFrame:
-    """A literal text block → one row per line."""
-    return spark.createDataFrame([(x,) for x in text.split("\n")], [col])
-
-
 def explode_lines(df: DataFrame, text_col: str, col: str = "line") -> DataFrame:
-    """S6, distributed form: a table of text blocks → one row per line."""
+    """A table of text blocks → one row per line."""
     return df.select(F.explode(F.split(F.col(text_col), "\n")).alias(col))
 
 

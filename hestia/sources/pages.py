@@ -20,12 +20,6 @@ def frontier_url(base: Column, page_no: Column, suffix: str) -> Column:
     return F.when(page_no == 1, base).otherwise(F.concat(base, F.lit(suffix), page_no.cast("string")))
 
 
-def page_frontier(spark: SparkSession, base: str, n: int, suffix: str = "&page=") -> DataFrame:
-    """S9 for one site: ``(page_no, url)`` for pages 1..n (distributed range)."""
-    r = spark.range(1, n + 1).withColumnRenamed("id", "page_no")
-    return r.withColumn("url", frontier_url(F.lit(base), F.col("page_no"), suffix))
-
-
 def frontiers(sites: DataFrame, base_col: str, n_col: str, suffix: str = "&page=") -> DataFrame:
     """S9 for many sites: one row per (site, page) from a table of
     ``(base, n_pages)``; each site's pages come from ``sequence``."""

@@ -371,6 +371,36 @@ def q_collect_listings(spark, sf):
     return X.fill_area_from_text(X.extract_listing_details(detail_pages(spark, sf), nfkc_cheap=True))
 
 
+def list_pages(spark, sf):
+    """Result pages of the crawled site: links to ads inside the list, others around it."""
+    v = listing_view(spark, sf, text=False)
+    link = F.concat(F.lit("<li><a class='ad' href='"), F.col("lien"), F.lit("'>"), esc(F.col("titre")), F.lit("</a></li>"))
+    g = _paged(v).groupBy(F.col("__page").alias("page_id")).agg(F.array_join(F.array_sort(F.collect_list(link)), "").alias("links"))
+    html = F.concat(
+        F.lit("<html><body><a href='https://annonces.example/annonce-du-jour'>x</a><div class='bloc results'><div><ul>"), F.col("links"),
+        F.lit("</ul></div><a href='/aide'>aide</a></div>" + FOOTER + "</body></html>"),
+    )
+    return g.select("page_id", F.concat(F.lit("https://annonces.example/liste?page="), F.col("page_id").cast("string")).alias("url"), html.alias("html"))
+
+
+@register(
+    "collect_chain",
+    v=True,
+    sql=f"""SELECT * REPLACE (coalesce(surface, {AREA_FAITHFUL_SQL.format(x='titre')},
+                                  {AREA_FAITHFUL_SQL.format(x='full_description')}) AS surface)
+FROM ({DETAIL_SQL})""",
+)
+def q_collect_chain(spark, sf):
+    """E6 as a chain: result pages → links inside the list → detail pages →
+    records → missing area → CSV (K1, with a BOM), read back (S1)."""
+    found = list_pages(spark, sf).select(F.explode(H.links_containing("html", "/annonces.example/", ("div", "results"))).alias("url")).distinct()
+    pages = detail_pages(spark, sf).join(found, "url", "left_semi")
+    records = X.fill_area_from_text(X.extract_listing_details(pages, nfkc_cheap=True))
+    path = scratch_dir(spark, "collected")
+    CSV.write_csv(records, path, bom=True)
+    return CSV.read_listings_csv(spark, path)
+
+
 # Cards: the ads of one order form one result page.
 def _card_date(ok):
     d = F.lpad((ok % 28 + 1).cast("string"), 2, "0")

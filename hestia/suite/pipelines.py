@@ -8,6 +8,8 @@ from hestia.functions.text import floor_label, fold_accents
 from hestia.plans import fuse as E2
 from hestia.plans import market as E3
 from hestia.plans.clean import clean_listings
+from hestia.session import scratch_dir
+from hestia.sources import csv as CSV
 from hestia.sources.tables import listing_view, load
 from hestia.suite.registry import register
 from hestia.suite.textops import CLEAN_SQL, FOLD_SQL
@@ -97,6 +99,20 @@ def q_fuse(spark, sf):
     return fused(spark, sf)
 
 
+@register("fuse_chain", v=True, sql=FUSED_SQL + "SELECT * REPLACE (CAST(code_postal AS INTEGER) AS code_postal) FROM FUSED")
+def q_fuse_chain(spark, sf):
+    """Both sources through their files: raw CSV (S1) → E1 → CSV (K1) → inferred
+    (S2); the second site's CSV with ``;`` (S3) → E2 → CSV (K1) → inferred (S4)."""
+    root = scratch_dir(spark, "fuse-chain")
+    CSV.write_csv(listing_view(spark, sf), f"{root}/raw", bom=True)
+    CSV.write_csv(clean_listings(CSV.read_listings_csv(spark, f"{root}/raw")), f"{root}/clean")
+    CSV.write_csv(second_source(spark, sf), f"{root}/second", sep=";")
+    first = CSV.read_csv_inferred(spark, f"{root}/clean")
+    second = CSV.read_csv_inferred(spark, f"{root}/second", sep=";")
+    CSV.write_csv(E2.fuse_listings(first, second, place_dim(spark, sf)), f"{root}/fused")
+    return CSV.read_csv_inferred(spark, f"{root}/fused")
+
+
 @register(
     "fuse_dup_groups",
     v=True,

@@ -133,7 +133,24 @@ def q_fill_ratio(spark, sf):
     return A.group_count(v, ["type_bien", "pieces"])
 
 
-@register("fill_ratio_fitted")
+# The fitted form: the median area per room of each type and band, as the sketch gives it (an observed value).
+def _band_sql():
+    cases = " ".join(f"WHEN surface < {e} THEN {i}" for i, e in enumerate(C.ROOM_EDGES))
+    return f"CASE {cases} ELSE {len(C.ROOM_EDGES)} END"
+
+
+RATIOS_SQL = f""", RB AS (SELECT type_bien, {_band_sql()} AS band, quantile_disc(surface / pieces, 0.5) AS ratio FROM V
+  WHERE surface IS NOT NULL AND pieces > 0 AND type_bien IN ('Appartement', 'Maison') GROUP BY 1, 2)"""
+FITTED_ROOMS_SQL = """CASE WHEN pieces IS NULL THEN round(surface / NULLIF(
+  (SELECT ratio FROM RB WHERE RB.type_bien = {t}.type_bien AND RB.band = """ + _band_sql().replace("surface", "{t}.surface") + """), 0)) ELSE CAST(pieces AS DOUBLE) END"""
+
+
+@register(
+    "fill_ratio_fitted",
+    v=True,
+    sql=RATIOS_SQL + f""", W AS (SELECT type_bien, {FITTED_ROOMS_SQL.format(t='V')} AS pieces FROM V)
+SELECT type_bien, pieces, count(*) AS count FROM W GROUP BY 1, 2""",
+)
 def q_fill_ratio_fitted(spark, sf):
     v = C._fill_rooms_from_data(listing_view(spark, sf), C.ROOM_EDGES)
     return A.group_count(v, ["type_bien", "pieces"])
@@ -386,6 +403,11 @@ def q_clean_null_profile(spark, sf):
     return A.null_profile(C.clean_listings(listing_view(spark, sf)))
 
 
-@register("clean_listings_fitted")
+@register(
+    "clean_listings_fitted",
+    v=True,
+    sql=RATIOS_SQL + CLEAN_SQL.replace(f"S3 AS (SELECT * REPLACE ({rooms_sql()} AS pieces) FROM S2)", f"S3 AS (SELECT * REPLACE ({FITTED_ROOMS_SQL.format(t='S2')} AS pieces) FROM S2)")
+    + "SELECT * FROM CLEAN",
+)
 def q_clean_listings_fitted(spark, sf):
     return C.clean_listings(listing_view(spark, sf), C.CleaningRules(room_ratios=None))

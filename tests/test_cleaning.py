@@ -62,3 +62,23 @@ def test_null_counts_never_rise(spark, sf):
     for c in ("etage", "pieces", "DPE", "full_description"):
         assert after[c] <= before[c], c
     assert after["full_description"] == 0
+
+
+def test_rules_with_other_words(spark):
+    from hestia.plans.clean import CleaningRules, clean_listings
+
+    cols = "titre string, description string, ville string, type_bien string, etage int, prix double, surface double, pieces int, DPE string, full_description string, lien string"
+    rows = [("t", "d", "Lyon", "Appartement", None, 200000.0, 50.0, 2, None, "Penthouse, classe energie : b", "u")]
+    rules = CleaningRules(top_floor_words=["penthouse"], dpe_rules=[(["classe energie : b"], "B")], dpe_unknown=["sans classe"])
+    r = clean_listings(spark.createDataFrame(rows, cols), rules).first()
+    assert (r["etage"], r["DPE"]) == (-1, "B")
+
+
+def test_market_report(spark):
+    from hestia.plans.market import market_report
+
+    df = spark.createDataFrame([(100000.0 * i, "maison" if i % 2 else "appartement", "1", 50.0, 2.0, f"lyon {i % 3}", "69001") for i in range(1, 9)], "prix double, type_bien string, etage string, surface double, pieces double, ville string, code_postal string")
+    report = market_report(df)
+    assert report["type_share"].count() == 2 and report["price_vs_area"].count() == 8
+    assert report["price_center"].first()["median_price"] == 450000.0
+    assert [r["ville"] for r in report["top_cities"].collect()][0] == "lyon 2" and report["top_per_type"].count() == 8
