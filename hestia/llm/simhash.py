@@ -218,8 +218,8 @@ def near_duplicates(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     each; an empty table gives an empty one. Of the other columns of ``df``
     only those in ``keep`` are read and returned.
     """
-    chosen = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *(keep or []))
-    rows = checkpointed(fingerprints(chosen, keep=["doc_id", *(keep or [])], shingle=shingle))
+    chosen = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__body"), *(keep or []))
+    rows = checkpointed(fingerprints(chosen, text="__body", keep=["doc_id", *(keep or [])], shingle=shingle))
     least = rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
     roots = components(links(rows.select("fp").distinct(), radius))
     group = least.join(roots, least.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "doc_id")
