@@ -322,7 +322,12 @@ def detail_pages(spark, sf):
     v = listing_view(spark, sf)
     area = F.concat(F.lit('<div class="ep-area">'), F.col("surface").cast("int").cast("string"), F.lit(" m²</div>"))
     rooms = F.concat(F.lit('<div class="ep-room">'), F.col("pieces").cast("string"), F.lit(" pièces</div>"))
-    desc = F.concat(F.lit("<div class='ep-desc-truncated long'><div class=\"inner\">"), esc(F.col("full_description")), F.lit("</div></div>"))
+    # Every fourth description is nested in an element of the same name.
+    nested = F.crc32(F.col("lien").cast("binary")) % 4 == 0
+    desc = F.concat(
+        F.lit("<div class='ep-desc-truncated long'>"), F.when(nested, '<div class="inner">').otherwise("<span>"),
+        esc(F.col("full_description")), F.when(nested, "</div>").otherwise("</span>"), F.lit("</div>"),
+    )
     dpe = F.concat(
         F.lit('<div class="dpe-diagram"><div class="dpe-a">A</div><div class="selected">'), F.col("DPE"), F.lit("</div></div>")
     )
