@@ -1,13 +1,16 @@
 """Licence notices by an exact set-similarity join of text blocks with templates.
 
-A block is a line of a text; a block and a template are sets of word pairs.
+A block is a line of a text and, for notices wrapped over lines, any stretch
+of the whole text's words that is at most 1 / ``THRESHOLD`` times as long as
+the template; a block and a template are sets of word pairs.
 A template matches where at least ``THRESHOLD`` of its n pairs are in the
 block: an overlap of need = ceil(THRESHOLD n). Pairs are ordered by how often
 they occur in the blocks of all documents, rarest first. A match must share
 one of the first n - need + 1 pairs of the template (prefix), the block must
 hold need pairs that occur in templates (length), and behind the shared pair
 both must have enough pairs left to reach need (position). Candidates are then
-counted exactly. Built-in functions only.
+counted exactly. Stretches are formed only around places of a prefix pair.
+Built-in functions only.
 """
 
 from __future__ import annotations
@@ -37,6 +40,17 @@ TEMPLATES = [
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("cc", "licensed under cc by nc"),
 ]
+#: Other wordings of Creative Commons notices; "licensed under cc by" is in all short ones.
+CC_TEMPLATES = [
+    ("cc", "licensed under cc by"),
+    ("cc", "licensed under a creative commons attribution"),
+    ("cc", "licensed under the creative commons attribution"),
+    ("cc", "available under the creative commons attribution"),
+    ("cc", "released under cc0"),
+    ("cc", "licensed under cc0"),
+    ("cc", "creative commons zero"),
+    ("cc", "cc0 1 0 universal"),
+]
 
 
 def places(w: Column, phrase: str) -> Column:
@@ -55,9 +69,9 @@ def places(w: Column, phrase: str) -> Column:
 
 
 def template_pairs(df: DataFrame, templates: list[tuple[str, str]]) -> DataFrame:
-    """(template, label, pairs): the distinct word pairs of each template."""
+    """(template, label, pairs, n_words): the distinct word pairs of each template, and its length."""
     rows = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(templates)], "template int, label string, text string")
-    return rows.select("template", "label", F.array_distinct(shingles(words(F.col("text")), 2)).alias("pairs"))
+    return rows.select("template", "label", F.array_distinct(shingles(words(F.col("text")), 2)).alias("pairs"), F.size(words(F.col("text"))).alias("n_words"))
 
 
 def matching_blocks(blocks: DataFrame, templates: DataFrame, keys: list[str], threshold: float) -> DataFrame:
@@ -90,11 +104,49 @@ def matching_blocks(blocks: DataFrame, templates: DataFrame, keys: list[str], th
     )
 
 
-def licences(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
+def matching_stretches(hits: DataFrame, templates: DataFrame, keys: list[str], threshold: float) -> DataFrame:
+    """(keys, label, containment) for every template and document (keys, hits) with a stretch of words that meets the threshold.
+
+    ``hits`` holds (at, p) of the pairs that occur in templates, by place. A
+    stretch has at most as many words as the template has, divided by the threshold.
+    """
+    # As many rows as the templates have pairs at most.
+    often = {r.p: r.n for r in hits.select(F.explode("hits.p").alias("p")).groupBy("p").agg(F.count("*").alias("n")).collect()}
+    rows, widest = [], 0
+    for t in templates.collect():
+        mine = sorted(t.pairs, key=lambda p: (often.get(p, 0), p))
+        need = math.ceil(threshold * len(mine) - 1e-9)
+        # Pairs in a stretch: one fewer than its words.
+        width = max(need, math.ceil(t.n_words / threshold - 1e-9) - 1)
+        widest = max(widest, width)
+        rows += [(t.template, t.label, mine, need, width, p) for p in mine[: len(mine) - need + 1]]
+    prefix = hits.sparkSession.createDataFrame(rows, "template int, label string, t array<long>, need int, width int, p long")
+    first = F.array(*[F.lit(p).cast("long") for p in sorted({r[5] for r in rows})])
+    # Places next to a prefix pair only, so that a row doesn't grow with the text.
+    near = lambda x, i: F.struct(x["p"].alias("p"), x["at"].alias("at"), F.slice("hits", F.greatest(i + 2 - widest, F.lit(1)), 2 * widest - 1).alias("near"))
+    around = F.transform(F.filter(F.transform("hits", lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda y: F.array_contains(first, y["x"]["p"])), lambda y: near(y["x"], y["i"]))
+    found = hits.select(*keys, F.explode(around).alias("c")).select(*keys, "c.*").join(F.broadcast(prefix), "p")
+    mine = F.filter("near", lambda x: F.array_contains("t", x["p"]) & (F.abs(x["at"] - F.col("at")) < F.col("width")))
+    held = lambda b: F.size(F.array_distinct(F.transform(F.filter("mine", lambda x: (x["at"] >= b) & (x["at"] < b + F.col("width"))), lambda x: x["p"])))
+    both = F.array_max(F.transform(F.filter("mine", lambda x: x["at"] <= F.col("at")), lambda x: held(x["at"])))
+    return (
+        found.withColumn("mine", mine)
+        .where(F.size(F.array_distinct("mine.p")) >= F.col("need"))
+        .withColumn("both", both)
+        .where(F.col("both") >= F.col("need"))
+        .select(*keys, "label", (F.col("both") / F.size("t")).alias("containment"))
+        .distinct()
+    )
+
+
+def licences(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, templates: list[tuple[str, str]] = TEMPLATES, wrapped: bool = False
+) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row of ``docs``.
 
     ``score`` is 1 where a phrase stands, else the highest containment that
-    meets the threshold, else 0. A null text counts as empty (no words, no
+    meets the threshold, else 0. Blocks are lines, with ``wrapped`` also
+    stretches of words across lines. A null text counts as empty (no words, no
     labels, score 0). Rows with a null id or a repeated one are told apart by their
     text; equal rows are returned each. An empty table gives an empty one;
     other columns are not read.
@@ -116,10 +168,14 @@ def licences(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", thr
         F.size("w").cast("long").alias("n_words"),
         F.array(*[F.struct(F.lit(label).alias("label"), places(F.col("w"), phrase).alias("at")) for label, phrase in PHRASES]).alias("base"),
         F.filter(F.transform("lines", lambda x: F.array_intersect(shingles(x, 2), pairs)), lambda x: F.size(x) > 0).alias("blocks"),
+        *([F.filter(F.transform(shingles(F.col("w"), 2), lambda p, i: F.struct(p.alias("p"), i.alias("at"))), lambda x: F.array_contains(pairs, x["p"])).alias("hits")] if wrapped else []),
     )
     found = checkpointed(found)
     blocks = found.select(*key, F.explode("blocks").alias("pairs"))
-    matched = matching_blocks(blocks, known, key, threshold).groupBy(*key).agg(F.collect_set("label").alias("more"), F.max("containment").alias("containment"))
+    matched = matching_blocks(blocks, known, key, threshold)
+    if wrapped:
+        matched = matched.unionAll(matching_stretches(found.select(*key, "hits"), known, key, threshold))
+    matched = matched.groupBy(*key).agg(F.collect_set("label").alias("more"), F.max("containment").alias("containment"))
     at = F.flatten(F.transform("base", lambda x: x["at"]))
     base = F.transform(F.filter("base", lambda x: F.size(x["at"]) > 0), lambda x: x["label"])
     none = F.array().cast("array<string>")

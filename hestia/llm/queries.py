@@ -120,7 +120,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences.licences(table(spark, sf_dir, "documents"))
+    return licences.licences(table(spark, sf_dir, "documents"), templates=licences.TEMPLATES + licences.CC_TEMPLATES, wrapped=True)
 
 
 _OP8_WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

@@ -54,3 +54,58 @@ def test_random_notices(spark):
 def test_odd_rows(odd, empty):
     check(odd.select("doc_id", "text"))
     assert L.licences(odd).count() == odd.count() and L.licences(empty).count() == 0
+
+
+def by_stretches(text, templates, threshold):
+    """Labels and the highest containment over all stretches of each template's greatest length."""
+    w, best, more = words(text or ""), 0.0, set()
+    for label, t in templates:
+        t = t.split()
+        of, n = set(zip(t, t[1:])), math.ceil(len(t) / threshold - 1e-9)
+        for i in range(max(1, len(w) - 1)):
+            v = w[i : i + n]
+            hit = len(of & set(zip(v, v[1:])))
+            if hit >= math.ceil(threshold * len(of) - 1e-9):
+                more.add(label)
+                best = max(best, hit / len(of))
+    return more, best
+
+
+def test_wrapped_notices(spark):
+    bsd, mit = L.TEMPLATES[6][1], L.TEMPLATES[1][1]
+    wrap = lambda t, after: t.replace(after, after + ",\n * ")
+    rows = [
+        (1, "/*\n * " + wrap(bsd, "with or without") + ":\n */"),
+        (2, wrap(mit, "obtaining a copy")),
+        (3, "\n".join(bsd.split())),
+        (4, wrap(bsd, "with or without") + "\n" + wrap(mit, "a copy")),
+        (5, "This text is licensed under\nCC-BY-SA 4.0."),
+        (6, "licensed under a Creative\nCommons Attribution-ShareAlike license"),
+        (7, " ".join(f"{x}\nfiller text of other kind" for x in bsd.split())),
+        (8, "a plain text\n" * 500),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in L.licences(df, templates=L.TEMPLATES + L.CC_TEMPLATES, wrapped=True).collect()}
+    assert [got[i][0] for i in range(1, 9)] == ["bsd", "mit", "bsd", "bsd,mit", "cc", "cc", "", ""]
+    assert got[1][1] == got[3][1] == 1.0 and got[7][1] == 0.0
+
+
+def test_random_stretches(spark):
+    rnd = random.Random(8)
+    rows = []
+    for i in range(120):
+        w = []
+        for _ in range(rnd.randint(1, 4)):
+            part = [x for x in rnd.choice(L.TEMPLATES)[1].split() if rnd.random() > 0.05]
+            at = rnd.randint(0, len(part))
+            part[at:at] = ["noise"] * rnd.choice([0, 0, 1, 5, 9])
+            w += part + ["x"] * rnd.choice([0, 3, 40])
+        rows.append((i, "".join(x + rnd.choice([" ", " ", " ", "\n"]) for x in w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for threshold in (L.THRESHOLD, 0.6):
+        got = {r.doc_id: r for r in L.licences(df, threshold=threshold, wrapped=True).collect()}
+        for i, text in rows:
+            lines = by_hand(text, L.TEMPLATES, threshold)
+            more, best = by_stretches(text, L.TEMPLATES, threshold)
+            labels = set(filter(None, lines[5].split(","))) | more
+            assert (got[i].labels, got[i].score) == (",".join(sorted(labels)), max(lines[6], best)), text
