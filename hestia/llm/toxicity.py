@@ -3,8 +3,9 @@
 Terms are learned from labelled rows: words, and beginnings that several words
 share, that occur in toxic texts far more often than chance allows. They are
 kept in a trie. For each word of a text the Levenshtein automaton of the word
-is intersected with the trie, which finds the terms within one edit (none for
-terms under five letters). Each find is weighted by its context: less where it
+is intersected with the trie, which finds the terms within one edit, two for long
+terms; two letters swapped are one edit. Words that the labelled texts show to
+be ordinary are no spelling of a term. Each find is weighted by its context: less where it
 stands in quotation marks or behind a verb of reporting, more where it
 addresses somebody. The sum of the weights becomes a score by a logistic curve
 fitted to labelled rows.
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -26,8 +27,8 @@ from pyspark.sql.types import StructType
 LABELLED, TERMS = 20_000, 5_000
 #: A term occurs in this share of toxic texts among those that hold it at least, and a stem has so many words and letters at least.
 PURITY, STEM_WORDS, STEM_LETTERS, STEM_MOST = 0.85, 3, 4, 10
-#: Letters from which a term may differ in one edit; weight of such a find; words around a find that are its context.
-FUZZY_FROM, FUZZY_WEIGHT, CONTEXT = 5, 0.8, 8
+#: Letters from which a term may differ in one edit, and in two; weight of a find for each edit; words around a find that are its context.
+FUZZY_FROM, FUZZY_TWICE, FUZZY_WEIGHT, CONTEXT = 4, 8, 0.8, 8
 #: Sums of weights above this count as this: one sure find in a plain context is halfway.
 CAP = 2.0
 #: Words that a worker remembers at most.
@@ -44,10 +45,13 @@ _STEM = "\1"
 
 
 class Automaton:
-    """The Levenshtein automaton of a word: states are the (place, edits) that a prefix can have led to."""
+    """The Levenshtein automaton of a word: states are the (place, edits) that a prefix can have led to.
 
-    def __init__(self, word: str, edits: int):
-        self.word, self.edits = word, edits
+    With ``swaps``, two neighbouring letters may change places as one edit; place ~i is between the two.
+    """
+
+    def __init__(self, word: str, edits: int, swaps: bool = False):
+        self.word, self.edits, self.swaps = word, edits, swaps
 
     def start(self) -> tuple[tuple[int, int], ...]:
         return tuple((i, i) for i in range(min(self.edits, len(self.word)) + 1))
@@ -55,14 +59,20 @@ class Automaton:
     def step(self, state: tuple[tuple[int, int], ...], ch: str) -> tuple[tuple[int, int], ...]:
         word, n, best = self.word, len(self.word), {}
         for i, e in state:
+            if i < 0:
+                if word[~i] == ch:
+                    best[~i + 2] = min(e, best.get(~i + 2, e))
+                continue
+            if self.swaps and e < self.edits and i + 1 < n and word[i + 1] == ch:
+                best[~i] = min(e + 1, best.get(~i, e + 1))
             if i < n and word[i] == ch:
                 best[i + 1] = min(e, best.get(i + 1, e))
             if e < self.edits:
                 best[i] = min(e + 1, best.get(i, e + 1))  # a letter too many in the term
                 if i < n:
                     best[i + 1] = min(e + 1, best.get(i + 1, e + 1))  # another letter
-        for i in sorted(best):  # letters too many in the word
-            if i < n and best[i] < self.edits:
+        for i in range(max(0, min(best, default=0)), n):  # letters too many in the word
+            if best.get(i, self.edits) < self.edits:
                 best[i + 1] = min(best[i] + 1, best.get(i + 1, best[i] + 1))
         return tuple(sorted(best.items()))
 
@@ -70,21 +80,32 @@ class Automaton:
         return next((e for i, e in state if i == len(self.word)), None)
 
 
+def shortened(word: str, edits: int) -> set[str]:
+    """The word with up to ``edits`` letters left out; words within so many edits have one of these in common."""
+    out = last = {word}
+    for _ in range(edits):
+        last = {x[:i] + x[i + 1 :] for x in last for i in range(len(x))}
+        out = out | last
+    return out
+
+
 class Lexicon:
-    """Terms (with whether one edit may change them, and their weight) and stems (beginnings of terms, with their weight)."""
+    """Terms (with how many edits may change them, and their weight) and stems (beginnings of terms, with their weight).
 
-    def __init__(self, words: dict[str, tuple[bool, float]], stems: dict[str, float]):
-        self.words, self.stems = words, stems
+    ``clean`` are words that are no spelling of a term. With ``swaps``, two letters swapped are one edit.
+    """
+
+    def __init__(self, words: dict[str, tuple[int, float]], stems: dict[str, float], clean: Iterable[str] = (), swaps: bool = False):
+        self.words, self.stems, self.clean, self.swaps = words, stems, frozenset(clean), swaps
         self.trie: dict = {}
         for term, mark in [*((t, _END) for t in words), *((t, _STEM) for t in stems)]:
             at = self.trie
             for ch in term:
                 at = at.setdefault(ch, {})
             at[mark] = term
-        # One edit leaves the first or the second half of a term as it is.
-        halves = [(t[: len(t) // 2], t[-(len(t) // 2) :]) for t, (loose, _) in words.items() if loose]
-        self.heads, self.tails = {a for a, _ in halves}, {b for _, b in halves}
-        self.lengths = sorted({len(a) for a, _ in halves})
+        self.edits = max((int(e) for e, _ in words.values()), default=0)
+        self.longest = max((len(t) + e for t, (e, _) in words.items() if e), default=0)
+        self.shorter = {x for t, (e, _) in words.items() for x in shortened(t, int(e))} if self.edits else set()
         self.cache: dict[str, float] = {}
 
     def stem(self, word: str) -> str | None:
@@ -97,29 +118,37 @@ class Lexicon:
                 return at[_STEM]
         return None
 
-    def nearest(self, word: str) -> str | None:
-        """The first term in order within one edit, by walking automaton and trie together."""
-        if len(word) < FUZZY_FROM - 1 or not any(word[:n] in self.heads or word[-n:] in self.tails for n in self.lengths):
+    def near(self, word: str) -> tuple[int, str] | None:
+        """Edits and term of the nearest term in reach, the first in order of these, by walking automaton and trie together."""
+        if len(word) > self.longest or self.shorter.isdisjoint(shortened(word, self.edits)):
             return None
-        automaton = Automaton(word, 1)
+        automaton = Automaton(word, self.edits, self.swaps)
         found, todo = [], [(self.trie, automaton.start())]
         while todo:
             node, state = todo.pop()
-            if _END in node and self.words[node[_END]][0] and automaton.distance(state) is not None:
-                found.append(node[_END])
+            if _END in node:
+                edits = automaton.distance(state)
+                if edits is not None and edits <= self.words[node[_END]][0]:
+                    found.append((edits, node[_END]))
             for ch, child in node.items():
                 if ch not in (_END, _STEM) and (to := automaton.step(state, ch)):
                     todo.append((child, to))
         return min(found, default=None)
 
+    def nearest(self, word: str) -> str | None:
+        found = self.near(word)
+        return found[1] if found else None
+
     def weight(self, word: str) -> float:
         """Weight of a word in lower case; 0 if it is near no term."""
         if word in self.words:
             w = self.words[word][1]
         elif found := self.stem(word):
             w = self.stems[found]
+        elif word in self.clean:
+            w = 0.0
         else:
-            w = FUZZY_WEIGHT * self.words[found][1] if (found := self.nearest(word)) else 0.0
+            w = FUZZY_WEIGHT ** near[0] * self.words[near[1]][1] if (near := self.near(word)) else 0.0
         if len(self.cache) >= CACHE_ENTRIES:
             self.cache.clear()
         self.cache[word] = w
@@ -186,7 +215,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     try:
         total, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
         if not toxic or toxic == total:
-            return {"words": {}, "stems": {}, "curve": (math.log((toxic + 0.5) / (total - toxic + 0.5)), 0.0)}
+            return {"words": {}, "stems": {}, "clean": [], "curve": (math.log((toxic + 0.5) / (total - toxic + 0.5)), 0.0)}
         base = toxic / total
         words = F.array_distinct(F.regexp_extract_all(F.lower("t"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
         counts = rows.select("y", F.explode(words).alias("w")).groupBy("w").agg(F.sum("y").alias("pos"), F.count("*").alias("n")).persist()
@@ -210,12 +239,12 @@ def learn(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
         for r in stems:  # the shortest beginnings only
             if not r.w.startswith(tuple(short)):
                 short[r.w] = _weight(r.pos, r.n)
-        terms = {r.w: (len(r.w) >= FUZZY_FROM, _weight(r.pos, r.n)) for r in found if not r.w.startswith(tuple(short))}
-        # A term whose near spellings also are ordinary words of the labelled texts is matched as it stands only.
-        near = _near(counts, terms, short).groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")).collect()
-        terms |= {r.term: (False, terms[r.term][1]) for r in near if r.pos < PURITY * r.n}
+        edits = lambda w: (len(w) >= FUZZY_FROM) + (len(w) >= FUZZY_TWICE)
+        terms = {r.w: (edits(r.w), _weight(r.pos, r.n)) for r in found if not r.w.startswith(tuple(short))}
+        # Near spellings that are ordinary words of the labelled texts don't count.
+        clean = sorted(r.w for r in _near(counts, terms, short).where(F.col("pos") < PURITY * F.col("n")).select("w").collect())
         counts.unpersist()
-        model = {"words": terms, "stems": short}
+        model = {"words": terms, "stems": short, "clean": clean}
         scored = _mapped(rows.select("y", "t"), model, None, ["y"], "t")
         levels = scored.groupBy(F.round(F.least("x", F.lit(CAP)), 1).alias("x"), "y").agg(F.count("*").alias("n")).collect()
         model["curve"] = fitted([(r.x, r.y, r.n) for r in levels])
@@ -244,30 +273,29 @@ def fitted(levels: list[tuple[float, int, int]], ridge: float = 0.05) -> tuple[f
 
 
 @lru_cache(4)
-def _lexicon(words: tuple, stems: tuple) -> Lexicon:
-    return Lexicon(dict(words), dict(stems))
+def _lexicon(words: tuple, stems: tuple, clean: tuple = ()) -> Lexicon:
+    return Lexicon(dict(words), dict(stems), clean, swaps=True)
 
 
 def _near(counts: DataFrame, terms: dict, stems: dict) -> DataFrame:
-    """(pos, n, term) of every word that is one edit from a term and none itself."""
+    """(pos, n, w) of every word that is in reach of a term and none itself."""
     words, begin = tuple(sorted(terms.items())), tuple(sorted(stems.items()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = _lexicon(words, begin)
         for batch in batches:
-            pos, n, w = batch.columns
-            near = [None if x in lexicon.words or lexicon.stem(x) else lexicon.nearest(x) for x in w.to_pylist()]
-            yield pa.RecordBatch.from_arrays([pos, n, pa.array(near, pa.string())], names=["pos", "n", "term"])
+            near = [x not in lexicon.words and not lexicon.stem(x) and lexicon.near(x) is not None for x in batch.column(2).to_pylist()]
+            yield batch.filter(pa.array(near, pa.bool_()))
 
     rows = counts.select(F.col("pos").cast("long"), "n", "w")
-    return rows.mapInArrow(run, "pos long, n long, term string").where("term is not null")
+    return rows.mapInArrow(run, "pos long, n long, w string")
 
 
 def _mapped(df: DataFrame, model: dict, curve: tuple[float, float] | None, keep: list[str], text: str) -> DataFrame:
-    words, stems = tuple(sorted(model["words"].items())), tuple(sorted(model["stems"].items()))
+    words, stems, clean = tuple(sorted(model["words"].items())), tuple(sorted(model["stems"].items())), tuple(model["clean"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = _lexicon(words, stems)
+        lexicon = _lexicon(words, stems, clean)
         for batch in batches:
             *rest, texts = batch.columns
             x = [lexicon.abuse(t) if t else 0.0 for t in texts.to_pylist()]

@@ -68,3 +68,36 @@ def test_odd_rows(odd, empty, spark):
         assert not bare["words"] and all(0 <= r.score <= 1 for r in T.score(odd, bare, keep=["doc_id"]).collect())
     twice = labels.unionAll(labels).unionAll(spark.createDataFrame([(None, 1)], "doc_id long, toxic int"))
     assert set(T.learn(docs, twice)["words"]) == set(model["words"])
+
+
+def swapped(a, b):
+    """Edits from a to b where two neighbouring letters may change places as one."""
+    d = {(i, j): i + j for i in range(len(a) + 1) for j in range(len(b) + 1) if not i or not j}
+    for i, x in enumerate(a, 1):
+        for j, y in enumerate(b, 1):
+            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2]:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[len(a), len(b)]
+
+
+def test_swaps_and_two_edits():
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abc") for _ in range(rnd.randint(3, 9)))
+    terms = {w: ((len(w) >= 4) + (len(w) >= 8), 1.0) for w in (word() for _ in range(15))}
+    lexicon = T.Lexicon(terms, {}, swaps=True)
+    for _ in range(1500):
+        w = word()
+        near = [(swapped(w, t), t) for t, (edits, _) in terms.items() if swapped(w, t) <= edits]
+        assert lexicon.near(w) == (min(near) if near else None), (w, near)
+
+
+def test_clean_neighbours(spark):
+    docs, labels = corpus(spark)
+    ordinary = F.when(F.col("toxic") == 0, F.concat("text", F.lit(" idiom studio scam "))).otherwise(F.concat("text", F.lit(" scum ")))
+    docs = docs.join(labels, "doc_id").select("doc_id", ordinary.alias("text"))
+    model = T.learn(docs, labels)
+    lexicon = T.Lexicon(model["words"], model["stems"], model["clean"], swaps=True)
+    assert {"idiom", "scam"} <= set(model["clean"])
+    assert not any(lexicon.weight(w) for w in ("idiom", "scam", "studio"))
+    assert all(lexicon.weight(w) > 0 for w in ("idoit", "idiott", "stpuid", "scumm", "scmu", "wretvhde"))
