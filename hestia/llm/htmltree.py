@@ -1,6 +1,7 @@
 """Main text of web pages by scoring their element tree.
 
-Every paragraph gives points, for its commas and its length, to its parent,
+Every paragraph, and text of any other block that stands in no block inside
+it, gives points, for its commas and its length, to its parent,
 half of them to the next ancestor, a third to the one after, and so on; an
 element's points are discounted by the share of its text that stands in links.
 The best container and those of its siblings that look like it are kept. What
@@ -30,6 +31,8 @@ BLOCKS = set(
 CLOSES_P = BLOCKS - {"br"}
 PARAGRAPHS = set("p pre blockquote td li dd".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+#: Blocks whose own text gives its points to themselves; other blocks give them to their parent, as paragraphs do.
+CONTAINERS = set("div section article main body center".split()) | {"#root"}
 #: Start tags that end an open element of these names.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: An open element of these names isn't left by the start tags above.
@@ -165,13 +168,30 @@ def elements(e: Element) -> Iterator[Element]:
         todo += [c for c in reversed(x.children) if isinstance(c, Element)]
 
 
+def loose(e: Element) -> str:
+    """The element's text that stands in no block inside it."""
+    out: list[str] = []
+    todo: list[Element | str] = list(reversed(e.children))
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            out.append(x)
+        elif x.name not in BLOCKS:
+            todo += reversed(x.children)
+        else:
+            out.append(" ")
+    return "".join(out)
+
+
 def scored(root: Element) -> Element | None:
-    """The best container; None where no paragraph has text."""
+    """The best container; where nothing has points, the first article, main or body element with text, or else None."""
     for x in elements(root):
-        plain = x.name in ("div", "section", "article", "main", "body", "#root") and any(isinstance(c, str) and c.strip() for c in x.children)
-        if not (x.name in PARAGRAPHS or plain) or not x.length:
+        if not x.length or x.name in HEADINGS or x.name not in BLOCKS and x.name != "#root":
             continue
-        text = flat(x) if not plain else " ".join(c for c in x.children if isinstance(c, str))
+        text = flat(x) if x.name in PARAGRAPHS else loose(x)
+        if x.name not in PARAGRAPHS and not text.strip():
+            continue
+        plain = x.name in CONTAINERS
         points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - density(x))
         up, level = (x if plain else x.parent), 1
         while up is not None and level < 6:
@@ -181,6 +201,11 @@ def scored(root: Element) -> Element | None:
     for x in elements(root):
         if x.points * (1 - density(x)) > top:
             best, top = x, x.points * (1 - density(x))
+    if best is None:
+        for name in ("article", "main", "body"):
+            for x in elements(root):
+                if x.name == name and x.length:
+                    return x
     return best
 
 
@@ -222,8 +247,11 @@ def chosen(best: Element) -> list[Element]:
     return [x for x in best.parent.children if isinstance(x, Element) and alike(x)]
 
 
-def blocks(roots: list[Element]) -> list[str]:
-    """The text of each block, in page order, white space as one space."""
+def blocks(roots: list[Element], best: Element | None = None) -> list[str]:
+    """The text of each block, in page order, white space as one space.
+
+    Lists of links are left out, but not inside an article or main element or the best container.
+    """
     out: list[str] = []
     held: list[str] = []
 
@@ -234,18 +262,26 @@ def blocks(roots: list[Element]) -> list[str]:
             out.append(text)
 
     todo: list[Element | str | None] = list(reversed(roots))
+    inside = 0  # blocks left to end in which lists of links stay
+    ends: list[int] = []
     while todo:
         x = todo.pop()
+        while ends and len(todo) < ends[-1]:
+            ends.pop()
+            inside -= 1
         if x is None:
             flush()
         elif isinstance(x, str):
             held.append(x)
-        elif x.name in ("ul", "ol", "div", "table", "dl") and density(x) > 0.6 and sum(c.name == "a" for c in elements(x)) > 1:
+        elif not inside and not (x is best and x.name not in ("ul", "ol", "table", "dl")) and x.name in ("ul", "ol", "div", "table", "dl") and density(x) > 0.6 and sum(c.name == "a" for c in elements(x)) > 1:
             continue  # a list of links
         else:
             if x.name in BLOCKS:
                 flush()
                 todo.append(None)
+            if x.name in ("article", "main") or x is best and x.name not in ("body", "html", "#root"):
+                inside += 1
+                ends.append(len(todo))
             todo += reversed(x.children)
     flush()
     return out
@@ -256,7 +292,7 @@ def main_text(source: str | None) -> str:
     root = parsed(source or "")
     pruned(root)
     best = scored(root)
-    return " ".join(blocks(chosen(best))) if best is not None else ""
+    return " ".join(blocks(chosen(best), best)) if best is not None else ""
 
 
 def extract(pages: DataFrame, *, source: str = "html", keep: list[str]) -> DataFrame:

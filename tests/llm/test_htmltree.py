@@ -40,3 +40,21 @@ def test_rows(spark):
     got = H.extract(df, keep=["page_id", "url"]).collect()
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got) == [(0, "", 0), (1, "a, b", 4), (1, "a, b", 4), (2, "", 0)]
     assert H.extract(df.limit(0), keep=["page_id"]).count() == 0
+
+
+@pytest.mark.parametrize(
+    "body,want",
+    [
+        ("<article><span>One, two.</span></article>", "One, two."),
+        ("<article><div><font>One, two.<br>Three.</font></div></article>", "One, two. Three."),
+        ("<center><font>One, two.</font></center>", "One, two."),
+        ("<dl><dt>Term, one</dt></dl>", "Term, one"),
+        ("<my-story><my-part>One, two.</my-part></my-story>", "One, two."),
+        ("<article><h2>Only a heading</h2></article>", "Only a heading"),
+        ("<article><a href=/a>All linked</a></article>", "All linked"),
+        ("<article><p>Body, text.</p><ul><li><a href=/a>Source A</a><li><a href=/b>Source B</a></ul><p>End.</p></article>", "Body, text. Source A Source B End."),
+        ("<div id=wrap><ul><li><a href=/a>A</a><li><a href=/b>B</a></ul><article><p>Body, text.</p></article><ul><li><a href=/c>C</a><li><a href=/d>D</a></ul></div>", "Body, text."),
+    ],
+)
+def test_text_in_other_elements(body, want):
+    assert H.main_text(PAGE % body) == want
