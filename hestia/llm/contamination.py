@@ -12,11 +12,16 @@ word (positional and length bound); then the words there are compared one by
 one. Built-in functions only.
 
 The items' side is broadcast where a count shows that it has at most
-``BROADCAST_ROWS`` rows of bounded width; beyond that, Spark joins by shuffle.
+``BROADCAST_ROWS`` rows of bounded width; beyond that, Spark joins by shuffle:
+of the documents' shingles, those that a bit table of bounded size (a Bloom
+filter of one broadcast row) can't rule out go, without the words, which are
+joined to the candidates' documents afterwards.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +31,8 @@ from hestia.llm.common import WORD, ascii_lower, checkpointed
 SHINGLE = 3
 #: Rows up to which the items' side is broadcast (a hash, a few numbers, and the words of a window).
 BROADCAST_ROWS = 200_000
+#: Bits of the table for each row it is made of, and at most (8 MB).
+BITS_A_ROW, MOST_BITS = 16, 1 << 26
 
 
 def words(text: Column) -> Column:
@@ -55,9 +62,27 @@ def windows(items: DataFrame, width: int, item_id: str = "item_id", text: str =
     return each.select("item_id", "win", "size", k.alias("k"), sh.alias("sh"))
 
 
-def _small(df: DataFrame, most: int) -> DataFrame:
-    """``df`` with a broadcast hint where it has at most ``most`` rows."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def _is_small(df: DataFrame, most: int) -> bool:
+    """Whether ``df`` has at most ``most`` rows."""
+    return df.limit(most + 1).count() <= most
+
+
+def sieved(rows: DataFrame, by: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose keys may be in ``by``: all that are, and few others unless the table is full."""
+    wanted = max(1, by.count()) * BITS_A_ROW
+    bits = min(MOST_BITS, max(64, 1 << (wanted - 1).bit_length()))
+    places = [F.pmod(F.xxhash64(F.lit(i), *keys), F.lit(bits)) for i in range(2)]
+    marked = by.select(F.explode(F.array(*places)).alias("b")).select((F.col("b") / 64).cast("int").alias("at"), F.pmod("b", F.lit(64)).cast("int").alias("bit"))
+    # bits / 64 rows at most.
+    cells = marked.distinct().groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("cell")).toArrow()
+    filled = np.zeros(bits // 64, dtype=np.int64)
+    filled[cells["at"].to_numpy()] = cells["cell"].to_numpy()
+    one = rows.sparkSession.createDataFrame(pa.table({"__bits": pa.array([filled], pa.list_(pa.int64()))}))
+    held = F.lit(True)
+    for p in places:
+        bit = F.call_function("getbit", F.get("__bits", (p / 64).cast("int")), F.pmod(p, F.lit(64)).cast("int"))
+        held = held & (bit == 1)
+    return rows.join(F.broadcast(one), held).select(rows.columns)
 
 
 def hits(docs: DataFrame, items: DataFrame, *, width: int = 10, keys: list[str], text: str = "text") -> DataFrame:
@@ -81,7 +106,10 @@ def hits(docs: DataFrame, items: DataFrame, *, width: int = 10, keys: list[str],
     if not sizes:
         return docs.select(*keys, F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"), F.lit(0).alias("start"), F.lit(0).alias("size")).limit(0)
     wanted = wins.select("k", F.explode(F.array_distinct("sh")).alias("h")).distinct()
-    often = in_documents([]).join(_small(wanted, BROADCAST_ROWS), ["k", "h"]).groupBy("k", "h").agg(F.count("*").alias("n"))
+    if _is_small(wanted, BROADCAST_ROWS):
+        often = in_documents([]).join(F.broadcast(wanted), ["k", "h"]).groupBy("k", "h").agg(F.count("*").alias("n"))
+    else:
+        often = sieved(in_documents([]), wanted, ["k", "h"]).groupBy("k", "h").agg(F.count("*").alias("n")).join(wanted, ["k", "h"])
     # The rarest shingle of each window; one that no document has rules the window out.
     ranked = (
         wins.select("item_id", "win", "size", "k", F.posexplode("sh").alias("at", "h"))
@@ -91,8 +119,15 @@ def hits(docs: DataFrame, items: DataFrame, *, width: int = 10, keys: list[str],
         .where("rare.n > 0")
     )
     prefix = checkpointed(ranked.select("k", F.col("rare.h").alias("h"), F.col("rare.at").alias("at"), "item_id", "win", "size"))
-    found = in_documents([*keys, "w"]).join(_small(prefix, BROADCAST_ROWS), ["k", "h"])
     start = F.col("pos") - F.col("at")
+    if _is_small(prefix, BROADCAST_ROWS):
+        found = in_documents([*keys, "w"]).join(F.broadcast(prefix), ["k", "h"])
+    else:
+        shared = sieved(in_documents(keys), prefix.select("k", "h").distinct(), ["k", "h"]).join(prefix, ["k", "h"])
+        shared = checkpointed(shared.where(start >= 0).drop("k", "h").distinct())
+        of = shared.withColumnsRenamed({x: f"__of_{x}" for x in keys})
+        same_row = [F.col(x).eqNullSafe(F.col(f"__of_{x}")) for x in keys]
+        found = sieved(tokens, shared.select(*keys).distinct(), keys).join(of, same_row)
     fits = (start >= 0) & (start + F.col("size") <= F.size("w"))
     same = F.slice("w", start + 1, F.col("size")) == F.col("win")
     # The second condition is tried only where the window fits.

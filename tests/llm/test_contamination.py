@@ -52,3 +52,22 @@ def test_random_texts(spark, monkeypatch):
     check(docs, items, 4)
     monkeypatch.setattr(C, "BROADCAST_ROWS", 0)
     check(docs, items, 5)
+
+
+def test_shuffled_rows_are_narrow(spark, odd, items, monkeypatch):
+    docs = odd.select("doc_id", "text")
+    monkeypatch.setattr(C, "BROADCAST_ROWS", 0)
+    check(docs, items, 10)
+    kept = C.without_benchmark(odd, items)
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 3, 4, 5, 7, 8, 9]
+    keyed = docs.where("doc_id is not null").select("doc_id", "text").distinct()
+    plan = C.hits(keyed, items, keys=["doc_id"])._jdf.queryExecution().executedPlan().toString()
+    for line in plan.split("\n"):  # no shingle row carries the words of its document
+        assert not ("Generate posexplode" in line and re.search(r"\[[^\]]*\bw#", line.split("posexplode", 1)[1].split("),", 1)[-1])), line
+
+
+def test_sieve(spark):
+    rows, by = spark.range(5000).selectExpr("id AS k", "xxhash64(id) AS h"), spark.range(0, 5000, 50).selectExpr("id AS k", "xxhash64(id) AS h")
+    kept = C.sieved(rows, by, ["k", "h"])
+    assert kept.columns == ["k", "h"] and kept.join(by, ["k", "h"]).count() == 100 and kept.count() < 400
+    assert C.sieved(rows, by.limit(0), ["k", "h"]).count() == 0
