@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hestia.llm import bpe, contamination, htmltree, language, ledger, licences, merkle, simhash, toxicity, warc
+from hestia.llm import bpe, centroids, contamination, htmltree, language, ledger, licences, merkle, simhash, toxicity, warc
 from hestia.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,29 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
     return bpe.encode(table(spark, sf_dir, "documents"), path("byte_bpe_50k.tiktoken"), keep=["doc_id"], outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@query
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"), clusters=8, rounds=10, scale=1024, salt="3:")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _op11_round(i: int) -> str:
+    near = "min({'d': list_sum(list_transform(list_zip(k.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'c': c.c})"
+    return f"""a{i} AS MATERIALIZED (SELECT rid, {near} AS m FROM k, c{i} AS c GROUP BY rid),
+p{i} AS MATERIALIZED (SELECT m.c AS c, unnest(range(1, 65)) AS i, unnest(v) AS x FROM a{i} JOIN k USING (rid)),
+s{i} AS (SELECT c, i, CAST(sum(x) AS HUGEINT) AS s, count(*) AS n FROM p{i} GROUP BY c, i),
+l{i} AS (SELECT c, list(CAST((s - (((s % n) + n) % n)) // n AS BIGINT) ORDER BY i) AS v FROM s{i} GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT c.c, coalesce(l.v, c.v) AS v FROM c{i} AS c LEFT JOIN l{i} AS l ON c.c = l.c)"""
+
+
+ORACLES["op11_centroids"] = f"""
+WITH k AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS rid, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS c, v FROM (SELECT sha256('3:' || vec_id) AS h, v FROM k ORDER BY h LIMIT 8)),
+{", ".join(_op11_round(i) for i in range(10))},
+f AS MATERIALIZED (SELECT rid, min({{'d': list_sum(list_transform(list_zip(k.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'c': c.c}}) AS m FROM k, c10 AS c GROUP BY rid)
+SELECT vec_id, CAST(m.c AS INTEGER) AS cluster, CAST(m.d AS BIGINT) AS distance, CAST(sum(m.d) OVER (PARTITION BY m.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(m.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM f JOIN k ON f.rid = k.rid JOIN c10 AS c ON c.c = m.c"""
