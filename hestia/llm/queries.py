@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hestia.llm import bpe, centroids, contamination, htmltree, language, ledger, licences, merkle, simhash, toxicity, warc
+from hestia.llm import bpe, centroids, contamination, divergence, htmltree, language, ledger, licences, merkle, simhash, toxicity, warc
 from hestia.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +188,29 @@ f AS MATERIALIZED (SELECT rid, min({{'d': list_sum(list_transform(list_zip(k.v,
 SELECT vec_id, CAST(m.c AS INTEGER) AS cluster, CAST(m.d AS BIGINT) AS distance, CAST(sum(m.d) OVER (PARTITION BY m.c) AS BIGINT) AS cluster_inertia,
   CAST(sum(m.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
 FROM f JOIN k ON f.rid = k.rid JOIN c10 AS c ON c.c = m.c"""
+
+
+@query
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), least_docs=30, top=50)
+
+
+_OP12_SHARE = "1 + (1000000000::HUGEINT * ({n} + 5)) // ({total} + 5 * v)"
+ORACLES["op12_divergence"] = rf"""
+WITH d AS MATERIALIZED (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS rid,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS MATERIALIZED (SELECT lang, source, rid, term, count(*) AS n FROM (SELECT lang, source, rid, unnest(w) AS term FROM d) GROUP BY ALL),
+k AS MATERIALIZED (SELECT lang, term, sum(n) AS n FROM t GROUP BY lang, term HAVING count(*) >= 30),
+l AS MATERIALIZED (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+c AS MATERIALIZED (SELECT g.lang, g.source, k.term, k.n AS of_lang, coalesce(x.n, 0) AS n FROM g JOIN k ON g.lang = k.lang
+  LEFT JOIN (SELECT lang, source, term, sum(n) AS n FROM t GROUP BY ALL) x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term),
+s AS (SELECT lang, source, sum(n) AS own FROM c GROUP BY lang, source),
+p AS MATERIALIZED (SELECT c.lang, c.source, c.term, c.n, {_OP12_SHARE.format(n="c.n", total="own")} AS p, {_OP12_SHARE.format(n="of_lang", total="l.total")} AS q
+  FROM c JOIN s ON c.lang = s.lang AND c.source = s.source JOIN l ON l.lang = c.lang),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source != b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source != b.source
+  LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 50"""
