@@ -13,6 +13,7 @@ language's terms at a time, in numpy; sums of the blocks are added up.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,6 +32,7 @@ HELD, BLOCK = 150_000, 1 << 20
 #: Sources on a side of a tile and terms of a block, on average.
 SOURCES, TERMS = 128, 2048
 
+_PARTING = re.compile(rb"[^A-Za-z\x80-\xff]")
 #: Letters of ASCII in lower case and all bytes of other characters stay; the rest parts terms.
 _TERMS = bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -40,13 +42,10 @@ def pieces(text: bytes) -> Iterator[list[bytes]]:
     at = 0
     while at < len(text):
         end = at + BLOCK
-        part = text[at:end].translate(_TERMS)
-        while end < len(text) and part[-1] != 32:  # a term goes on
-            more = text[end : end + BLOCK].translate(_TERMS)
-            cut = more.find(b" ")
-            part += more if cut < 0 else more[: cut + 1]
-            end += len(more) if cut < 0 else cut + 1
-        yield part.split()
+        if end < len(text):
+            cut = _PARTING.search(text, end)
+            end = cut.start() if cut else len(text)
+        yield text[at:end].translate(_TERMS).split()
         at = end
 
 

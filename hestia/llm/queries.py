@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hestia.llm import bpe, centroids, contamination, divergence, htmltree, language, ledger, licences, merkle, simhash, toxicity, warc
+from hestia.llm import bpe, centroids, contamination, divergence, htmltree, language, ledger, licences, merkle, quality, simhash, toxicity, warc
 from hestia.llm.common import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,3 +214,11 @@ pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(va
 terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE n > 0 AND p > q),
 r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 50"""
+
+
+@query
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", quality.held_out(crc_of_id()).alias("held_out"))
+    labels = table(spark, sf_dir, "labels").where(~quality.held_out(crc_of_id()))
+    found = quality.score(docs, quality.learn(docs, labels), keep=["doc_id", "held_out"])
+    return found.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
