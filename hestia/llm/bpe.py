@@ -28,14 +28,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hestia.llm.common import reading, sliced
+
 #: Classes of code points as the automaton reads them.
 LETTER, NUMBER, OTHER, APOS1, APOS2, SPACE_LAST, WHITE_LAST, WHITE, RESET = range(9)
 #: States: nothing open, in letters, in numbers, in others, after a joining space, in white space, one or two contraction letters to come.
 NONE, IN_L, IN_N, IN_O, JOIN, IN_W, ONE, TWO = range(8)
 #: White space as the splitting pattern means it (the Unicode property).
 WHITE_SPACE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-#: Entries that the cache of a worker holds at most; beyond it, it starts anew.
-CACHE_ENTRIES = 500_000
+#: Entries that the cache of a task holds at most, each of a slice of ``LONG_SLICE`` at most; beyond it, it starts anew.
+CACHE_ENTRIES = 60_000
 #: A slice longer than this is merged with a heap and isn't cached.
 LONG_SLICE = 200
 #: Code points that one round of the scan takes at most (a longer text has a round of its own).
@@ -277,27 +279,33 @@ OUTPUTS = {
 }
 
 
-def _encoded(path: str, outputs: list[str], names: list[str]):
+def _encoded(path: str, outputs: list[str], names: list[str], place: int, kept: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
-        for batch in batches:
-            *rest, text = batch.columns
-            rows: dict[str, list] = {x: [] for x in outputs}
-            for groups, begin in e.encode([t or "" for t in text.to_pylist()]):
-                ids = [i for g, _ in groups for i in g]
-                for name, held in rows.items():
-                    if name == "n_tokens":
-                        held.append(len(ids))
-                    elif name == "ids":
-                        held.append(ids)
-                    elif name == "offsets":
-                        held.append([b for (g, _), b in zip(groups, begin) for _ in g])
-                    elif name == "ids_sha256":
-                        held.append(hashlib.sha256(" ".join([decimal for _, decimal in groups]).encode()).hexdigest())
-                    else:
-                        held.append(hashlib.sha256(e.decode(ids)).hexdigest())
-            made = [pa.array(held, OUTPUTS[name][1]) for name, held in rows.items()]
-            yield pa.RecordBatch.from_arrays([*rest, *made], names=[*batch.schema.names[:-1], *names])
+        try:
+            for batch in sliced(batches, place):
+                yield one(e, batch)
+        finally:
+            e.cache.clear()  # the worker may live on for other stages
+
+    def one(e: Encoder, batch: pa.RecordBatch) -> pa.RecordBatch:
+        text = batch.column(place)
+        rows: dict[str, list] = {x: [] for x in outputs}
+        for groups, begin in e.encode([t or "" for t in text.to_pylist()]):
+            ids = [i for g, _ in groups for i in g]
+            for name, held in rows.items():
+                if name == "n_tokens":
+                    held.append(len(ids))
+                elif name == "ids":
+                    held.append(np.array(ids, np.int32))
+                elif name == "offsets":
+                    held.append(np.array([b for (g, _), b in zip(groups, begin) for _ in g], np.int32))
+                elif name == "ids_sha256":
+                    held.append(hashlib.sha256(" ".join([decimal for _, decimal in groups]).encode()).hexdigest())
+                else:
+                    held.append(hashlib.sha256(e.decode(ids)).hexdigest())
+        made = [pa.array(held, OUTPUTS[name][1]) for name, held in rows.items()]
+        return pa.RecordBatch.from_arrays([*batch.columns[:kept], *made], names=[*batch.schema.names[:kept], *names])
 
     return run
 
@@ -315,10 +323,10 @@ def encode(df: DataFrame, path: str, *, text: str = "text", keep: list[str], out
     """
     from pyspark.sql.types import StructType
 
-    chosen = df.select(*keep, F.col(text).alias("__text"))
+    chosen, place = reading(df, keep, text)
     names = [f"{prefix}{x}" for x in outputs]
     made = StructType.fromDDL(", ".join(f"`{n}` {OUTPUTS[x][0]}" for n, x in zip(names, outputs)))
-    return chosen.mapInArrow(_encoded(path, list(outputs), names), StructType([*chosen.schema.fields[:-1], *made.fields]))
+    return chosen.mapInArrow(_encoded(path, list(outputs), names, place, len(keep)), StructType([*chosen.schema.fields[: len(keep)], *made.fields]))
 
 
 def decode(ids: Column, path: str) -> Column:

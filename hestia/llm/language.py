@@ -3,31 +3,35 @@
 A dictionary is raw text of the language. A text is compressed with each one;
 the one that gives the smallest result names the language, since text of its
 own language finds the most in it. Texts are normalised first: lower case,
-letters only, white space as one space. Where sizes tie, as for very short
-texts, the dictionary that holds more of the text's three-letter pieces wins.
-
-The dictionaries are the only thing learned: for each language, the texts with
-the smallest hash in each of ``SAMPLE`` buckets of hashes, up to
-``DICTIONARY`` bytes. That bounds what the driver gets at ``SAMPLE`` texts of
-``PIECE`` characters a language, whatever the input's size.
+letters only, white space as one space. A text whose second best size is within
+``MARGIN`` of the best is rejected. Where sizes are within ``TIE``, as for very
+short texts, the dictionary that holds more of the text's three-letter pieces
+names the language; that changes nothing about the rejection.
+
+The dictionaries are the only thing learned: for each language, a piece of the
+texts with the smallest hash in each of ``SAMPLE`` buckets of hashes, up to
+``DICTIONARY`` bytes. A piece is ``PIECE`` characters from a place in the text
+that its hash tells. That bounds what the driver gets at ``SAMPLE`` pieces a
+language, whatever the input's size; more than ``LANGUAGES`` are an error.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from hestia.llm.common import reading, sliced
+
 #: Texts a language, characters from each, bytes of a dictionary, languages at most.
 SAMPLE, PIECE, DICTIONARY, LANGUAGES = 256, 2000, 1 << 18, 1000
 LEVEL = 9
-#: A text is rejected where the second best size is less than this share above the best.
-MARGIN = 0.01
+#: A text is rejected where the second best size is less than this share above the best; sizes within this share (or two bytes) tie.
+MARGIN, TIE = 0.005, 0.02
 #: Characters compressed at a time; sizes of the pieces of a longer text are added up.
 BLOCK = 1 << 20
 
@@ -44,8 +48,9 @@ def learn(df: DataFrame, *, text: str = "text", lang: str = "lang") -> dict[str,
     Two passes of aggregates that combine before the shuffle: the smallest
     hash of each language and bucket, then the texts with these hashes.
     """
+    at = F.pmod(F.xxhash64(text), F.greatest(F.lit(1), F.char_length(text) - PIECE + 1)).cast("int") + 1
     known = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
-        F.col(lang).alias("lang"), F.left(F.col(text), F.lit(PIECE)).alias("text"), F.xxhash64(text).alias("h")
+        F.col(lang).alias("lang"), F.substring(text, at, F.lit(PIECE)).alias("text"), F.xxhash64(text).alias("h")
     )
     least = known.groupBy("lang", F.pmod("h", F.lit(SAMPLE)).alias("b")).agg(F.min("h").alias("h"))
     rows = least.limit(SAMPLE * LANGUAGES + 1).collect()
@@ -90,22 +95,15 @@ class Classifier:
             return "und", 0.0, True
         sizes = self.sizes(clean)
         least = min(sizes)
-        padded = f" {clean} "
-        tied = [i for i, s in enumerate(sizes) if s - least <= max(2, least // 50)]
+        margin = (sorted(sizes)[1] - least) / least if len(sizes) > 1 else 1.0
+        tied = [i for i, s in enumerate(sizes) if s - least <= max(2, TIE * least)]
+        best, confidence = tied[0], margin
         if len(tied) > 1:
+            padded = f" {clean} "
             held = [sum(padded[j : j + 3] in self.pieces[i] for j in range(len(padded) - 2)) for i in range(len(sizes))]
             best = max(tied, key=lambda i: (held[i], -sizes[i], -i))
-            others = [held[i] for i in tied if i != best]
-            margin = max(0.0, (held[best] - max(others)) / (len(padded) - 2))
-        else:
-            best = tied[0]
-            margin = (min([s for i, s in enumerate(sizes) if i != best] or [2 * least]) - least) / least
-        return self.names[best], min(1.0, 0.5 + 5 * margin), margin < MARGIN and len(self.names) > 1
-
-
-@lru_cache(4)
-def _classifier(items: tuple[tuple[str, bytes], ...]) -> Classifier:
-    return Classifier(dict(items))
+            confidence = max(0.0, (held[best] - max(held[i] for i in tied if i != best)) / (len(padded) - 2))
+        return self.names[best], min(1.0, 0.5 + 5 * confidence), margin < MARGIN
 
 
 def classify(df: DataFrame, dictionaries: dict[str, bytes], *, text: str = "text", keep: list[str], names: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
@@ -115,19 +113,18 @@ def classify(df: DataFrame, dictionaries: dict[str, bytes], *, text: str = "text
     is ``und`` with score 0, and rejected; equal texts get equal rows; an
     empty table gives an empty one. Without any dictionary all are ``und``.
     """
-    items = tuple(sorted(dictionaries.items()))
+    chosen, place = reading(df, keep, text)
+    kept = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = _classifier(items)
-        for batch in batches:
-            *rest, texts = batch.columns
-            rows = [c.predict(t) for t in texts.to_pylist()]
+        c = Classifier(dictionaries)  # dropped with the task: the worker may live on for other stages
+        for batch in sliced(batches, place):
+            rows = [c.predict(t) for t in batch.column(place).to_pylist()]
             made = [pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.string(), pa.float64(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([*rest, *made], names=[*batch.schema.names[:-1], *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *made], names=[*batch.schema.names[:kept], *names])
 
-    chosen = df.select(*keep, F.col(text).alias("__text"))
     a, b, c = names
-    fields = StructType([*chosen.schema.fields[:-1], *StructType.fromDDL(f"`{a}` string, `{b}` double, `{c}` boolean").fields])
+    fields = StructType([*chosen.schema.fields[:kept], *StructType.fromDDL(f"`{a}` string, `{b}` double, `{c}` boolean").fields])
     return chosen.mapInArrow(run, fields)
 
 

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from hestia.llm.common import sliced
+
 #: Labelled rows that are learned from, about at most: a larger table is thinned by a hash to this number.
 LABELLED = 20_000
 #: Bins of a feature, and of each feature of a pair; pairs that get a table.
@@ -261,8 +263,10 @@ def learn(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
 def _mapped(df: DataFrame, model: Model | None, keep: list[str], text: str) -> DataFrame:
     """``keep`` and ``__x``: the features, or with a model the score."""
 
+    place = len(keep)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, place):
             *rest, texts = batch.columns
             x = measured(texts)
             if model is None:

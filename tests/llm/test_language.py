@@ -44,3 +44,22 @@ def test_odd_rows(spark, odd, empty):
 def test_near_ties_are_rejected():
     c = L.Classifier({"a": b"one two three four five six seven", "b": b"one two three four five six seven"})
     assert c.predict("one two three")[2] and c.predict(None) == ("und", 0.0, True)
+
+
+def test_rejection_is_by_the_margin_of_sizes(spark, sf):
+    """Against sizes taken one by one: under the margin all are rejected, above it none."""
+    df = spark.read.parquet(f"{sf}/documents.parquet").withColumn("held_out", L.held_out(crc_of_id()))
+    learned = L.learn(df.where("not held_out"))
+    c = L.Classifier(learned)
+    ends = [(" ".join(t.split()[:k])) for (t,) in df.select("text").limit(80).collect() for k in (1, 2, 3, 5, 9)]
+    texts = spark.createDataFrame([(t,) for t in ends], "text string")
+    narrow = 0
+    for r in L.classify(texts, learned, keep=["text"]).collect():
+        clean = L.normalised(r.text)
+        if not clean:
+            assert r.rejected and r.lang_pred == "und"
+            continue
+        a, b = sorted(c.sizes(clean))[:2]
+        assert r.rejected == ((b - a) / a < L.MARGIN)
+        narrow += r.rejected
+    assert narrow > 5
