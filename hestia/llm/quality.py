@@ -251,8 +251,9 @@ def learn(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("__id")).agg((F.avg(label) >= 0.5).cast("int").alias("y"))
     total = known.count()
     part = F.pmod(F.xxhash64("__id"), F.lit(1 << 30))
+    # Hashes are even, so this is within a few hundredths of ``LABELLED`` rows: small enough to broadcast.
     known = known.where(part < int(min(1.0, LABELLED / max(1, total)) * (1 << 30)))
-    rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).cast("binary").alias("t")).where("t is not null").join(known, "__id")
+    rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).cast("binary").alias("t")).where("t is not null").join(F.broadcast(known), "__id")
     aside = F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(1000)) < int(1000 * ASIDE)
     found = _mapped(rows.select("__id", "y", aside.alias("aside"), "t"), None, ["__id", "y", "aside"], "t").collect()
     found.sort(key=lambda r: (r["__id"], r["__x"]))
