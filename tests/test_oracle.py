@@ -9,9 +9,6 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from hestia.sources.tables import TABLES
 
-SKIP_SLOW = {"model_compare", "cv_scores", "feature_importance", "model_residual_hist", "model_dropped_rows"}
-
-
 def _norm(v):
     if isinstance(v, float) and math.isnan(v):
         return None
@@ -49,6 +46,6 @@ def test_matches_oracle(spark, sf, duck, name):
     assert _rows(sdf.columns, srows) == _rows(dcols, cur.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql()) - SKIP_SLOW))
+@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql())))
 def test_rows_only_queries_run(spark, sf, name):
     assert queries()[name](spark, sf).count() >= 0

@@ -63,6 +63,8 @@ def test_models_of_each_kind(spark):
     imp = [(r["model"], -r["importance"], r["feature"]) for r in m.importances.collect()]
     assert imp == sorted(imp) and len(imp) == 18
     assert M.max_bins_for(fused) == 256
+    cats = {r.feature: r for r in m.categories.collect()}
+    assert cats["ville"].labels == 3 and cats["ville"].bins == 4 and cats["ville"].test_rows_in_overflow == 0
     assert [len(M.param_grid(M.make_regressor(k, 256), v)) for k, v in M.FULL_GRIDS.items()] == [3, 4, 4]
 
 
@@ -75,3 +77,41 @@ def test_split_ignores_partitioning(spark, sf):
     ka = sorted(r[0] for r in a.select("p_partkey").collect())
     kb = sorted(r[0] for r in b.select("p_partkey").collect())
     assert ka == kb and 0.7 < len(ka) / part.count() < 0.9
+
+
+def test_rare_labels_share_a_bin(spark):
+    """Categories are counted over the whole training split; what has no bin of its own is in the last, and counted."""
+    rows = [(float(1000 + i), 2.0, 40.0, "69001", f"v{i % 40}" if i % 5 else "big", None if i % 50 == 0 else "maison", str(i % 3)) for i in range(1500)]
+    table, _ = M.model_table(spark.createDataFrame(rows, "prix double, pieces double, surface double, code_postal string, ville string, type_bien string, etage string"))
+    ready = M.prepare(table, table.columns, folds=3, fit_rows=100, max_bins=9)
+    assert ready.train.count() == 100 and {r.fold for r in ready.train.select("fold").distinct().collect()} <= {0, 1, 2}
+    cats = {r.feature: r for r in ready.categories.collect()}
+    train, test = M.split_by_key(table, table.columns)
+    first = [r.ville for r in train.groupBy("ville").count().orderBy(F.desc("count"), "ville").limit(8).collect()]
+    assert cats["ville"].bins == 9 and cats["ville"].labels == train.select("ville").distinct().count()
+    assert cats["ville"].test_rows_in_overflow == test.filter(~F.col("ville").isin(first)).count() > 0
+    assert cats["type_bien"].test_rows_in_overflow == test.filter("type_bien is null").count()
+    assert ready.train.schema["features"].metadata["ml_attr"]["attrs"]["nominal"]
+
+
+def test_search_is_read_back(spark, sf, monkeypatch):
+    from hestia.sources.tables import load
+
+    part = load(spark, sf.replace("sf0.001", "sf0.01"), "part").select(
+        F.col("p_retailprice").cast("double").alias("prix"), F.col("p_size").cast("double").alias("pieces"), F.col("p_size").cast("double").alias("surface"),
+        F.lit("69001").alias("code_postal"), F.col("p_brand").alias("ville"), F.col("p_type").alias("type_bien"), F.col("p_size").cast("string").alias("etage"),
+    )
+    options = {"grids": {"dt": {"maxDepth": [2]}}, "folds": 2, "fit_rows": 400}
+    first = {k: sorted(map(tuple, v.collect()), key=repr) for k, v in M.search_results(spark, part, **options).items()}
+    monkeypatch.setattr(M, "fit_price_models", None)
+    again = M.search_results(spark, part, **options)
+    assert set(first) == set(M.RESULTS) and first == {k: sorted(map(tuple, v.collect()), key=repr) for k, v in again.items()}
+
+
+def test_ranks_across_ranges(spark):
+    """Ranks are those of one sort, whatever the size of a range, with many labels of one frequency."""
+    rows = [(f"w{i:03d}",) for i in range(300)] + [("w007",)] * 3 + [("w100",)] * 2 + [(None,)]
+    df = spark.createDataFrame(rows, "w string").repartition(5)
+    want = {w: float(i) for i, w in enumerate(["w007", "w100", *[f"w{i:03d}" for i in range(300) if i not in (7, 100)]])}
+    for size in (7, 100_000):
+        assert {r.w: r.w_idx for r in M.category_index_table(spark, df, "w", per_range=size).collect()} == want
