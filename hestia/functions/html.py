@@ -8,11 +8,12 @@ pages is processed like any other table (no parser object per row).
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from hestia.functions.text import ColumnOrName, _c
 
@@ -158,6 +159,87 @@ def element_html(col: ColumnOrName, tag: str, cls: str | None = None, id_: str |
     return F.when(c.contains(literal), found) if literal else found
 
 
+# A tag (closing mark, name, attributes), any markup, a reference, and a class attribute.
+_TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)(?=[\s/>])([^>]*)>")
+_MARKUP, _ANY_REFERENCE = re.compile("<[^>]*>"), re.compile(_REFERENCE)
+_CLASS = re.compile(r"""\s(?i:class)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+
+
+def page_elements(html: str) -> list[tuple[str, frozenset[str], int, int]]:
+    """Every element of a page in the order of their opening tags: name in lower case, classes, and where its content begins and ends.
+
+    One scan: a closing tag ends the last open element of its name; one that
+    none awaits is passed over, and an element left open runs to the page's end.
+    """
+    found: list[list] = []
+    waiting: dict[str, list[int]] = {}
+    for m in _TAG.finditer(html):
+        name = m[2].lower()
+        if m[1]:
+            if stack := waiting.get(name):
+                found[stack.pop()][3] = m.start()
+            continue
+        classes = frozenset(x for c in _CLASS.findall(m[3]) for x in (c[0] or c[1] or c[2]).split()) if m[3] else frozenset()
+        waiting.setdefault(name, []).append(len(found))
+        found.append([name, classes, m.end(), len(html)])
+    return [tuple(x) for x in found]
+
+
+def _content(html: str, elements: list[tuple[str, frozenset[str], int, int]], path: Sequence[tuple[str | None, str | None]]) -> str | None:
+    """Inner HTML of the first element of the path's last step within the first one of the steps before; null if there is none or it is empty."""
+    begin, end = 0, len(html)
+    for tag, cls in path:
+        for name, classes, a, b in elements:
+            if begin < a <= end and (tag is None or name == tag) and (cls is None or cls in classes):
+                begin, end = a, min(b, end)
+                break
+        else:
+            return None
+    return html[begin:end] or None
+
+
+def _decoded(m: re.Match) -> str:
+    """What ``_character`` does, for one match of ``_REFERENCE``."""
+    ref = m[1]
+    if ref[0] != "#":
+        return ENTITIES.get(ref, m[0])
+    code = int(ref[2:], 16) if ref[1] in "xX" else int(ref[1:]) if len(ref) < 20 else 0
+    return chr(code) if 1 <= code <= 0x10FFFF and not 0xD800 <= code <= 0xDFFF else m[0]
+
+
+def _finished(inner: str | None) -> str | None:
+    """What ``finish_text`` does, for one value."""
+    if inner and "<" in inner:
+        inner = _MARKUP.sub("", inner)
+    if inner and "&" in inner:
+        inner = _ANY_REFERENCE.sub(_decoded, inner)
+    return (inner.strip() or None) if inner else None
+
+
+def element_fields(col: ColumnOrName, fields: Mapping[str, Sequence[tuple[str | None, str | None]]], text: bool = True) -> Column:
+    """H2/H3 for many fields at once: a struct of each one's visible text (as ``finish_text`` gives it; or, without
+    ``text``, its inner HTML), read from one scan of the page.
+
+    A field is a path of (tag, class), each within the one before; a tag or
+    class of ``None`` is any. Null where an element is absent or empty, and in
+    all fields of a null page.
+    """
+    paths = {name: [(t.lower() if t else None, c) for t, c in path] for name, path in fields.items()}
+
+    @F.pandas_udf(StructType([StructField(name, StringType()) for name in paths]))
+    def read(pages):  # type: ignore[no-untyped-def]
+        import pandas as pd
+
+        rows = []
+        for html in pages:
+            elements = page_elements(html) if html is not None else []
+            found = [_content(html, elements, path) if elements else None for path in paths.values()]
+            rows.append([_finished(x) for x in found] if text else found)
+        return pd.DataFrame(rows, columns=list(paths), dtype=object)
+
+    return read(_c(col))
+
+
 def any_element_html(col: ColumnOrName, cls: str) -> Column:
     """Inner HTML of the first element with the class, whatever its tag."""
     c = _c(col)

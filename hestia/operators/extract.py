@@ -109,36 +109,27 @@ def extract_listing_details(pages: DataFrame, html: str = "html", url: str = "ur
 
     A field that cannot be read is null (never a failed row): ``try_cast``
     and null-on-no-match regexes stand in for per-field exception handlers.
-    Stage 1 reads every raw field with one regex pass over the page;
-    later stages work on those short strings only.
+    Stage 1 reads the texts of all fields from one scan of the page's
+    elements; later stages work on those short strings only.
     """
-    h = F.col(html)
-    raw = pages.select(
-        F.col(url).alias("lien"),
-        H.element_html(h, "title").alias("r_title"),
-        H.element_html(h, *DETAIL_H1).alias("r_h1"),
-        H.element_html(h, *DETAIL_PRICE).alias("r_price"),
-        H.element_html(h, *DETAIL_AREA).alias("r_area"),
-        H.element_html(h, *DETAIL_ROOMS).alias("r_rooms"),
-        H.element_html(h, *DETAIL_DESC).alias("r_desc"),
-        H.nested_html(h, *DETAIL_DPE).alias("r_dpe"),
-    )
+    fields = {
+        "title": [("title", None)], "h1": [DETAIL_H1], "price": [DETAIL_PRICE], "area": [DETAIL_AREA],
+        "rooms": [DETAIL_ROOMS], "desc": [DETAIL_DESC], "dpe": list(DETAIL_DPE),
+    }
+    found = pages.select(F.col(url).alias("lien"), H.element_fields(html, fields).alias("f"))
+    done = found.select("lien", *[F.col(f"f.{x}").alias(f"t_{x}") for x in fields])
     norm = (lambda c: T.nfkc(c, cheap=True)) if nfkc_cheap else T.nfkc
-    # Finished texts are a stage of their own: what follows reads each of them several times.
-    done = raw.select("lien", *[H.finish_text(f"r_{x}").alias(f"t_{x}") for x in ("title", "h1", "price", "area", "rooms", "desc", "dpe")])
-    texts = done.select(
+    # The three normalised texts go to Python together.
+    texts = done.select("lien", "t_title", "t_price", "t_area", "t_rooms", "t_dpe", norm("t_title").alias("titre"), norm("t_h1").alias("description"), norm("t_desc").alias("full_description"))
+    staged = texts.select(
         "lien",
-        "t_title",
-        norm("t_h1").alias("description"),
+        "titre",
+        "description",
+        "full_description",
         T.parse_price("t_price").alias("prix"),
         T.parse_area_field("t_area").alias("surface"),
         T.parse_rooms("t_rooms").alias("pieces"),
         F.col("t_dpe").alias("DPE"),
-        norm("t_desc").alias("full_description"),
-    )
-    staged = texts.select(
-        "*",
-        norm(F.col("t_title")).alias("titre"),
         H.py_strip(T.nth_token("t_title", "²", -1)).alias("ville"),
         F.lower("full_description").alias("__low"),
     )
@@ -176,11 +167,9 @@ PRICE_CARD_FIELDS = {
 }
 
 
-def _card_text(block: Column, cls: str, keep_comma: bool = False) -> Column:
-    """Text of the first element with class ``cls``: newlines → spaces,
-    stripped, commas → spaces unless kept; empty when absent."""
-    inner = F.coalesce(H.any_element_html(block, cls), F.lit(""))
-    t = H.py_strip(F.replace(H.unescape(H.strip_tags(inner)), F.lit("\n"), F.lit(" ")))
+def _card_text(text: Column, keep_comma: bool = False) -> Column:
+    """An element's text with newlines → spaces, commas → spaces unless kept; empty when absent."""
+    t = F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(" "))
     return t if keep_comma else F.replace(t, F.lit(","), F.lit(" "))
 
 
@@ -188,18 +177,15 @@ def extract_price_cards(pages: DataFrame, html: str = "html") -> DataFrame:
     """``(prix, type_de_bien, details, zone)`` per card; cards without a
     price are skipped (H8)."""
     b = explode_blocks(pages, html, PRICE_CARD[0], PRICE_CARD[1], keep_open=True, keep=["page_id"])
-    blk = F.col("block")
-    price_txt = _card_text(blk, PRICE_CARD_FIELDS["prix"])
+    f = b.select("page_id", "block_no", H.element_fields("block", {k: [(None, c)] for k, c in PRICE_CARD_FIELDS.items()}).alias("f")).select("page_id", "block_no", "f.*")
+    price_txt = _card_text(F.col("prix"))
     digits = F.regexp_replace(F.regexp_extract(price_txt, r"(?U)([\d\s]+)€", 1), r"(?U)\s", "")
-    out = b.select(
+    out = f.select(
         "page_id",
         "block_no",
         digits.alias("prix"),
-        _card_text(blk, PRICE_CARD_FIELDS["type_de_bien"]).alias("type_de_bien"),
-        F.coalesce(
-            H.empty_to_null(_card_text(blk, PRICE_CARD_FIELDS["details"], True)),
-            _card_text(blk, PRICE_CARD_FIELDS["details_alt"], True),
-        ).alias("details"),
-        _card_text(blk, PRICE_CARD_FIELDS["zone"]).alias("zone"),
+        _card_text(F.col("type_de_bien")).alias("type_de_bien"),
+        F.coalesce(H.empty_to_null(_card_text(F.col("details"), True)), _card_text(F.col("details_alt"), True)).alias("details"),
+        _card_text(F.col("zone")).alias("zone"),
     )
     return require(out, ["prix"])

@@ -1,5 +1,6 @@
 """Hand-written pages for the extraction operators."""
 
+from hestia.functions import html as H
 from hestia.operators import extract as X
 
 
@@ -118,3 +119,24 @@ def test_page_regexes_run_once(spark):
     with contextlib.redirect_stdout(buf):
         df.explain(mode="extended")
     assert "nullif(regexp_extract" not in buf.getvalue() and "if ((regexp_extract(html" not in buf.getvalue()
+
+
+def test_one_scan_reads_what_each_field_reads(spark):
+    """``element_fields`` against the single-field columns, on odd markup."""
+    pages = [
+        '<div class="a">x<div class="b c">y &amp; <b>z</b></div>w</div><div class=b>late</div>',
+        "<DIV Class='a'> <div>open <div class=\"b\">in &#233;&#xE9;&#0;&nope;&eacute; </div>",
+        '</div><div class="ab">no</div><div class="a"></div><p class="b">p</p>',
+        '<div class="a" id=x><img class="b" /><br/>t</div>', "plain", "", None, "<div class='a'>&#99999999999999999999999;&#xD800;</div>",
+        '<h1 class="a">one</h1><div\nclass = "a\tq">two</div>', '<div class="b"><div class="a"><div class="b"> <i>deep</i> </div></div></div>',
+    ]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, html string")
+    f = {"a": [("div", "a")], "b": [("div", "b")], "ab": [("div", "a"), ("div", "b")], "h1": [("h1", None)], "any": [(None, "b")]}
+    one = df.select("i", H.element_fields("html", f).alias("f")).select("i", "f.*")
+    each = df.select(
+        "i", H.element_text("html", "div", "a").alias("a"), H.element_text("html", "div", "b").alias("b"),
+        H.nested_text("html", ("div", "a"), ("div", "b")).alias("ab"), H.element_text("html", "h1").alias("h1"), H.finish_text(H.any_element_html("html", "b")).alias("any"),
+    )
+    assert one.orderBy("i").collect() == each.orderBy("i").collect()
+    raw = df.select("i", H.element_fields("html", {"a": [("div", "a")]}, text=False)["a"].alias("a"))
+    assert raw.orderBy("i").collect() == df.select("i", H.element_html("html", "div", "a").alias("a")).orderBy("i").collect()
