@@ -8,6 +8,7 @@ histogram bounds) are scalar subqueries, not cross joins or global windows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -234,16 +235,11 @@ def duplicate_groups(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def share(df: DataFrame, key: str, digits: int = 6) -> DataFrame:
-    """Rows per key and their share of all rows.
-
-    One pass over the input: the per-key counts are a partial aggregate;
-    the total is summed over those aggregated rows (one row per key, so the
-    unpartitioned window only ever sees the category list, never the data).
-    """
-    from pyspark.sql import Window
-
+    """Rows per key and their share of all rows. Counts per key are a
+    partial aggregate; the total is a scalar subquery of its own, so no task
+    sees all keys."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(Window.partitionBy())
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     return counts.withColumn("share", F.round(F.col("count") / total, digits))
 
 
@@ -277,16 +273,39 @@ def histogram(df: DataFrame, col: ColumnOrName, bins: int, digits: int = 4) -> D
     )
 
 
-def group_by_key(df: DataFrame, key: str, value: str, id_cols: Sequence[str], chunks: int = 1) -> DataFrame:
-    """Values of each key gathered into ``chunks`` lists by a hash of the
-    row id columns and the value, whatever the key's size.
+#: Rows that one list holds at most, about.
+LIST_ROWS = 100_000
+
 
-    Output ``(key, chunk, values)``, values sorted. Pick ``chunks`` so that
-    the largest key's values split into lists that fit a task; ``values_of``
-    gives long rows instead, without any list.
+def _with_size(df: DataFrame, key: str, most: int) -> tuple[DataFrame, int]:
+    """``df`` with ``__n``, the rows of its key where these are more than
+    ``most`` (else 1), and the largest of these numbers.
+
+    Sizes are a partial aggregate; only keys above the bound (at most rows /
+    ``most`` of them) are joined back."""
+    heavy = df.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > most)
+    largest = heavy.agg(F.max("__n")).first()[0] or 1
+    sized = df.join(heavy, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
+    return sized.withColumn("__n", F.coalesce("__n", F.lit(1))), largest
+
+
+def group_by_key(df: DataFrame, key: str, value: str, id_cols: Sequence[str], chunks: int | None = None, most: int = LIST_ROWS) -> DataFrame:
+    """Values of each key gathered into lists, ``(key, chunk, values)``,
+    values sorted.
+
+    A key of more than ``most`` rows is dealt, by a hash of the row id columns
+    and the value, to as many lists as keep each at about half of that;
+    smaller keys have one list. ``chunks`` sets the number for all keys
+    instead. ``values_of`` gives long rows without any list.
     """
-    chunk = F.pmod(F.xxhash64(*[F.col(c) for c in id_cols], F.col(value)), F.lit(chunks)).cast("int")
-    return df.groupBy(key, chunk.alias("chunk")).agg(F.array_sort(F.collect_list(value)).alias("values"))
+    columns = dict.fromkeys([key, value, *id_cols])
+    spread = F.xxhash64(*[F.col(c) for c in id_cols], F.col(value))
+    if chunks is None:
+        rows, _ = _with_size(df.select(*columns), key, most)
+        dealt = F.pmod(spread, F.when(F.col("__n") > most, F.ceil(F.col("__n") * 2 / most)).otherwise(1))
+    else:
+        rows, dealt = df, F.pmod(spread, F.lit(chunks))
+    return rows.groupBy(key, dealt.cast("int").alias("chunk")).agg(F.array_sort(F.collect_list(value)).alias("values"))
 
 
 def values_of(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -315,23 +334,27 @@ def reduce_by_key(
     name: str = "value",
     zero: Column | None = None,
     merge: Callable[[Column, Column], Column] | None = None,
-    chunks: int = 256,
+    most: int = LIST_ROWS,
 ) -> DataFrame:
     """Fold the values of each key, with a named operation or with any
     associative and commutative ``merge(a, b)`` and its neutral ``zero``.
 
-    A general fold runs in two steps, so that no key's values meet in one
-    list: ``chunks`` folds a key by a hash of the value and the row's place,
-    then one over their results.
+    A general fold runs in steps, so that no list holds more than about
+    ``most`` values: the values of a larger key are dealt to lists of about
+    half of that and folded, and so are the results, until one list takes them.
     """
     if merge is not None:
         if zero is None:
             raise ValueError("a fold with merge needs its zero")
-        salt = F.pmod(F.xxhash64(_c(value), F.monotonically_increasing_id()), F.lit(chunks))
-        rows = df.select(key, _c(value).alias("__v"), salt.alias("__s"))
-        fold_all = lambda c: F.aggregate(F.collect_list(c), zero, merge)
-        parts = rows.groupBy(key, "__s").agg(fold_all("__v").alias("__p"))
-        return parts.groupBy(key).agg(fold_all("__p").alias(name))
+        spread = F.xxhash64(_c(value), F.monotonically_increasing_id())
+        rows, largest = _with_size(df.select(key, _c(value).alias("__v"), spread.alias("__s")), key, most)
+        fold_all = F.aggregate(F.collect_list("__v"), zero, merge)
+        while largest > most:
+            lists = F.when(F.col("__n") > most, F.ceil(F.col("__n") * 2 / most)).otherwise(1)
+            dealt = rows.select(key, "__v", lists.alias("__n"), F.pmod("__s", lists).alias("__s"))
+            rows = dealt.groupBy(key, "__n", "__s").agg(fold_all.alias("__v")).withColumn("__s", F.xxhash64("__s"))
+            largest = math.ceil(largest * 2 / most)
+        return rows.groupBy(key).agg(fold_all.alias(name))
     try:
         fold = FOLDS[op]
     except KeyError as e:

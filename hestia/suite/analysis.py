@@ -437,8 +437,6 @@ def q_price_histogram(spark, sf):
     return A.histogram(listing_view(spark, sf, text=False), "prix", 50)
 
 
-COLLECT_CHUNKS = 16
-
 
 @register(
     "collect_by_key",
@@ -447,7 +445,7 @@ COLLECT_CHUNKS = 16
 )
 def q_collect_by_key(spark, sf):
     v = listing_view(spark, sf, text=False).filter(F.col("pieces").isNotNull())
-    g = A.group_by_key(v, "ville", "pieces", ["lien"], chunks=COLLECT_CHUNKS)
+    g = A.group_by_key(v, "ville", "pieces", ["lien"])
     # The lists' contents, compared as counts of each value.
     return g.select("ville", F.explode("values").alias("value")).groupBy("ville", "value").agg(F.count(F.lit(1)).alias("n"))
 

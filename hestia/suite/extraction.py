@@ -11,7 +11,7 @@ from hestia.operators import extract as X
 from hestia.plans.fuse import explode_lines
 from hestia.session import scratch_dir
 from hestia.sources import csv as CSV
-from hestia.sources.pages import frontiers, read_pages
+from hestia.sources.pages import frontiers, read_pages, until_empty
 from hestia.sources.tables import listing_view, load
 from hestia.suite.registry import register
 from hestia.suite.textops import floor_sql, price_text
@@ -134,6 +134,19 @@ def q_page_frontier(spark, sf):
     return frontiers(sites, "base", "n_pages", "/?page=")
 
 
+@register(
+    "frontier_until_empty",
+    sql=f"""WITH P AS (SELECT page_id, url, {HOST_SQL} AS site, (length(html) - length(replace(html, '<p>', ''))) / 3 <= 4 AS empty FROM pages),
+S AS (SELECT site, min(page_id) AS stop FROM P WHERE empty GROUP BY site)
+SELECT P.site, page_id, url FROM P LEFT JOIN S ON P.site = S.site WHERE stop IS NULL OR page_id < stop""",
+)
+def q_frontier_until_empty(spark, sf):
+    """Each site's pages (in the order of their ids) up to the first one with four paragraphs or fewer."""
+    p = read_pages(spark, f"{sf.rstrip('/')}/pages.parquet")
+    found = p.select("page_id", "url", F.regexp_extract("url", r"^(https?://[^/?#]+)", 1).alias("site"), F.size(H.blocks("html", "p")).alias("n"))
+    return until_empty(found, "site", "page_id", F.col("n") <= 4).select("site", "page_id", "url")
+
+
 # ------------------------------------------------------------------ H1..H9
 def _pages(spark, sf):
     return read_pages(spark, f"{sf.rstrip('/')}/pages.parquet")

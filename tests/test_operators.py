@@ -7,6 +7,7 @@ from hestia.operators import joins as J
 from hestia.operators import ranking as O
 from hestia.operators import relational as P
 from hestia.plans.words import word_count, word_pairs
+from hestia.sources.pages import until_empty
 from hestia.sources.tables import listing_view, load
 
 
@@ -62,6 +63,27 @@ def test_hot_key_with_one_repeated_id_is_split(spark):
     assert len(sizes) == 8 and sum(sizes) == 4000 and max(sizes) < 700
 
 
+def test_lists_and_folds_are_bounded_by_rows(spark):
+    """A key with most of the rows is dealt to lists of the bound; folds of any depth give the whole result."""
+    df = spark.range(5000).selectExpr("CASE WHEN id < 4000 THEN 'hot' WHEN id < 4900 THEN NULL ELSE concat('k', id) END AS k", "id AS v", "id AS row_id")
+    lists = A.group_by_key(df, "k", "v", ["row_id"], most=200).collect()
+    assert max(len(r["values"]) for r in lists) <= 200
+    assert sorted(x for r in lists for x in r["values"]) == list(range(5000))
+    assert sum(r["k"] == "k4950" for r in lists) == 1 and sum(r["k"] == "hot" for r in lists) == 40
+    want = {r["k"]: r["n"] for r in df.groupBy("k").agg(F.sum("v").alias("n")).collect()}
+    for most in (3, 50, 10_000):
+        got = A.reduce_by_key(df, "k", "v", zero=F.lit(0).cast("bigint"), merge=lambda x, y: x + y, most=most).collect()
+        assert {r["k"]: r["value"] for r in got} == want
+
+
+def test_until_empty(spark):
+    rows = [("a", 1, 5), ("a", 2, 0), ("a", 3, 4), ("b", 2, 1), ("b", 7, 1), ("c", 1, 0), ("d", 3, 0), ("d", 1, 2), ("d", 9, None), (None, 1, 3), (None, 2, 0)]
+    df = spark.createDataFrame(rows, "site string, page int, cards int")
+    got = sorted(map(tuple, until_empty(df, "site", "page", F.col("cards") == 0).collect()), key=str)
+    assert got == sorted([("a", 1, 5), ("b", 2, 1), ("b", 7, 1), ("d", 1, 2), (None, 1, 3)], key=str)
+    assert until_empty(df.limit(0), "site", "page", F.col("cards") == 0).count() == 0
+
+
 def test_mode_tie_break(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 2), ("a", 1), ("b", 5)], "k string, v int")
     got = {r["k"]: (r["v"], r["count"]) for r in A.mode_per_group(df, ["k"], "v").collect()}
@@ -75,7 +97,7 @@ def test_reduce_by_key_and_share(spark):
     assert {r["k"]: r["value"] for r in A.reduce_by_key(df, "k", "v", "sum").collect()} == {"a": 3.0, "b": 4.0}
     longest = A.reduce_by_key(
         spark.createDataFrame([("a", "x"), ("a", "xyz"), ("b", "q"), ("b", None)], "k string, v string"),
-        "k", "v", zero=F.lit(""), merge=lambda x, y: F.when(F.length(y) > F.length(x), y).otherwise(x), chunks=2,
+        "k", "v", zero=F.lit(""), merge=lambda x, y: F.when(F.length(y) > F.length(x), y).otherwise(x), most=2,
     )
     assert {r["k"]: r["value"] for r in longest.collect()} == {"a": "xyz", "b": "q"}
     s = {r["k"]: r["share"] for r in A.share(df, "k").collect()}
