@@ -1,11 +1,14 @@
 """Audit of how the sources of a language diverge in their words.
 
-Terms become strings again as late as possible. Tasks count the terms of their
-documents and write them once with a fixed-width digest of each. All counting,
-joining and ranking after that shuffles digests (then numbers of terms), never
-the texts. For the digests that are kept, the minimum and maximum of their
-strings tell whether one digest stands for several terms; such digests are
-split by string. Text is joined back to the rows that are put out.
+Terms become strings again as late as possible. A first pass over the documents
+shuffles a fixed-width digest of each (language, term) with its number of
+documents, and nothing else; that tells which digests are kept. A second counts
+the occurrences of kept digests by source, again without any string. A bit
+table of bounded size, made of the kept digests, keeps nearly all others out of
+that shuffle. A third pass fetches the strings of kept digests, once from each
+task: the minimum and maximum string of a digest tell whether it stands for
+several terms, and only these are counted anew, split by string. Ranks work on
+numbers of terms; text is joined back to the rows that are put out.
 
 Sources are compared in tiles: so many sources by so many, for a block of the
 language's terms at a time, in numpy; sums of the blocks are added up.
@@ -15,7 +18,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -29,6 +33,8 @@ from hestia.llm.common import fresh_path
 BITS = 64
 #: Terms that a task holds before it writes its counts; bytes of a text that are cut into terms at a time.
 HELD, BLOCK = 150_000, 1 << 20
+#: Bits of the table of kept digests for each of them, and at most (8 MB).
+BITS_A_DIGEST, MOST_BITS = 16, 1 << 26
 #: Sources on a side of a tile and terms of a block, on average.
 SOURCES, TERMS = 128, 2048
 
@@ -49,50 +55,74 @@ def pieces(text: bytes) -> Iterator[list[bytes]]:
         at = end
 
 
-def digest(term: bytes, bits: int = BITS) -> int:
+def digests(lang: str, terms: Iterable[bytes], bits: int = BITS) -> np.ndarray:
+    """Digests of a language's terms, as signed longs."""
     from xxhash import xxh64_intdigest
 
-    x = xxh64_intdigest(term) >> (64 - bits)
-    return x - (1 << 64) if x >> 63 else x
+    seed = xxh64_intdigest(lang.encode())
+    return (np.fromiter(map(xxh64_intdigest, terms, repeat(seed)), np.uint64) >> np.uint64(64 - bits)).view(np.int64)
 
 
-def counted(docs: DataFrame, bits: int = BITS) -> DataFrame:
-    """lang, source, digest, term, n, docs: occurrences and documents of each term, a row or more for each (added up by a task as far as it holds them)."""
+def sieve(found: DataFrame) -> np.ndarray:
+    """A bit table that marks the column ``digest`` of ``found``: from 64 bits up to ``MOST_BITS``, beyond which it lets more through."""
+    size = min(MOST_BITS, max(64, 1 << (max(1, found.count() * BITS_A_DIGEST) - 1).bit_length()))
+    place = F.col("digest").bitwiseAND(size - 1)
+    marked = found.select((place / 64).cast("int").alias("at"), F.pmod(place, F.lit(64)).cast("int").alias("bit"))
+    cells = marked.groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("cell")).toArrow()  # size / 64 rows at most
+    table = np.zeros(size // 64, np.int64)
+    table[cells["at"].to_numpy()] = cells["cell"].to_numpy()
+    return table
 
-    def rows(held: dict) -> pa.RecordBatch:
-        columns: list[list] = [[], [], [], [], [], []]
-        for (lang, source), (n, in_docs) in held.items():
-            columns[0] += [lang] * len(n)
-            columns[1] += [source] * len(n)
-            columns[2] += [digest(t, bits) for t in n]
-            columns[3] += n.keys()
-            columns[4] += n.values()
-            columns[5] += [in_docs[t] for t in n]
-        kinds = (pa.string(), pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
-        made = [pa.array(x, k) for x, k in zip(columns, kinds)]
-        made[3] = made[3].cast(pa.string())
-        return pa.RecordBatch.from_arrays(made, names=["lang", "source", "digest", "term", "n", "docs"])
+
+def passing(table: np.ndarray, found: np.ndarray) -> np.ndarray:
+    place = found & (len(table) * 64 - 1)
+    return (table[place >> 6] >> (place & 63)) & 1 == 1
+
+
+def counted(docs: DataFrame, *, documents: bool, by_source: bool = False, strings: bool = False, table: np.ndarray | None = None, bits: int = BITS) -> DataFrame:
+    """digest and n (documents that hold the term, or its occurrences), and with ``strings`` lang and term, with ``by_source`` source.
+
+    A row or more for each: a task adds up as far as it holds them. Only
+    digests that ``table`` lets through.
+    """
+    fields = [*(["lang string", "term string"] if strings else []), *(["source string"] if by_source else []), "digest long", "n long"]
+    names = [f.split()[0] for f in fields]
+
+    def rows(held: dict[tuple[str, str], Counter]) -> Iterator[pa.RecordBatch]:
+        for (lang, source), count in held.items():
+            if not count:
+                continue
+            found = digests(lang, count, bits)
+            n = np.fromiter(count.values(), np.int64, len(count))
+            columns = {"digest": pa.array(found), "n": pa.array(n)}
+            if strings:
+                columns["term"] = pa.array(list(count), pa.binary()).cast(pa.string())
+                columns["lang"] = pa.array([lang] * len(count), pa.string())
+            if by_source:
+                columns["source"] = pa.array([source] * len(count), pa.string())
+            batch = pa.RecordBatch.from_arrays([columns[x] for x in names], names=names)
+            yield batch if table is None else batch.filter(pa.array(passing(table, found)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        held: dict[tuple[str, str], Counter] = {}
         size = 0
         for batch in batches:
             for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                n, in_docs = held.setdefault((lang, source), (Counter(), Counter()))
-                before, seen = len(n), set()
-                for terms in pieces(text.as_py()):
-                    n.update(terms)
-                    seen.update(terms)
-                in_docs.update(seen)
-                size += len(n) - before
+                count = held.setdefault((lang, source if by_source else ""), Counter())
+                before = len(count)
+                if documents:
+                    count.update(set().union(*pieces(text.as_py())))
+                else:
+                    for terms in pieces(text.as_py()):
+                        count.update(terms)
+                size += len(count) - before
                 if size >= HELD:
-                    yield rows(held)
+                    yield from rows(held)
                     held, size = {}, 0
-        if held:
-            yield rows(held)
+        yield from rows(held)
 
     chosen = docs.select("lang", "source", F.col("text").cast("binary").alias("text"))
-    return chosen.mapInArrow(run, "lang string, source string, digest long, term string, n long, docs long")
+    return chosen.mapInArrow(run, ", ".join(fields))
 
 
 def _share(n: Column, total: Column, terms: Column) -> Column:
@@ -108,29 +138,67 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def vocabulary(terms: DataFrame, least_docs: int) -> DataFrame:
-    """lang, digest, term, several, unit: the terms in at least so many documents of the language, each with a number.
+def spelled(docs: DataFrame, table: np.ndarray, bits: int = BITS) -> DataFrame:
+    """digest, lang, term: the strings of the digests that ``table`` lets through, each once from a task as far as it remembers them."""
 
-    ``several``: the digest stands for more than one term of the language.
-    """
-    per_digest = terms.groupBy("lang", "digest").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs)
-    held = terms.join(per_digest.select("lang", "digest"), ["lang", "digest"], "left_semi")
-    names = _written(held.groupBy("lang", "digest").agg(F.min("term").alias("lo"), F.max("term").alias("hi")), "digests")
-    single = names.where("lo = hi").select("lang", "digest", F.col("lo").alias("term"), F.lit(False).alias("several"))
-    mixed = terms.join(names.where("lo != hi").select("lang", "digest"), ["lang", "digest"], "left_semi")
-    split = mixed.groupBy("lang", "digest", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs)
-    both = single.unionByName(split.select("lang", "digest", "term", F.lit(True).alias("several")))
-    # The numbers hold once they are written.
-    return _written(both.withColumn("unit", F.monotonically_increasing_id()), "vocabulary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new: dict[str, set] = {}
+        given: dict[str, set] = {}
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for lang, terms in new.items():
+                fresh = list(terms - given.setdefault(lang, set()))
+                if not fresh:
+                    continue
+                found = digests(lang, fresh, bits)
+                held = np.flatnonzero(passing(table, found)).tolist()
+                texts = [fresh[i] for i in held]
+                given[lang].update(texts)
+                made = [pa.array(found[held]), pa.array([lang] * len(held), pa.string()), pa.array(texts, pa.binary()).cast(pa.string())]
+                yield pa.RecordBatch.from_arrays(made, names=["digest", "lang", "term"])
+            new.clear()
+            if sum(map(len, given.values())) > 3 * HELD:
+                given.clear()
+
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                new.setdefault(lang, set()).update(*pieces(text.as_py()))
+                if sum(map(len, new.values())) >= HELD:
+                    yield from rows()
+        yield from rows()
+
+    return docs.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(run, "digest long, lang string, term string")
 
 
-def group_counts(terms: DataFrame, words: DataFrame) -> DataFrame:
-    """lang, source, unit, n for the kept terms that occur in the group."""
-    single = terms.groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"))
-    single = single.join(words.where("not several").select("lang", "digest", "unit"), ["lang", "digest"]).select("lang", "source", "unit", "n")
-    split = words.where("several").select("lang", "digest", "term", "unit")
-    mixed = terms.join(split, ["lang", "digest", "term"]).groupBy("lang", "source", "unit").agg(F.sum("n").alias("n"))
-    return single.unionByName(mixed)
+def vocabulary(docs: DataFrame, least_docs: int, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
+    """The terms in at least so many documents of their language, and their occurrences.
+
+    The first: lang, term, unit (a number for each). The second: lang, source,
+    unit, n, a row for each term that occurs in a group.
+    """
+    per_digest = counted(docs, documents=True, bits=bits).groupBy("digest").agg(F.sum("n").alias("docs"))
+    kept = _written(per_digest.where(F.col("docs") >= least_docs).select("digest"), "digests")
+    table = sieve(kept)
+    by_source = counted(docs, documents=False, by_source=True, table=table, bits=bits).groupBy("source", "digest").agg(F.sum("n").alias("n"))
+    both = F.struct("lang", "term")
+    names = spelled(docs, table, bits).groupBy("digest").agg(F.min(both).alias("lo"), F.max(both).alias("hi"))
+    names = _written(names.join(kept, "digest", "left_semi"), "names")
+    mixed = names.where("lo != hi").select("digest")
+    several = not mixed.isEmpty()
+    words = names.where("lo = hi").select("digest", "lo.*", F.lit(False).alias("several"))
+    if several:
+        again = sieve(mixed)
+        split = counted(docs, documents=True, strings=True, table=again, bits=bits).join(mixed, "digest", "left_semi")
+        split = split.groupBy("digest", "lang", "term").agg(F.sum("n").alias("docs")).where(F.col("docs") >= least_docs)
+        words = words.unionByName(split.drop("docs").withColumn("several", F.lit(True)))
+    # The numbers hold once they are written.
+    words = _written(words.withColumn("unit", F.monotonically_increasing_id()), "vocabulary")
+    counts = by_source.join(words.where("not several").select("digest", "lang", "unit"), "digest").select("lang", "source", "unit", "n")
+    if several:
+        per_term = counted(docs, documents=False, by_source=True, strings=True, table=again, bits=bits).groupBy("lang", "source", "digest", "term")
+        held = words.where("several").select("digest", "lang", "term", "unit")
+        counts = counts.unionByName(per_term.agg(F.sum("n").alias("n")).join(held, ["digest", "lang", "term"]).select("lang", "source", "unit", "n"))
+    return words.select("lang", "term", "unit"), _written(counts, "counts")
 
 
 def pair_sums(groups: DataFrame, shares: DataFrame, langs: DataFrame, words: DataFrame, sources: int = SOURCES, terms: int = TERMS) -> DataFrame:
@@ -202,9 +270,7 @@ def audit(
     gives an empty result; other columns are not read.
     """
     docs = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(x) for c, x in ((lang, "lang"), (source, "source"), (text, "text"))])
-    terms = _written(counted(docs, bits), "terms")
-    words = vocabulary(terms, least_docs)
-    counts = _written(group_counts(terms, words), "counts")
+    words, counts = vocabulary(docs, least_docs, bits)
     known = docs.select("lang", "source").distinct()
     kept = words.groupBy("lang").agg(F.count("*").alias("terms"))
     in_group = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))

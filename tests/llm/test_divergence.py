@@ -46,6 +46,15 @@ def test_pieces(monkeypatch):
     assert list(D.pieces(b"")) == []
 
 
+def test_sieve(spark):
+    """All that it is made of pass, and few others; beyond its bound it is full but not wrong."""
+    found = D.digests("en", [str(i).encode() for i in range(3000)])
+    table = D.sieve(spark.createDataFrame([(int(d),) for d in found[:1000]], "digest long"))
+    assert len(table) * 64 == 16384 and D.passing(table, found[:1000]).all() and D.passing(table, found[1000:]).mean() < 0.1
+    assert not D.passing(D.sieve(spark.createDataFrame([], "digest long")), found).any()
+    assert list(D.digests("de", [b"x"])) != list(D.digests("en", [b"x"]))
+
+
 @pytest.mark.parametrize("bits", [64, 6])
 def test_given_table(spark, sf, bits):
     """Six bits make nearly every digest stand for several terms, of one language too."""
@@ -66,9 +75,7 @@ def test_tiles(spark):
     words = "alpha beta gamma delta eps zeta eta theta".split()
     rows = [(" ".join([words[(i * k) % 8] for k in range(1 + i % 7)] + ["own" + "abcdefghijklmnopqrstuvw"[i % 23]]), "en", f"s{i % 23}") for i in range(200)]
     docs = spark.createDataFrame(rows, "text string, lang string, source string")
-    terms = D.counted(docs).persist()
-    words_ = D.vocabulary(terms, 2)
-    counts = D.group_counts(terms, words_)
+    words_, counts = D.vocabulary(docs, 2)
     total = counts.groupBy("lang", "source").agg(F.sum("n").alias("total")).withColumn("terms", F.lit(31))
     shares = counts.join(total, ["lang", "source"]).select("lang", "source", "unit", D._share(F.col("n"), F.col("total"), F.col("terms")).alias("p"))
     heads = total.select("lang", "source", D._share(F.lit(0), F.col("total"), F.col("terms")).alias("p0"))
