@@ -209,10 +209,18 @@ def describe_table(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataF
     return wide.select(F.explode(F.array(*parts)).alias("d")).select("d.*")
 
 
+def row_hash(df: DataFrame, cols: Sequence[str]) -> Column:
+    """A 256-bit hash of the columns of a row: equal where ``groupBy`` takes rows for equal (nulls alike, 0.0 and -0.0 alike)."""
+    plus = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    each = [(F.col(c) + F.lit(0.0)).alias(c) if c in plus else F.col(c) for c in cols]
+    return F.unhex(F.sha2(F.to_json(F.struct(*each)), 256))
+
+
 def duplicate_totals(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Total rows, distinct rows and duplicates, in one aggregation."""
+    """Total rows, distinct rows and duplicates, in one aggregation over
+    row hashes: what is shuffled doesn't depend on how long the rows are."""
     cols = list(cols or df.columns)
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    g = df.groupBy(row_hash(df, cols).alias("__h")).agg(F.count(F.lit(1)).alias("__n"))
     return g.agg(
         F.sum("__n").cast("bigint").alias("total_rows"),
         F.count(F.lit(1)).alias("distinct_rows"),
@@ -228,7 +236,7 @@ def duplicate_groups(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     fetched.
     """
     cols = list(cols)
-    keyed = df.select(*cols).withColumn("__h", F.unhex(F.sha2(F.to_json(F.struct(*cols)), 256)))
+    keyed = df.select(*cols, row_hash(df, cols).alias("__h"))
     often = keyed.groupBy("__h").agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") > 1)
     rows = keyed.join(often, "__h").groupBy("__h").agg(F.first(F.struct(*cols, "count")).alias("r")).select("r.*")
     return rows.orderBy(F.desc("count"), *cols)

@@ -166,3 +166,13 @@ def test_context_without_guard(spark):
 
     df = spark.createDataFrame([("grand balcon sud",)], "t string")
     assert df.select(context_matches("t", "balcon")).first()[0] == ["grand balcon sud"]
+
+
+def test_duplicate_totals_by_hash(spark):
+    """Counts equal those of whole rows, with nulls in different places and zeros of both signs; no text is shuffled."""
+    rows = [(1, "a", 0.0), (1, "a", -0.0), (None, "1", 2.5), (1, None, 2.5), (1, None, 2.5), (2, "x" * 5000, None)]
+    df = spark.createDataFrame(rows, "k int, t string, x double")
+    assert tuple(A.duplicate_totals(df).first()) == (6, 4, 2) and df.distinct().count() == 4
+    plan = A.duplicate_totals(df)._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert shuffled and not any(" t#" in line or "(t#" in line for line in shuffled)
