@@ -89,16 +89,23 @@ def _join_on(a: DataFrame, b: DataFrame, names: Sequence[str], how: str) -> Data
     return a.join(b, [F.col(n).eqNullSafe(F.col(f"__of_{n}")) for n in names], how)
 
 
+#: Slots that the values between two bounds are dealt to.
+SLOTS = 65_536
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Exact interpolated quantiles per group: ``(keys…, values)``, an array in the order of ``probs``.
 
+    A sketch (``percentile_approx``: rank error at most n / accuracy) gives a
     A sketch (``percentile_approx``: rank error at most n / accuracy) gives a
     low and a high bound around each quantile. One pass counts the values
     below the low bounds; the values between the bounds, at most some
-    thousandths of the rows, are counted per distinct value, and the ranks
-    wanted are read off their running counts. In a group of at most
+    thousandths of the rows, are counted per distinct value (in a group of at most
     ``accuracy`` rows, where a rank is finer than the sketch's error, all
-    values are. No task holds more than that. Nulls are left out; a group without values
+    values are). These are dealt to ``SLOTS`` slots of equal width between the
+    bounds; running counts of the slots tell which one or two hold the ranks
+    wanted, and only the values of these are put in order. A task so orders the
+    slots, or the distinct values of one slot. Nulls are left out; a group without values
     has no row.
     """
     from pyspark.sql import Window
@@ -121,11 +128,20 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     # All values below become one entry, and all above: of those, only the least can be wanted.
     side = F.when(F.col("__n") <= accuracy, 1).when(F.col("__x") < F.col("r.lo"), 0).when(F.col("__x") <= F.col("r.hi"), 1).otherwise(2)
     inside = F.when(side == 1, F.col("__x"))
-    counts = near.groupBy(*names, "__n", F.col("r.i").alias("i"), side.alias("__side"), inside.alias("__in")).agg(F.count(F.lit(1)).alias("c"), F.min("__x").alias("__at"))
-    w = Window.partitionBy(*names, "i").orderBy("__side", "__at")
-    running = counts.withColumn("to", F.sum("c").over(w))
+    group = [*names, "__n", "i"]
+    counts = near.groupBy(*names, "__n", F.col("r.i").alias("i"), F.col("r.lo").alias("__lo"), F.col("r.hi").alias("__hi"), side.alias("__side"), inside.alias("__in")).agg(
+        F.count(F.lit(1)).alias("c"), F.min("__x").alias("__at")
+    )
+    part = F.try_divide(F.col("__at") - F.col("__lo"), F.col("__hi") - F.col("__lo")) * SLOTS
+    slot = F.when(part.isNull() | F.isnan(part), SLOTS - 1).otherwise(F.greatest(F.lit(0), F.least(F.lit(SLOTS - 1), F.floor(part))))
+    counts = counts.select(*group, "c", "__at", F.when(F.col("__side") == 1, slot).when(F.col("__side") == 0, -1).otherwise(SLOTS).cast("int").alias("slot"))
     p = F.get(F.array(*[F.lit(float(x)) for x in probs]), F.col("i"))
     place = p * (F.col("__n") - 1)
+    slots = counts.groupBy(*group, "slot").agg(F.sum("c").alias("c"))
+    slots = slots.withColumn("to", F.sum("c").over(Window.partitionBy(*group).orderBy("slot"))).withColumn("before", F.col("to") - F.col("c"))
+    wanted = slots.filter((F.col("to") > F.floor(place)) & (F.col("before") <= F.ceil(place))).select(*group, "slot", "before")
+    held = _join_on(counts, wanted, [*group, "slot"], "inner")
+    running = held.withColumn("to", F.col("before") + F.sum("c").over(Window.partitionBy(*group, "slot").orderBy("__at")))
     ranked = running.withColumns({"__place": place, "__low": F.floor(place), "__high": F.ceil(place)})
     first = lambda rank: F.min(F.when(F.col("to") > F.col(rank), F.col("__at")))
     each = ranked.groupBy(*names, "i").agg(first("__low").alias("a"), first("__high").alias("b"), F.max(F.col("__place") - F.col("__low")).alias("f"))

@@ -176,3 +176,19 @@ def test_duplicate_totals_by_hash(spark):
     plan = A.duplicate_totals(df)._jdf.queryExecution().executedPlan().toString()
     shuffled = [line for line in plan.splitlines() if "hashpartitioning" in line]
     assert shuffled and not any(" t#" in line or "(t#" in line for line in shuffled)
+
+
+def test_exact_quantiles_order_few_values(spark, monkeypatch):
+    """A continuous column with a coarse sketch: exact with any number of slots, infinities and NaN included, and few values meet in a task."""
+    df = spark.range(30_000).selectExpr("id % 3 AS k", "pow(rand(5), 3) * 1000 AS v").persist()
+    probs = [0.0, 0.01, 0.5, 0.99, 1.0]
+    want = {r["k"]: r["q"] for r in df.groupBy("k").agg(F.percentile("v", probs).alias("q")).collect()}
+    for slots in (1, 7, 65_536):
+        monkeypatch.setattr(A, "SLOTS", slots)
+        got = {r["k"]: r["values"] for r in A.exact_quantiles(df, ["k"], "v", probs, accuracy=50).collect()}
+        assert all(abs(x - y) < 1e-9 for k in want for x, y in zip(got[k], want[k]))
+    odd = spark.createDataFrame([(x,) for x in [float("-inf"), -1.0, 0.0, 0.0, 2.0, float("inf"), float("nan"), None]], "v double")
+    assert A.exact_quantiles(odd, [], "v", [0.0, 0.5]).first()["values"] == [float("-inf"), 0.0]
+    plan = A.exact_quantiles(df, ["k"], "v", [0.5])._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 2 and all("slot" in line for line in windows)
