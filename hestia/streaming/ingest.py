@@ -51,6 +51,13 @@ def _written(spark: SparkSession, path: str, keys: Sequence[str], own: str, sche
     return table.filter(F.col(BATCH) != own).select(*keys)
 
 
+def _within(known: DataFrame, records: DataFrame, key: str) -> DataFrame:
+    """The known keys between the least and the greatest of ``records``: the filter reaches the scan, and files and
+    row groups whose statistics lie outside of it aren't read."""
+    low, high = records.agg(F.min(key), F.max(key)).first()
+    return known.filter(F.col(key).between(F.lit(low), F.lit(high))) if low is not None else known.limit(0)
+
+
 def ingest_pages(
     spark: SparkSession,
     in_dir: str,
@@ -71,11 +78,15 @@ def ingest_pages(
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         own = f"{run}-{epoch_id}"
-        records = extract(batch).dropDuplicates(keys)
-        known = _written(spark, out_dir, keys, own, records.schema)
-        if known is not None:
-            records = records.join(known, keys, "left_anti")
-        records.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{BATCH}={own}")
+        records = extract(batch).dropDuplicates(keys).persist()
+        try:
+            new, known = records, _written(spark, out_dir, keys, own, records.schema)
+            if known is not None:
+                new = records.join(_within(known, records, keys[0]), keys, "left_anti")
+            # In order of the key, so that the row groups of a file hold narrow ranges of it.
+            new.sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{BATCH}={own}")
+        finally:
+            records.unpersist()
 
     q = (
         stream.writeStream.foreachBatch(write_batch)

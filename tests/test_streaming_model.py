@@ -45,6 +45,19 @@ def test_failed_write_is_made_good(spark, sf):
     assert sorted(r["n_new"] for r in batch_log(spark, out).collect() if r["n_new"]) and batch_log(spark, out).count() == 3
 
 
+def test_batch_reads_only_keys_in_its_range(spark, sf):
+    """Only keys between a batch's least and greatest are looked up, by a filter that reaches the scan."""
+    from hestia.streaming.ingest import _within
+
+    root = scratch_dir(spark, "ingest-range")
+    spark.range(0, 1000).withColumnRenamed("id", "page_id").write.parquet(f"{root}/table")
+    known = spark.read.parquet(f"{root}/table")
+    some = _within(known, spark.range(300, 310).withColumnRenamed("id", "page_id"), "page_id")
+    assert sorted(r.page_id for r in some.collect()) == list(range(300, 310))
+    assert "GreaterThanOrEqual(page_id,300)" in some._jdf.queryExecution().executedPlan().toString()
+    assert _within(known, known.limit(0), "page_id").count() == 0
+
+
 def test_unreadable_target_is_an_error(spark, sf):
     root = scratch_dir(spark, "ingest-bad")
     read_pages(spark, f"{sf}/pages.parquet").write.parquet(f"{root}/landed")
