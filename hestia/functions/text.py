@@ -116,6 +116,7 @@ def parse_price(col: ColumnOrName) -> Column:
     return cleaned.try_cast("bigint")
 
 
+# Area patterns.
 AREA_PATTERN = r"(\d+(?:[.,]\d+)?)\s*m\S*"
 AREA_PATTERN_STRICT = r"(\d+(?:[.,]\d+)?)\s*m(?:²|2)"
 
@@ -178,6 +179,7 @@ def nfkc(col: ColumnOrName, cheap: bool = False) -> Column:
 
 
 # --------------------------------------------------------------------- T18
+# Fixed value: the floor number pattern.
 FLOOR_DIGITS = (
     r"(?iU)(\d+)\s*(?:[eèéê?][mr]?[eèé]?|°)?\s*(?:et\s+)?(?:\(dernier\)|dernier)?\s*[eé]tage"
 )
@@ -236,6 +238,7 @@ def with_lowered(df, col: str, name: str | None = None):
 
 
 # -------------------------------------------------------------- T20 .. T24
+# Description, date and place patterns.
 LONG_RUN = r"(?U)([\w\s,àéèêëùûüîïôç\.\-]{80,})"
 DATE_DMY = r"(\d{2}/\d{2}/\d{4})"
 PLACE_DEPT = r"([A-ZÀ-Ÿa-zà-ÿ\-\s]+)\s*\((\d{2})\)"

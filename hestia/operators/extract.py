@@ -77,7 +77,7 @@ def card_fields(block: Column, source: str, text: Column | None = None) -> list[
         T.capture(text, CARD_ROOMS, 1).alias("pieces"),
         T.capture(text, CARD_BEDROOMS, 1).alias("chambres"),
         F.coalesce(H.py_strip(T.capture(text, CARD_PLACE, 0)), F.lit(CARD_PLACE_DEFAULT)).alias("localisation"),
-        H.py_strip(T.capture(text, T.LONG_RUN, 1)).alias("description"),
+        H.py_strip(T.long_run(text)).alias("description"),
         T.capture(text, T.DATE_DMY, 1).alias("date"),
         F.lit(source).alias("source"),
     ]

@@ -11,6 +11,7 @@ from hestia.operators import extract as X
 from hestia.plans.fuse import explode_lines
 from hestia.session import scratch_dir
 from hestia.sources import csv as CSV
+from hestia.plans import collect as E6
 from hestia.sources.pages import frontiers, read_pages, until_empty
 from hestia.sources.tables import listing_view, load
 from hestia.suite.registry import register
@@ -411,12 +412,7 @@ FROM ({DETAIL_SQL})""",
 def q_collect_chain(spark, sf):
     """E6 as a chain: result pages → links inside the list → detail pages →
     records → missing area → CSV (K1, with a BOM), read back (S1)."""
-    found = list_pages(spark, sf).select(F.explode(H.links_containing("html", "/annonces.example/", ("div", "results"))).alias("url")).distinct()
-    pages = detail_pages(spark, sf).join(found, "url", "left_semi")
-    records = X.fill_area_from_text(X.extract_listing_details(pages, nfkc_cheap=True))
-    path = scratch_dir(spark, "collected")
-    CSV.write_csv(records, path, bom=True)
-    return CSV.read_listings_csv(spark, path)
+    return E6.collect_to_csv(detail_pages(spark, sf), scratch_dir(spark, "collected"), list_pages(spark, sf), "/annonces.example/")
 
 
 # Cards: the ads of one order form one result page.
