@@ -1,20 +1,25 @@
 """Fingerprints of documents as Merkle trees over paragraphs and sections.
 
-A paragraph is a line. Its leaves are its pieces: so many characters from its
-start on, so that a change stays in its paragraph. A paragraph's node hashes
-its leaves, a section's node the paragraphs' nodes, the root the sections'. A
-section ends after a paragraph whose hash falls on a chosen remainder (or
-after a blank line), so an inserted paragraph moves no other border. Equal
-roots mean equal texts; where they differ, differing sections and, in these,
-differing leaves locate the edit.
-
-A fingerprint is a string: root, section nodes and leaves, the parts apart by
-``/``, the nodes by ``.``. Built-in functions only.
+A paragraph is a line. Its leaves are runs of words that end after a word whose
+hash falls on a chosen remainder, so that an inserted or changed word moves no
+other border. A paragraph's node hashes its leaves, a section's node the
+paragraphs' nodes, the root the sections' nodes. A section ends after a
+paragraph whose node falls on a chosen remainder, or after a blank line. Equal
+roots mean equal texts (but for collisions of hashes: 48 bits a leaf, 64 a
+node). Where roots differ, only differing sections are gone into, and in these
+only differing paragraphs; what differs there tells how alike two texts are and
+where the edit is.
+
+A fingerprint is a string: the root, then each section as ``/`` and its entry.
+An entry is a node followed by its children's entries, each of them after ``,``
+(paragraphs) or ``.`` (leaves, which are their hash alone), so equal entries
+are equal nodes. Built-in functions only.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,85 +27,154 @@ from pyspark.sql import Window
 
 from hestia.llm.common import checkpointed
 
-#: Characters of a leaf.
-LEAF = 32
+#: One word of so many ends a leaf.
+LEAF = 4
 #: One paragraph of so many ends a section.
 SECTION = 8
+#: A word with the white space after it; of a run of more than 32 characters without any, each character before the last 32.
+PIECE = r"(?s)\S{1,32}+(?!\S)\s*|."
 #: To find each row's neighbour, ids are cut into ranges of about so many rows, up to so many ranges; each is ordered by one task, which can spill.
 RANGE_ROWS, RANGES = 200, 16384
+#: More elements than an array holds.
+ALL = 1 << 30
 
 
-def _hex(h: Column, digits: int) -> Column:
-    return F.right(F.concat(F.lit("0" * digits), F.lower(F.hex(h))), F.lit(digits))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
-def leaves(text: Column) -> Column:
-    """Hashes of the pieces of each paragraph (not null), as an array for each."""
-    pieces = lambda p: F.regexp_extract_all(p, F.lit(f"(?s).{{1,{LEAF}}}"), F.lit(0))
-    return F.transform(F.split(text, "\n"), lambda p: F.transform(pieces(p), lambda x: F.xxhash64(x)))
+def _cut(items: Column, ends: Callable[[Column], Column], made: Callable[[Column], Column]) -> Column:
+    """``made`` of each run of ``items``; a run ends after an item for which ``ends`` holds, and with the last one."""
+    n = F.size(items)
+    places = F.when(n > 0, F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | ends(F.element_at(items, i))))
 
+    def run(at: Column, end: Column, i: Column) -> Column:
+        start = F.when(i == 0, F.lit(0)).otherwise(F.get(at, i - 1))
+        return made(F.slice(items, start + 1, end - start))
 
-def fingerprint(text: Column, tree: Column) -> Column:
-    """The fingerprint of a text (not null) with the hashes that ``leaves`` gives for it."""
-    empty = F.struct(F.lit(0).cast("long").alias("open"), F.array().cast("array<bigint>").alias("done"))
+    return F.coalesce(_let(places, lambda at: F.transform(at, lambda end, i: run(at, end, i))), F.array().cast("array<string>"))
 
-    def add(acc: Column, p: Column) -> Column:
-        """Joins a paragraph to the section that is open, and closes it at a border."""
-        node = F.xxhash64(p)
-        now = F.xxhash64(acc["open"], node)
-        border = (F.pmod(node, F.lit(SECTION)) == 0) | (F.size(p) == 0)
-        return F.struct(
-            F.when(border, F.lit(0).cast("long")).otherwise(now).alias("open"),
-            F.when(border, F.concat(acc["done"], F.array(now))).otherwise(acc["done"]).alias("done"),
-        )
 
-    sections = F.aggregate(tree, empty, add, lambda acc: F.concat(acc["done"], F.array(acc["open"])))
-    return F.concat_ws(
-        "/",
-        F.left(F.sha2(text, 256), F.lit(32)),
-        F.concat_ws(".", F.transform(sections, lambda s: _hex(s, 8))),
-        F.concat_ws(".", F.transform(F.flatten(tree), lambda x: _hex(x, 6))),
-    )
+def _falls(h: Column, one_of: int) -> Column:
+    return F.pmod(h, F.lit(one_of)) == 0
+
+
+def _leaf(pieces: Column) -> Column:
+    return F.concat(F.lit("."), F.lpad(F.right(F.hex(F.xxhash64(pieces)), F.lit(12)), 12, "0"))
+
+
+def _node(children: Column) -> Column:
+    return F.left(F.sha2(children, 256), F.lit(16))
+
+
+def _nodes(entries: Column) -> Column:
+    return F.array_join(F.transform(entries, lambda e: F.left(e, F.lit(16))), "")
+
+
+def paragraph(line: Column) -> Column:
+    """A paragraph's entry: its node and, each after a dot, its leaves. A blank line has none."""
+    pieces = F.regexp_extract_all(line, F.lit(PIECE), F.lit(0))
+    made = _let(pieces, lambda p: _cut(p, lambda x: _falls(F.xxhash64(x), LEAF), _leaf))
+    return _let(F.lower(F.array_join(made, "")), lambda leaves: F.concat(_node(leaves), leaves))
+
+
+def _section(paragraphs: Column) -> Column:
+    return F.concat(_node(_nodes(paragraphs)), F.lit(","), F.array_join(paragraphs, ","))
+
+
+def fingerprint(text: Column) -> Column:
+    """The fingerprint of a text (not null)."""
+    ends = lambda p: (F.length(p) == 16) | _falls(F.xxhash64(F.left(p, F.lit(16))), SECTION)
+    sections = _let(F.transform(F.split(text, "\n"), paragraph), lambda ps: _cut(ps, ends, _section))
+    return _let(sections, lambda x: F.concat(F.left(F.sha2(_nodes(x), 256), F.lit(32)), F.lit("/"), F.array_join(x, "/")))
+
 
+def _sections(fp: Column) -> Column:
+    return F.slice(F.split(fp, "/"), 2, ALL)
 
-def _part(fp: Column, i: int) -> Column:
-    return F.split(F.split_part(fp, F.lit("/"), F.lit(i + 1)), r"\.")
+
+def _below(entries: Column, mark: str) -> Column:
+    """The children of ``entries``."""
+    return F.flatten(F.transform(entries, lambda e: F.slice(F.split(e, mark), 2, ALL)))
+
+
+def _count(entries: Column, mark: str) -> Column:
+    """How often ``mark`` stands in ``entries``."""
+    return _let(F.array_join(entries, ""), lambda j: F.length(j) - F.length(F.replace(j, F.lit(mark), F.lit(""))))
+
+
+def _same_root(a: Column, b: Column) -> Column:
+    return F.left(a, F.lit(32)) == F.left(b, F.lit(32))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of leaves in common: 1 where the roots agree, 0 where no leaf does."""
-    x, y = F.array_distinct(_part(a, 2)), F.array_distinct(_part(b, 2))
-    both = F.size(F.array_intersect(x, y))
-    share = F.lit(2.0) * both / (F.size(x) + F.size(y))
-    same = F.split_part(a, F.lit("/"), F.lit(1)) == F.split_part(b, F.lit("/"), F.lit(1))
-    # Different texts are never wholly alike.
-    return F.when(same, F.lit(1.0)).otherwise(F.least(share, F.lit(0.999)))
+    """Share of leaves in common: 1 where the roots agree, 0 where no leaf does; different texts have 0.999 at most.
+
+    Sections of equal nodes count with all their leaves; of the others, paragraphs
+    of equal nodes do; of what is then left, equal leaves. What repeats among the
+    sections, paragraphs or leaves compared counts once.
+    """
+
+    def compared(s: Column, common: Column, leaves: Callable[[Column], Column]) -> Column:
+        both = leaves(F.array_intersect(s["x"], s["y"]))
+        return F.struct((common + both).alias("common"), F.array_except(s["x"], s["y"]).alias("x"), F.array_except(s["y"], s["x"]).alias("y"))
 
+    def into(s: Column, mark: str, leaves: Callable[[Column], Column]) -> Column:
+        below = F.struct(_below(s["x"], mark).alias("x"), _below(s["y"], mark).alias("y"))
+        return _let(below, lambda t: compared(t, s["common"], leaves))
 
-def edited_leaves(a: Column, b: Column) -> Column:
-    """(first, last): the leaves of ``a`` from the first to the last that the edit to ``b`` touched, counted from 0; null where the roots agree.
+    dots = lambda entries: _count(entries, ".")
+    sections = _let(F.struct(_sections(a).alias("x"), _sections(b).alias("y")), lambda s: compared(s, F.lit(0), dots))
+    paragraphs = _let(sections, lambda s: into(s, ",", dots))
+    left = _let(paragraphs, lambda s: into(s, r"\.", F.size))
+    twice = lambda s: F.lit(2.0) * s["common"]
+    share = _let(left, lambda s: twice(s) / F.greatest(twice(s) + F.size(s["x"]) + F.size(s["y"]), F.lit(1.0)))
+    return F.when(_same_root(a, b), F.lit(1.0)).otherwise(F.least(share, F.lit(0.999)))
 
-    Leaves that agree from the front and, for the rest, from the back lie
-    outside the edit; ``last`` is below ``first`` where ``b`` only inserts.
+
+def edit(a: Column, b: Column) -> Column:
+    """(first_line, last_line, first_leaf, last_leaf) of ``a`` that the edit to ``b`` touched, counted from 0; null where the roots agree.
+
+    Sections that agree from the front and, of the rest, from the back lie outside
+    the edit; so do, in what is between, paragraphs, and then leaves. A line's
+    leaves count on from those of the lines before. A last one is below the first
+    where ``b`` only inserts.
     """
-    x, y = _part(a, 2), _part(b, 2)
-    short = F.least(F.size(x), F.size(y))
 
-    def agreeing(u: Column, v: Column, most: Column) -> Column:
-        differs = F.zip_with(F.slice(u, 1, short), F.slice(v, 1, short), lambda p, q: p != q)
-        first = F.array_position(differs, True)
-        return F.least(F.when(first > 0, first - 1).otherwise(short), most)
+    def between(s: Column) -> Column:
+        """How many agree in front and at the back, and what lies between."""
+        short = F.least(F.size(s["x"]), F.size(s["y"]))
+
+        def agreeing(u: Column, v: Column) -> Column:
+            first = F.array_position(F.zip_with(F.slice(u, 1, short), F.slice(v, 1, short), lambda p, q: p != q), True)
+            return F.when(first > 0, first - 1).otherwise(short).cast("int")
+
+        def cut(front: Column, back: Column) -> Column:
+            middle = lambda u: F.slice(u, front + 1, F.size(u) - front - back)
+            return F.struct(
+                F.slice(s["x"], 1, front).alias("front"), F.slice(s["x"], F.size(s["x"]) - back + 1, back).alias("back"),
+                middle(s["x"]).alias("x"), middle(s["y"]).alias("y"),
+            )
 
-    front = agreeing(x, y, short).cast("int")
-    back = agreeing(F.reverse(x), F.reverse(y), short - front).cast("int")
-    same = F.split_part(a, F.lit("/"), F.lit(1)) == F.split_part(b, F.lit("/"), F.lit(1))
-    return F.when(~same, F.struct(front.alias("first"), (F.size(x) - back - 1).alias("last")))
+        front = agreeing(s["x"], s["y"])
+        ends = F.struct(front.alias("front"), F.least(agreeing(F.reverse(s["x"]), F.reverse(s["y"])), short - front).alias("back"))
+        return _let(ends, lambda e: cut(e["front"], e["back"]))
 
+    def below(s: Column, mark: str) -> Column:
+        return _let(F.struct(_below(s["x"], mark).alias("x"), _below(s["y"], mark).alias("y")), between)
+
+    def place(s: Column, p: Column, v: Column) -> Column:
+        lines = {end: _count(s[end], ",") + F.size(p[end]) for end in ("front", "back")}
+        leaves = {end: _count(s[end], ".") + _count(p[end], ".") + F.size(v[end]) for end in ("front", "back")}
+        return F.struct(
+            lines["front"].alias("first_line"), (_count(_sections(a), ",") - lines["back"] - 1).alias("last_line"),
+            leaves["front"].alias("first_leaf"), (_count(_sections(a), ".") - leaves["back"] - 1).alias("last_leaf"),
+        )
 
-def edited_sections(a: Column, b: Column) -> Column:
-    """Places of the sections of ``a`` that ``b`` lacks, counted from 0."""
-    x, y = _part(a, 1), _part(b, 1)
-    return F.filter(F.sequence(F.lit(0), F.size(x) - 1), lambda i: ~F.array_contains(y, F.get(x, i)))
+    sections = _let(F.struct(_sections(a).alias("x"), _sections(b).alias("y")), between)
+    found = _let(sections, lambda s: _let(below(s, ","), lambda p: _let(below(p, r"\."), lambda v: place(s, p, v))))
+    return F.when(~_same_root(a, b), found)
 
 
 def with_next(df: DataFrame, *, doc_id: str, text: str) -> DataFrame:
@@ -144,9 +218,9 @@ def edited(text: Column, other: Column) -> Column:
 
 
 def compare_with_edits(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row of ``docs``.
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, edit for every row of ``docs``.
 
-    A null text counts as empty (root of the empty text, no leaves). Equal
+    A null text counts as empty (one blank line, no leaves). Equal
     texts have equal fingerprints; repeated rows are returned each. In a table
     of one row, it is its own next. An empty table gives an empty one; other
     columns are not read.
@@ -154,17 +228,17 @@ def compare_with_edits(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     d = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     d = with_next(d, doc_id="doc_id", text="text")
     d = d.withColumns({"after": edited(F.col("text"), F.col("next_text"))})
-    names = ("text", "after", "next_text")
-    d = d.withColumns({f"tree_{x}": leaves(F.col(x)) for x in names})
+    names = {"text": "fingerprint", "after": "edited_fingerprint", "next_text": "next_fingerprint"}
     d = d.select(
         "doc_id",
         F.char_length("text").cast("long").alias("n_chars"),
         F.sha2("after", 256).alias("edited_sha256"),
-        *[fingerprint(F.col(x), F.col(f"tree_{x}")).alias(y) for x, y in zip(names, ("fingerprint", "edited_fingerprint", "next_fingerprint"))],
+        *[fingerprint(F.col(x)).alias(y) for x, y in names.items()],
     )
+    own, after = F.col("fingerprint"), F.col("edited_fingerprint")
     return d.select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
-        edited_leaves(F.col("fingerprint"), F.col("edited_fingerprint")).alias("edited_leaves"),
+        "doc_id", "n_chars", "edited_sha256", own, after,
+        likeness(own, after).alias("near_edited"),
+        likeness(own, F.col("next_fingerprint")).alias("near_next"),
+        edit(own, after).alias("edit"),
     )

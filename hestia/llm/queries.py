@@ -64,7 +64,7 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.compare_with_edits(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "edit.*")
 
 
 @query
