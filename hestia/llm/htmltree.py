@@ -6,13 +6,16 @@ half of them to the next ancestor, a third to the one after, and so on; an
 element's points are discounted by the share of its text that stands in links.
 The best container and those of its siblings that look like it are kept. What
 is named as a menu, header, footer, side bar, notice, advert, form or reader
-comments (by element, role, class or id) takes no part.
+comments (by element, role, class or id) takes no part. But where next to nothing is
+left without it, a form or an element so named by role, class or id holds the
+article, and is read as if it had no such name.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,7 +26,7 @@ from pyspark.sql.types import StructType
 # Element names by what they mean here.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style noscript template textarea title iframe xmp svg math".split())
-DROPPED = set("head nav footer aside form button select option iframe noscript script style template textarea title svg math menu dialog object video audio canvas".split())
+DROPPED = set("head nav footer aside button select option iframe noscript script style template textarea title svg math menu dialog object video audio canvas".split())
 BLOCKS = set(
     "address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -46,6 +49,10 @@ NAMES = set(
 HEADER_NAMES = {"header"}
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 NEGATIONS = {"with", "has", "no", "without", "hide", "show"}
+#: Those of the names that mean reader comments and notices to the reader, which may be longer than the article.
+LONG = set("comment comments commentlist disqus respond reply replies cookie cookies consent gdpr".split())
+#: What is left outside an article or main element is next to nothing if it has less than this share of the text of an element left out.
+LITTLE = 0.1
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|</?[a-zA-Z][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.I)
@@ -54,18 +61,29 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Element:
-    __slots__ = ("name", "parent", "children", "points", "attrs", "length", "linked")
+    __slots__ = ("name", "parent", "children", "points", "attrs", "length", "linked", "links", "chars", "commas")
 
     def __init__(self, name: str, parent: Element | None, attrs: dict[str, str]):
         self.name, self.parent, self.attrs = name, parent, attrs
         self.children: list[Element | str] = []
         self.points, self.length, self.linked = 0.0, 0, 0
+        self.links, self.chars, self.commas = 0, 0, 0
 
 
 def parsed(source: str) -> Element:
     """The element tree; elements left open end where their parent does, end tags of nothing open are skipped."""
     root = at = Element("#root", None, {})
     place, n = 0, len(source)
+    opened: Counter[str] = Counter()  # so that nothing is looked for in vain on the way to the root
+
+    def leave(up: Element) -> Element:
+        """Closes all up to and with ``up``; what is open then."""
+        x = at
+        while x is not up.parent:
+            opened[x.name] -= 1
+            x = x.parent
+        return x
+
     while place < n:
         m = _TAG.search(source, place)
         if not m:
@@ -77,19 +95,20 @@ def parsed(source: str) -> Element:
             continue
         name = m[2].lower()
         if m[1]:
-            up = at
-            while up.parent is not None and up.name != name:
-                up = up.parent
-            if up.parent is not None:
-                at = up.parent
+            if opened[name]:
+                up = at
+                while up.name != name:
+                    up = up.parent
+                at = leave(up)
             continue
         if name in CLOSES_P or name in ENDS:
             ends = ENDS.get(name, set()) | ({"p"} if name in CLOSES_P else set())
-            up = at
-            while up.parent is not None and up.name not in ends and up.name not in BARRIERS:
-                up = up.parent
-            if up.parent is not None and up.name in ends:
-                at = up.parent
+            if any(opened[x] for x in ends):
+                up = at
+                while up.parent is not None and up.name not in ends and up.name not in BARRIERS:
+                    up = up.parent
+                if up.parent is not None and up.name in ends:
+                    at = leave(up)
         attrs = {k.lower(): html.unescape(a or b or c) for k, a, b, c in _ATTR.findall(m[3])} if m[3] else {}
         child = Element(name, at, attrs)
         at.children.append(child)
@@ -98,6 +117,7 @@ def parsed(source: str) -> Element:
             place = end.end() if end else n
         elif name not in VOID and not m[3].endswith("/"):
             at = child
+            opened[name] += 1
     if place < n:
         at.children.append(source[place:])
     return root
@@ -113,24 +133,78 @@ def named(attrs: dict[str, str], names: set[str]) -> bool:
 
 
 def dropped(e: Element, within: bool) -> bool:
-    """Whether the element takes no part. ``within``: it is inside an article or main element."""
+    """Whether the element takes no part, whatever it holds. ``within``: it is inside an article or main element."""
     if e.name in DROPPED or e.name == "header" and not within:
         return True
     a = e.attrs
     if not a or e.name in ("html", "body", "main"):
         return False
-    return (
-        "hidden" in a
-        or a.get("aria-hidden", "").lower() == "true"
-        or a.get("role", "").lower() in ROLES
-        or bool(_HIDDEN.search(a.get("style", "")))
-        or named(a, NAMES)
-        or not within and named(a, HEADER_NAMES)
-    )
+    return "hidden" in a or a.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(a.get("style", "")))
+
+
+def suspect(e: Element, within: bool) -> bool:
+    """Whether the element takes no part unless the article turns out to stand in it."""
+    if e.name == "form":
+        return True
+    a = e.attrs
+    if not a or e.name in ("html", "body", "main"):
+        return False
+    return a.get("role", "").lower() in ROLES or named(a, NAMES) or not within and named(a, HEADER_NAMES)
+
+
+def prose(root: Element) -> dict[Element, int]:
+    """Characters of each element's text outside links and what takes no part in any case."""
+    order = [root]
+    for x in order:
+        order += [c for c in x.children if isinstance(c, Element) and c.name != "a" and not dropped(c, True)]
+    found: dict[Element, int] = {}
+    for x in reversed(order):
+        found[x] = sum(len(c.strip()) if isinstance(c, str) else found.get(c, 0) for c in x.children)
+    return found
+
+
+def lifted(root: Element) -> set[Element]:
+    """The suspect elements that are read all the same, since they hold the article.
+
+    First none. Where then nothing is left, or too little outside any article
+    or main element, that with the most text of the suspect elements is read
+    (``LONG`` ones only where nothing is left; where an article or main element
+    stands, only those in it), with the suspect elements in it weighed in the
+    same way, and so on.
+    """
+    free: set[Element] = set()
+    sizes = prose(root)
+    at = (root, False)
+    while True:
+        left, inside, stands, out = 0, 0, False, []
+        todo = [at]
+        while todo:
+            x, within = todo.pop()
+            within = within or x.name in ("article", "main")
+            stands = stands or within
+            for c in x.children:
+                if isinstance(c, str):
+                    n = len(c.strip())
+                    left += n
+                    inside += n if within else 0
+                elif dropped(c, within):
+                    continue
+                elif suspect(c, within):
+                    out.append((c, within))
+                else:
+                    todo.append((c, within))
+        if inside:
+            return free
+        held = [(x, within) for x, within in out if (within or not stands) and (not left or not named(x.attrs, LONG))]
+        at = max(held, key=lambda x: sizes.get(x[0], 0), default=(root, False))
+        if not held or left >= LITTLE * sizes.get(at[0], 0):
+            return free
+        free.add(at[0])
 
 
 def pruned(e: Element) -> None:
     """Takes out what takes no part and counts text and linked text. Of a header inside the article, headings stay."""
+    free = lifted(e)
     todo = [(e, False, False)]
     order: list[Element] = []
     while todo:  # without recursion: pages nest as deep as they like
@@ -141,18 +215,23 @@ def pruned(e: Element) -> None:
             if isinstance(c, str):
                 if not header:
                     kept.append(html.unescape(c) if "&" in c else c)
-            elif not dropped(c, within):
+            elif c in free or not dropped(c, within) and not suspect(c, within):
                 kept.append(c)
-                in_header = header or within and (c.name == "header" or named(c.attrs, HEADER_NAMES))
+                in_header = header or within and c not in free and (c.name == "header" or named(c.attrs, HEADER_NAMES))
                 todo.append((c, within or c.name in ("article", "main"), in_header and c.name not in HEADINGS))
         x.children = kept
     for x in reversed(order):
         for c in x.children:
             if isinstance(c, str):
                 x.length += len(c.strip())
+                x.chars += len(c)
+                x.commas += c.count(",")
             else:
                 x.length += c.length
                 x.linked += c.length if c.name == "a" else c.linked
+                x.links += c.links + (c.name == "a")
+                x.chars += c.chars
+                x.commas += c.commas
 
 
 def density(e: Element) -> float:
@@ -188,11 +267,14 @@ def scored(root: Element) -> Element | None:
     for x in elements(root):
         if not x.length or x.name in HEADINGS or x.name not in BLOCKS and x.name != "#root":
             continue
-        text = flat(x) if x.name in PARAGRAPHS else loose(x)
-        if x.name not in PARAGRAPHS and not text.strip():
-            continue
+        chars, commas = x.chars, x.commas
+        if x.name not in PARAGRAPHS:
+            text = loose(x)
+            if not text.strip():
+                continue
+            chars, commas = len(text), text.count(",")
         plain = x.name in CONTAINERS
-        points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - density(x))
+        points = (1 + commas + min(chars / 100, 3)) * (1 - density(x))
         up, level = (x if plain else x.parent), 1
         while up is not None and level < 6:
             up.points += points / level
@@ -209,18 +291,6 @@ def scored(root: Element) -> Element | None:
     return best
 
 
-def flat(e: Element) -> str:
-    out: list[str] = []
-    todo: list[Element | str] = [e]
-    while todo:
-        x = todo.pop()
-        if isinstance(x, str):
-            out.append(x)
-        else:
-            todo += reversed(x.children)
-    return "".join(out)
-
-
 def chosen(best: Element) -> list[Element]:
     """The container, widened to the article or main element around it, or else with the siblings to keep."""
     up = best
@@ -273,7 +343,7 @@ def blocks(roots: list[Element], best: Element | None = None) -> list[str]:
             flush()
         elif isinstance(x, str):
             held.append(x)
-        elif not inside and not (x is best and x.name not in ("ul", "ol", "table", "dl")) and x.name in ("ul", "ol", "div", "table", "dl") and density(x) > 0.6 and sum(c.name == "a" for c in elements(x)) > 1:
+        elif not inside and not (x is best and x.name not in ("ul", "ol", "table", "dl")) and x.name in ("ul", "ol", "div", "table", "dl") and density(x) > 0.6 and x.links > 1:
             continue  # a list of links
         else:
             if x.name in BLOCKS:

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from hestia.llm import htmltree as H
@@ -58,3 +60,46 @@ def test_rows(spark):
 )
 def test_text_in_other_elements(body, want):
     assert H.main_text(PAGE % body) == want
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        '<form id="aspnetForm"><input type=hidden name=x><div>%s</div></form>',
+        '<div class="share-price-report">%s</div>',
+        '<article id="notice-of-meeting">%s</article>',
+        '<article class="ad-free">%s</article>',
+        '<div class="content-sidebar">%s</div>',
+        '<main><section class="comment-piece">%s</section></main>',
+        '<form id=f><div class="content-sidebar"><article class="ad-free">%s</article><div class="ad">Buy, now.</div></div></form>',
+        '<div>Stray</div><div role="form"><div class="widget-main">%s</div><div class="comments"><p>Nice, very, nice.</p></div></div>',
+    ],
+)
+def test_article_in_what_is_named_like_an_advert(body):
+    text = "<p>One, two, three and so on.</p><p>Four, five, and a long, long tail of it.</p>"
+    want = "One, two, three and so on. Four, five, and a long, long tail of it."
+    got = H.main_text(PAGE % (body % text))
+    assert got in (want, "Stray " + want)
+
+
+def test_long_comments_do_not_replace_a_short_article():
+    comments = "<section id=comments>" + "<article class=comment><p>Nice, very, nice, indeed, yes.</p></article>" * 50 + "</section>"
+    ad = "<div class=ad>" + "Buy, now, here. " * 50 + "</div>"
+    assert H.main_text(PAGE % ("<article><p>Short, text.</p></article>" + comments + ad)) == "Short, text."
+    assert H.main_text(PAGE % ("<div><p>Short, text.</p></div>" + comments)) == "Short, text."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<ul><li>x " * 20000,
+        "<div>" * 20000 + "</b>" * 20000 + "x",
+        "<div><a href=/>x</a>" + "<div>" * 20000 + "y",
+        "<form class=ad>" * 20000 + "x, y",
+        "<div class=ad>z</div><div class=widget>" * 20000 + "x, y",
+    ],
+)
+def test_deep_pages_take_linear_time(page):
+    began = time.monotonic()
+    assert H.main_text(page)
+    assert time.monotonic() - began < 6
