@@ -13,8 +13,10 @@ exclusive.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,26 @@ MORE_RULES = [
 ]
 RULES = [*BASE_RULES, *MORE_RULES]
 SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
+#: Matches that are listed one after the other; more are listed by so many at a time.
+RUN = 128
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _listed(each: Column, begin: Column, rule: Rule, rank: int) -> Column:
+    """Spans of the matches ``each`` (gap before, size, size of the value), the first gap from ``begin`` on."""
+    end = lambda acc, x: acc["at"] + x["gap"] + x["size"]
+
+    def add(acc: Column, x: Column) -> Column:
+        span = F.struct((acc["at"] + x["gap"]).alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), end(acc, x).alias("end"))
+        out = F.when(x["value"] >= rule.at_least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
+        return F.struct(end(acc, x).alias("at"), out.alias("out"))
+
+    empty = F.struct(begin.alias("at"), F.array().cast(SPANS).alias("out"))
+    return F.aggregate(each, empty, add, lambda acc: acc["out"])
 
 
 def matches(text: Column, rule: Rule, rank: int) -> Column:
@@ -59,32 +81,23 @@ def matches(text: Column, rule: Rule, rank: int) -> Column:
     parts = F.transform(F.split(text, rule.pattern), F.length)
     found = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length)
     value = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length)
-    each = F.transform(F.arrays_zip(F.slice(parts, 1, F.size(found)).alias("gap"), found.alias("size"), value.alias("value")), lambda x: x)
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
-    run = F.aggregate(
-        each,
-        empty,
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["size"]).alias("at"),
-            F.when(
-                x["value"] >= rule.at_least,
-                F.concat(
-                    acc["out"],
-                    F.array(
-                        F.struct(
-                            (acc["at"] + x["gap"]).alias("start"),
-                            F.lit(rank).alias("rank"),
-                            F.lit(rule.kind).alias("kind"),
-                            (acc["at"] + x["gap"] + x["size"]).alias("end"),
-                        )
-                    ),
-                ),
-            )
-            .otherwise(acc["out"])
-            .alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
+    each = F.arrays_zip(F.slice(parts, 1, F.size(found)).alias("gap"), found.alias("size"), value.alias("value"))
+
+    def runs(all_: Column) -> Column:
+        """Matches by runs of ``RUN``, so that no long list is appended to one by one."""
+        firsts = F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / RUN).cast("int"))
+        return F.transform(firsts, lambda i: F.slice(all_, i * RUN + 1, RUN))
+
+    def begins(by_run: Column) -> Column:
+        """The runs, and how much of the text lies before each."""
+        size = F.transform(by_run, lambda r: F.aggregate(r, F.lit(0), lambda n, x: n + x["gap"] + x["size"]))
+        return F.struct(by_run.alias("runs"), size.alias("sizes"))
+
+    def spans(x: Column) -> Column:
+        before = lambda i: F.aggregate(F.slice(x["sizes"], 1, i), F.lit(0), lambda n, y: n + y)
+        return F.flatten(F.transform(x["runs"], lambda r, i: _listed(r, before(i), rule, rank)))
+
+    run = _let(each, lambda a: _let(runs(a), lambda r: _let(begins(r), spans)))
     return F.when(text.rlike(rule.pattern), run).otherwise(F.array().cast(SPANS))
 
 
@@ -94,8 +107,19 @@ def blob_id(content: Column) -> Column:
 
 
 def read_ledger(spark: SparkSession, path: str | None) -> DataFrame:
+    """The ledger at ``path``; an empty one where nothing is there yet. Any other trouble with it is an error."""
     schema = f"blob_id binary, kind string, version int, spans {SPANS}"
-    return spark.read.schema(schema).parquet(path) if path else spark.createDataFrame([], schema)
+    try:
+        return spark.read.schema(schema).parquet(path) if path else spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def new_ledger(spark: SparkSession) -> str:
+    """A path in the shared folder at which ``scan`` can begin a ledger, for later runs to go on with."""
+    return fresh_path(spark, "ledger")
 
 
 def scan_unseen(contents: DataFrame, ledger: DataFrame | None, content: str = "content", rules: list[Rule] = RULES) -> DataFrame:
@@ -133,7 +157,9 @@ def findings(paths: DataFrame, ledger: DataFrame, rules: list[Rule] = RULES) ->
 def scan(paths: DataFrame, *, content: str, keep: list[str], ledger_path: str | None = None, rules: list[Rule] = RULES) -> DataFrame:
     """Scan what ``ledger_path`` lacks, append it there, and return ``keep``, ``blob_id`` and ``spans`` of every row of ``paths``.
 
-    Without ``ledger_path`` a new ledger is begun in the shared folder. A null
+    A ledger is begun where ``ledger_path`` holds none yet (``new_ledger`` names
+    such a path); without ``ledger_path`` everything is scanned, into a ledger of
+    this run alone. A null
     content counts as empty and has no spans; repeated rows share a blob and
     are returned each; an empty table gives an empty one; other columns are
     not read. Two runs that append at once may both scan a blob, which
@@ -142,7 +168,7 @@ def scan(paths: DataFrame, *, content: str, keep: list[str], ledger_path: str |
     """
     spark = paths.sparkSession
     old = read_ledger(spark, ledger_path) if ledger_path else None
-    to = ledger_path or fresh_path(spark, "ledger")
+    to = ledger_path or new_ledger(spark)
     scan_unseen(paths, old, content, rules).write.mode("append").parquet(to)
     ledger = read_ledger(spark, to).dropDuplicates(["blob_id", "kind", "version"])
     return findings(paths.select(*keep, blob_id(F.col(content)).alias("blob_id")), ledger, rules)

@@ -1,6 +1,7 @@
 import random
 import re
 import tempfile
+import time
 
 from hestia.llm import ledger as L
 
@@ -55,3 +56,27 @@ def test_odd_rows(odd, empty):
     assert L.scan(empty, content="text", keep=["doc_id"]).count() == 0
     assert L.without_secrets(odd).count() == odd.count() and L.without_secrets(empty).count() == 0
     assert L.without_secrets(odd).columns == odd.columns
+
+
+def test_a_second_run_scans_only_what_is_new(spark):
+    path = L.new_ledger(spark)
+    first = spark.createDataFrame([("a", "token=abcdef"), ("b", "token=abcdef"), ("c", None)], "path string, text string")
+    assert sorted((r.path, len(r.spans)) for r in L.scan(first, content="text", keep=["path"], ledger_path=path).collect()) == [("a", 1), ("b", 1), ("c", 0)]
+    assert L.read_ledger(spark, path).count() == 2 * len(L.RULES)
+    second = first.union(spark.createDataFrame([("a", "AKIA" + "B" * 16)], "path string, text string"))
+    rows = L.scan(second, content="text", keep=["path"], ledger_path=path).collect()
+    assert sorted((r.path, len(r.spans)) for r in rows) == [("a", 1), ("a", 1), ("b", 1), ("c", 0)]
+    assert L.read_ledger(spark, path).count() == 3 * len(L.RULES)  # one more blob, the others not again
+    L.scan(second, content="text", keep=["path"], ledger_path=path).collect()
+    assert L.read_ledger(spark, path).count() == 3 * len(L.RULES)
+
+
+def test_many_matches_in_one_text(spark):
+    texts = [(n, "é " + " x ".join(f"token={i:08d}" + (" secret=ab" if i % 3 else "") for i in range(n))) for n in (1, 127, 128, 129, 300)]
+    got = found(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert all(got[i] == by_hand(t) for i, t in texts)
+    text = " ".join(f"token={i:08d}" for i in range(50000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.monotonic()
+    assert got[1] and found(df)[1] == by_hand(text)
+    assert time.monotonic() - began < 30  # session start and both joins included
