@@ -27,8 +27,8 @@ from pyspark.sql import Window
 
 from hestia.llm.common import checkpointed
 
-#: One word of so many ends a leaf.
-LEAF = 4
+#: One word of so many ends a leaf; so does each 32nd since the last end, so that a text of one word repeated has leaves too.
+LEAF, LONGEST = 4, 32
 #: One paragraph of so many ends a section.
 SECTION = 8
 #: A word with the white space after it; of a run of more than 32 characters without any, each character before the last 32.
@@ -44,16 +44,20 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def _cut(items: Column, ends: Callable[[Column], Column], made: Callable[[Column], Column]) -> Column:
-    """``made`` of each run of ``items``; a run ends after an item for which ``ends`` holds, and with the last one."""
+def _cut(items: Column, ends: Callable[[Column], Column], made: Callable[[Column], Column], longest: int = ALL) -> Column:
+    """``made`` of each run of ``items``; a run ends after an item for which ``ends`` holds, with the last one, and after ``longest`` items."""
     n = F.size(items)
     places = F.when(n > 0, F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | ends(F.element_at(items, i))))
 
     def run(at: Column, end: Column, i: Column) -> Column:
         start = F.when(i == 0, F.lit(0)).otherwise(F.get(at, i - 1))
-        return made(F.slice(items, start + 1, end - start))
+        if longest == ALL:
+            return made(F.slice(items, start + 1, end - start))
+        long_run = F.transform(F.sequence(start, end - 1, F.lit(longest)), lambda x: made(F.slice(items, x + 1, F.least(F.lit(longest), end - x))))
+        return F.when(end - start <= longest, F.array(made(F.slice(items, start + 1, end - start)))).otherwise(long_run)
 
-    return F.coalesce(_let(places, lambda at: F.transform(at, lambda end, i: run(at, end, i))), F.array().cast("array<string>"))
+    runs = _let(places, lambda at: F.transform(at, lambda end, i: run(at, end, i)))
+    return F.coalesce(runs if longest == ALL else F.flatten(runs), F.array().cast("array<string>"))
 
 
 def _falls(h: Column, one_of: int) -> Column:
@@ -75,7 +79,7 @@ def _nodes(entries: Column) -> Column:
 def paragraph(line: Column) -> Column:
     """A paragraph's entry: its node and, each after a dot, its leaves. A blank line has none."""
     pieces = F.regexp_extract_all(line, F.lit(PIECE), F.lit(0))
-    made = _let(pieces, lambda p: _cut(p, lambda x: _falls(F.xxhash64(x), LEAF), _leaf))
+    made = _let(pieces, lambda p: _cut(p, lambda x: _falls(F.xxhash64(x), LEAF), _leaf, LONGEST))
     return _let(F.lower(F.array_join(made, "")), lambda leaves: F.concat(_node(leaves), leaves))
 
 

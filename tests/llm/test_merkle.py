@@ -64,7 +64,8 @@ def plain_tree(text):
 
     lines = []
     for line in text.split("\n"):
-        leaves = [leaf(r) for r in cut(re.findall(r"(?as)\S{1,32}+(?!\S)\s*|.", line), lambda x: falls(x, M.LEAF))]
+        runs = cut(re.findall(r"(?as)\S{1,32}+(?!\S)\s*|.", line), lambda x: falls(x, M.LEAF))
+        leaves = [leaf(r[i : i + M.LONGEST]) for r in runs for i in range(0, len(r), M.LONGEST)]
         lines.append((sha("".join("." + x for x in leaves))[:16], leaves))
     sections = [(sha("".join(n for n, _ in r))[:16], r) for r in cut(lines, lambda x: not x[1] or falls(x[0], M.SECTION))]
     return sha("".join(n for n, _ in sections))[:32], sections
@@ -124,7 +125,8 @@ def compared(spark, pairs):
 
 
 def test_against_a_plain_tree(spark):
-    pairs = [("", ""), ("", "a"), ("\n", "\n\n"), ("a b c", "a b c\n"), *random_texts(120)]
+    same = [w * n for w in ("one ", "two ", "x", "é", "word ", "go ") for n in (31, 32, 33, 64, 65, 200)]
+    pairs = [("", ""), ("", "a"), ("\n", "\n\n"), ("a b c", "a b c\n"), *random_texts(120), *zip(same, same[1:])]
     for (a, b), r in zip(pairs, compared(spark, pairs)):
         x, y = plain_tree(a), plain_tree(b)
         assert r.a == plain_fingerprint(x) and r.b == plain_fingerprint(y)
@@ -150,6 +152,11 @@ def test_where_an_edit_is(spark):
     assert 0.9 < s.l < 1 and (s.e.first_line, s.e.last_line) == (30, 29)
 
 
+def test_half_of_a_text_of_one_word(spark):
+    pairs = [(w * 4000, w * 2000 + "something else entirely " * 300) for w in ("one ", "two ", "x", "é", "word ", "go ")]
+    assert all(r.l > 0.1 for r in compared(spark, pairs))
+
+
 def test_many_lines_and_long_lines(spark):
     texts = ["\n".join(f"line {i}" for i in range(64000)), "word " * 200000, "x" * 300000]
     began = time.monotonic()
