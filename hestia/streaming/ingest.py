@@ -7,6 +7,11 @@ written to a partition of its own, named after the checkpoint and the batch.
 A batch that runs again after a failure replaces its partition, so the sink is
 idempotent; a replay with another checkpoint finds all keys there. The log of
 batches is counted from these partitions, so it can't disagree with them.
+
+Inside its partition a batch is laid out by buckets of the key's hash, in order
+of the key. A later batch looks its keys up in the buckets that they fall into
+only, and there between their least and greatest first column: the first
+filter prunes folders, the second row groups.
 """
 
 from __future__ import annotations
@@ -15,14 +20,17 @@ import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from hestia.functions import html as H
 from hestia.operators.extract import extract_price_cards
 
 BATCH = "batch"
+BUCKET = "bucket"
+#: Buckets of a table, the same for all its batches: another number is another table.
+BUCKETS = 256
 PAGE_SCHEMA = "page_id long, url string, html string"
 
 
@@ -37,25 +45,34 @@ def page_record(pages: DataFrame) -> DataFrame:
     )
 
 
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
 def _written(spark: SparkSession, path: str, keys: Sequence[str], own: str, schema: StructType) -> DataFrame | None:
-    """Keys that other batches have written; None where nothing is there yet.
+    """Keys and buckets that other batches have written; None where nothing is there yet.
 
     Any other trouble with the target is an error, not an empty target."""
-    fields = StructType([schema[k] for k in keys] + [StructField(BATCH, StringType())])
+    fields = StructType([schema[k] for k in keys] + [StructField(BATCH, StringType()), StructField(BUCKET, IntegerType())])
     try:
         table = spark.read.schema(fields).parquet(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return table.filter(F.col(BATCH) != own).select(*keys)
+    return table.filter(F.col(BATCH) != own).select(*keys, BUCKET)
+
 
+def _near(known: DataFrame, records: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The known keys that can be in ``records``: those in its buckets, between the least and the greatest of its first key column.
 
-def _within(known: DataFrame, records: DataFrame, key: str) -> DataFrame:
-    """The known keys between the least and the greatest of ``records``: the filter reaches the scan, and files and
-    row groups whose statistics lie outside of it aren't read."""
-    low, high = records.agg(F.min(key), F.max(key)).first()
-    return known.filter(F.col(key).between(F.lit(low), F.lit(high))) if low is not None else known.limit(0)
+    Keys without a bucket (a table written without them) are all kept. What
+    comes to the driver is two keys and at most ``BUCKETS`` numbers."""
+    low, high, buckets = records.agg(F.min(keys[0]), F.max(keys[0]), F.collect_set(_bucket(keys))).first()
+    known = known.filter(F.col(BUCKET).isin(sorted(buckets)) | F.col(BUCKET).isNull())
+    if low is not None:
+        known = known.filter(F.col(keys[0]).between(F.lit(low), F.lit(high)))
+    return known.select(*keys)
 
 
 def ingest_pages(
@@ -82,9 +99,11 @@ def ingest_pages(
         try:
             new, known = records, _written(spark, out_dir, keys, own, records.schema)
             if known is not None:
-                new = records.join(_within(known, records, keys[0]), keys, "left_anti")
-            # In order of the key, so that the row groups of a file hold narrow ranges of it.
-            new.sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{BATCH}={own}")
+                new = records.join(_near(known, records, keys), keys, "left_anti")
+            # A file a bucket, in order of the key: its row groups hold narrow ranges.
+            laid = new.withColumn(BUCKET, _bucket(keys)).repartition(BUCKET).sortWithinPartitions(BUCKET, *keys)
+            writer = laid.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET)
+            writer.parquet(f"{out_dir.rstrip('/')}/{BATCH}={own}")
         finally:
             records.unpersist()
 

@@ -529,7 +529,7 @@ def q_ingest_pages(spark, sf):
     """The pages table is landed twice as separate files (a re-crawl); the
     stream ingests them in batches of few files and must end equal to the batch
     extraction with each page once."""
-    from hestia.streaming.ingest import BATCH, ingest_pages, page_record
+    from hestia.streaming.ingest import BATCH, BUCKET, ingest_pages, page_record
 
     root = scratch_dir(spark, "ingest")
     land, out, ckpt = f"{root}/landed", f"{root}/table", f"{root}/checkpoint"
@@ -537,7 +537,7 @@ def q_ingest_pages(spark, sf):
     pages.write.mode("overwrite").parquet(land)
     pages.write.mode("append").parquet(land)
     ingest_pages(spark, land, out, ckpt, page_record, ["page_id"], max_files_per_trigger=4)
-    return spark.read.parquet(out).drop(BATCH)
+    return spark.read.parquet(out).drop(BATCH, BUCKET)
 
 
 @register(

@@ -45,17 +45,48 @@ def test_failed_write_is_made_good(spark, sf):
     assert sorted(r["n_new"] for r in batch_log(spark, out).collect() if r["n_new"]) and batch_log(spark, out).count() == 3
 
 
-def test_batch_reads_only_keys_in_its_range(spark, sf):
-    """Only keys between a batch's least and greatest are looked up, by a filter that reaches the scan."""
-    from hestia.streaming.ingest import _within
-
-    root = scratch_dir(spark, "ingest-range")
-    spark.range(0, 1000).withColumnRenamed("id", "page_id").write.parquet(f"{root}/table")
-    known = spark.read.parquet(f"{root}/table")
-    some = _within(known, spark.range(300, 310).withColumnRenamed("id", "page_id"), "page_id")
-    assert sorted(r.page_id for r in some.collect()) == list(range(300, 310))
-    assert "GreaterThanOrEqual(page_id,300)" in some._jdf.queryExecution().executedPlan().toString()
-    assert _within(known, known.limit(0), "page_id").count() == 0
+def test_batch_reads_only_its_buckets(spark):
+    """Keys in no order: only those in a batch's buckets and between its least and greatest are looked up, by filters that reach the scan."""
+    from hestia.streaming.ingest import BUCKET, _bucket, _near, _written
+
+    root = scratch_dir(spark, "ingest-buckets")
+    key = F.xxhash64("id").alias("page_id")  # no order at all
+    land, out = f"{root}/landed", f"{root}/table"
+    page = [key, F.lit("u").alias("url"), F.lit("<title>t</title>").alias("html")]
+    spark.range(4000).select(*page).coalesce(1).write.parquet(land)
+    ingest_pages(spark, land, out, f"{root}/ckpt", page_record, ["page_id"])
+    batch = spark.range(3990, 4010).select(*page[:1])
+    known = _written(spark, out, ["page_id"], "another", batch.schema)
+    near = _near(known, batch, ["page_id"])
+    mine = {r.b for r in batch.select(_bucket(["page_id"]).alias("b")).collect()}
+    read = near.select("page_id", _bucket(["page_id"]).alias(BUCKET)).collect()
+    assert {r.page_id for r in batch.limit(10).collect()} <= {r.page_id for r in read}
+    assert {r[BUCKET] for r in read} <= mine and len(read) < 4000 * 20 / 256 * 2
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "GreaterThanOrEqual(page_id," in plan
+    filters = plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert BUCKET in filters
+    # What is new comes in, what is known doesn't, and a bucket is one file of a batch.
+    spark.range(3990, 4010).select(*page).coalesce(1).write.mode("append").parquet(land)
+    ingest_pages(spark, land, out, f"{root}/ckpt", page_record, ["page_id"])
+    assert sorted(r.n_new for r in batch_log(spark, out).collect()) == [10, 4000]
+    assert spark.read.parquet(out).select("page_id").distinct().count() == 4010
+    files = spark.read.parquet(out).select(BATCH, BUCKET, F.input_file_name().alias("file")).distinct()
+    assert files.groupBy(BATCH, BUCKET).count().agg(F.max("count")).first()[0] == 1
+    assert _near(known, batch.limit(0), ["page_id"]).count() == 0
+
+
+def test_null_keys_and_no_records(spark):
+    """A null key is looked up like any other absent one (never equal, so each batch brings its own); a batch of no records writes nothing."""
+    from hestia.streaming.ingest import _near, _written
+
+    root = scratch_dir(spark, "ingest-null")
+    rows = spark.createDataFrame([(None, "u", "<title>a</title>"), (1, "u", "<title>b</title>")], "page_id long, url string, html string")
+    rows.write.parquet(f"{root}/landed")
+    ingest_pages(spark, f"{root}/landed", f"{root}/table", f"{root}/ckpt", page_record, ["page_id"])
+    assert spark.read.parquet(f"{root}/table").count() == 2
+    known = _written(spark, f"{root}/table", ["page_id"], "another", rows.select("page_id").schema)
+    assert {r.page_id for r in _near(known, rows.where("page_id is null"), ["page_id"]).collect()} <= {None}
 
 
 def test_unreadable_target_is_an_error(spark, sf):
