@@ -2,15 +2,16 @@
 
 Fingerprints are made row by row. Equal fingerprints are folded to one before
 anything is compared, so exact copies cost nothing more. Pairs within the
-radius are found exactly: the 64 bits are cut into ``radius + 2`` blocks, and
-two fingerprints that differ in at most ``radius`` bits agree in two whole
-blocks at least, so comparing within each (pair of blocks, their value) finds
-every link. The fingerprints of such a bucket are laid out in tiles of one
-population count and at most ``TILE`` rows; tile pairs whose population counts
-differ beyond the radius are never formed, and the others are compared with
-exclusive-or and bit counts in numpy. A large bucket becomes many tile pairs
-in many tasks. A tile pair returns a spanning set of its links (at most one
-row for each fingerprint in it), not all of them.
+radius are found exactly: the 64 bits are cut into ``radius + 1`` blocks, and
+two fingerprints that differ in at most ``radius`` bits agree in a whole
+block at least, so comparing within each (block, its value) finds every link.
+At radius 2 a bucket of n evenly spread fingerprints has n / 2 million rows. The fingerprints of every such bucket, small or large, are laid
+out in tiles of one population count and about ``TILE`` rows; tile pairs whose
+population counts differ beyond the radius are never formed (``tile_pairs``
+counts both kinds), and the others are compared with exclusive-or and bit
+counts in numpy. A large bucket becomes many tile pairs in many tasks. A tile
+pair returns a spanning set of its links (at most one row for each
+fingerprint in it), not all of them.
 """
 
 from __future__ import annotations
@@ -67,11 +68,11 @@ def fingerprints(df: DataFrame, *, text: str = "text", keep: list[str], shingle:
 
 
 def _block_keys(radius: int) -> list[Column]:
-    """The values of each two of ``radius + 2`` blocks of the fingerprint, as a key with the pair's number."""
-    n = radius + 2
+    """The value of each of ``radius + 1`` blocks of the fingerprint, as a key with the block's number."""
+    n = radius + 1
     edges = [64 * i // n for i in range(n + 1)]
     masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
-    signed = [(x := masks[i] | masks[j]) - (1 << 64 if x >> 63 else 0) for i, j in combinations(range(n), 2)]
+    signed = [x - (1 << 64 if x >> 63 else 0) for x in masks]
     return [
         F.struct(F.lit(k).cast("byte").alias("block"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("bits"))
         for k, m in enumerate(signed)
@@ -143,24 +144,46 @@ def _compared(radius: int):
     return run
 
 
-def links(fps: DataFrame, radius: int = 2) -> DataFrame:
-    """Links (a, b) between the distinct fingerprints ``fp`` of ``fps``; their connected components are those of all pairs within ``radius``."""
+def _tiles(fps: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, block, bits, pop) of each fingerprint in each of its buckets, and (block, bits, tiles) of the buckets of two rows or more.
+
+    ``tiles`` maps each population count of the bucket to its number of tiles; at most 65 counts.
+    """
     keyed = fps.select("fp", F.explode(F.array(*_block_keys(radius))).alias("key")).select(
         "fp", "key.block", "key.bits", F.bit_count("fp").alias("pop")
     )
     bucket = ["block", "bits"]
-    # The rows of each population count in each bucket; buckets of one row have no link.
     sizes = keyed.groupBy(*bucket, "pop").agg(F.count("*").alias("n"))
     tiles = (
         sizes.groupBy(*bucket)
         .agg(F.sum("n").alias("rows"), F.map_from_entries(F.collect_list(F.struct("pop", F.ceil(F.col("n") / TILE).cast("int")))).alias("tiles"))
         .where(F.col("rows") > 1)
     )
+    return keyed, tiles.select(*bucket, "tiles")
+
+
+def tile_pairs(fps: DataFrame, radius: int = 2) -> DataFrame:
+    """(formed, skipped): pairs of tiles that ``links`` compares, a tile with itself among them, and those left out by their population counts."""
+    _, tiles = _tiles(fps, radius)
+    entries = F.map_entries("tiles")
+    total = F.aggregate(F.map_values("tiles"), F.lit(0).cast("long"), lambda s, n: s + n)
+
+    def beyond(x: Column) -> Column:
+        far = F.filter(entries, lambda y: y["key"] - x["key"] > radius)
+        return x["value"] * F.aggregate(far, F.lit(0).cast("long"), lambda s, y: s + y["value"])
+
+    skipped = F.aggregate(entries, F.lit(0).cast("long"), lambda s, x: s + beyond(x))
+    of = tiles.select((total * (total + 1) / 2).cast("long").alias("all"), skipped.alias("skipped"))
+    return of.agg((F.coalesce(F.sum("all"), F.lit(0)) - F.coalesce(F.sum("skipped"), F.lit(0))).alias("formed"), F.coalesce(F.sum("skipped"), F.lit(0)).alias("skipped"))
+
+
+def links(fps: DataFrame, radius: int = 2) -> DataFrame:
+    """Links (a, b) between the distinct fingerprints ``fp`` of ``fps``; their connected components are those of all pairs within ``radius``."""
+    keyed, tiles = _tiles(fps, radius)
+    bucket = ["block", "bits"]
     dealt = keyed.join(tiles, bucket).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("tiles")[F.col("pop")]).cast("int"))
-    small = F.col("rows") <= TILE
-    # (side, p, s, q, t): in the tile pair of population counts p <= q with tiles s and t, this row is on that side.
-    whole = F.array(F.struct(F.lit(True).alias("inner"), F.lit(0).alias("side"), F.lit(0).alias("p"), F.lit(0).alias("s"), F.lit(0).alias("q"), F.lit(0).alias("t")))
 
+    # (side, p, s, q, t): in the tile pair of population counts p <= q with tiles s and t, this row is on that side.
     def with_pop(other: Column) -> Column:
         def with_tile(t: Column) -> Column:
             first = (F.col("pop") < other) | ((F.col("pop") == other) & (F.col("own") <= t))
@@ -177,7 +200,7 @@ def links(fps: DataFrame, radius: int = 2) -> DataFrame:
         return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), with_tile)).otherwise(F.array().cast("array<struct<inner:boolean,side:int,p:int,s:int,q:int,t:int>>"))
 
     near = F.flatten(F.transform(F.sequence(F.col("pop") - radius, F.col("pop") + radius), with_pop))
-    placed = dealt.select("fp", *bucket, F.explode(F.when(small, whole).otherwise(near)).alias("x")).select("fp", *bucket, "x.*")
+    placed = dealt.select("fp", *bucket, F.explode(near).alias("x")).select("fp", *bucket, "x.*")
     order = [*bucket, "p", "q", "s", "t"]
     placed = placed.repartition(*order).sortWithinPartitions(*order)
     return placed.mapInArrow(_compared(radius), "a long, b long").distinct()

@@ -59,6 +59,44 @@ def test_links_are_exact(spark, monkeypatch, radius, tile):
     assert all(len(x) == 1 for x in groups.values()) and len({next(iter(x)) for x in groups.values()}) == len(groups)
 
 
+def pairs_by_hand(fps, radius, tile):
+    """Tile pairs formed and skipped, by counting the rows of each population count in each bucket."""
+    n = radius + 1
+    edges = [64 * i // n for i in range(n + 1)]
+    buckets = {}
+    for f in fps:
+        for i, (a, b) in enumerate(zip(edges, edges[1:])):
+            buckets.setdefault((i, f >> a & ((1 << (b - a)) - 1)), []).append(bin(f).count("1"))
+    formed = skipped = 0
+    for pops in buckets.values():
+        tiles = [p for p in sorted(set(pops)) for _ in range(-(-pops.count(p) // tile))]
+        if len(pops) > 1:
+            for i, p in enumerate(tiles):
+                for q in tiles[i:]:
+                    formed, skipped = formed + (q - p <= radius), skipped + (q - p > radius)
+    return formed, skipped
+
+
+@pytest.mark.parametrize("tile", [512, 3])
+def test_tile_pairs_run_on_the_documents(spark, monkeypatch, tile):
+    """At the query's own parameters: tile pairs are compared and others skipped, as many as counted by hand."""
+    monkeypatch.setattr(simhash, "TILE", tile)
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    fps = simhash.fingerprints(docs, keep=["doc_id"]).select("fp").distinct().persist()
+    formed, skipped = simhash.tile_pairs(fps).first()
+    assert (formed, skipped) == pairs_by_hand([r.fp % (1 << 64) for r in fps.collect()], 2, tile)
+    assert formed > 0 and skipped > 0
+    fps.unpersist()
+
+
+def test_tile_pairs_of_a_crowded_bucket(spark):
+    """One bucket of all population counts: only counts within the radius meet; no rows give no pairs."""
+    fps = [(1 << i) - 1 for i in range(33)]  # the upper half is equal in all
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    assert tuple(simhash.tile_pairs(df).first()) == pairs_by_hand(fps, 2, simhash.TILE)
+    assert tuple(simhash.tile_pairs(df.limit(0)).first()) == (0, 0)
+
+
 def test_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1000), (2000, 3000)], "a long, b long")
     found = {r.node: r.root for r in simhash.components(edges).collect()}
