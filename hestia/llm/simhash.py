@@ -5,11 +5,11 @@ anything is compared, so exact copies cost nothing more. Pairs within the
 radius are found exactly: the 64 bits are cut into ``radius + 1`` blocks, and
 two fingerprints that differ in at most ``radius`` bits agree in a whole
 block at least, so comparing within each (block, its value) finds every link.
-At radius 2 a bucket of n evenly spread fingerprints has n / 2 million rows. The fingerprints of every such bucket, small or large, are laid
-out in tiles of one population count and about ``TILE`` rows; tile pairs whose
-population counts differ beyond the radius are never formed (``tile_pairs``
-counts both kinds), and the others are compared with exclusive-or and bit
-counts in numpy. A large bucket becomes many tile pairs in many tasks. A tile
+At radius 2 a bucket of n evenly spread fingerprints has n / 2 million rows.
+The fingerprints of every such bucket, small or large, are laid out in tiles
+of one population count and about ``TILE`` rows; tile pairs whose population
+counts differ beyond the radius are never formed (``tile_pairs`` counts both
+kinds), and the others are compared with exclusive-or and bit counts in numpy. A large bucket becomes many tile pairs in many tasks. A tile
 pair returns a spanning set of its links (at most one row for each
 fingerprint in it), not all of them.
 """
@@ -17,7 +17,6 @@ fingerprint in it), not all of them.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
