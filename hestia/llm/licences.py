@@ -51,6 +51,33 @@ CC_TEMPLATES = [
     ("cc", "creative commons zero"),
     ("cc", "cc0 1 0 universal"),
 ]
+# Label and sentences of the standard licence texts and notices.
+STANDARD = [
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
+    ("gpl", "but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
+    ("lgpl", "gnu lesser general public license"),
+    ("agpl", "gnu affero general public license"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("bsd", "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc", "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("mpl", "mozilla public license"),
+    ("mpl", "if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("epl", "eclipse public license"),
+    ("boost", "boost software license"),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("zlib", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+]
+#: Label and first word of the SPDX short identifiers of a family; a tag names its family ("GPL-2.0-only": gpl).
+SPDX = [("mit", "mit"), ("apache", "apache"), ("gpl", "gpl"), ("lgpl", "lgpl"), ("agpl", "agpl"), ("bsd", "bsd"), ("isc", "isc"), ("mpl", "mpl"), ("epl", "epl"), ("boost", "bsl"), ("zlib", "zlib"), ("unlicense", "unlicense"), ("cc", "cc"), ("cc", "cc0")]
+SPDX_TEMPLATES = [(label, f"spdx license identifier {word}") for label, word in SPDX]
+#: All of them. Three words or fewer and tags must stand whole, as less than all of their pairs is below the threshold.
+ALL_TEMPLATES = TEMPLATES + CC_TEMPLATES + STANDARD + SPDX_TEMPLATES
 
 
 def places(w: Column, phrase: str) -> Column:
@@ -154,7 +181,6 @@ def licences(
     key = ["__id", "__text"]
     known = checkpointed(template_pairs(docs, templates))
     vocabulary = sorted({p for t in known.collect() for p in t.pairs})
-    pairs = F.array(*[F.lit(p).cast("long") for p in vocabulary])
     lines = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     lines = lines.select(
         "doc_id",
@@ -167,8 +193,8 @@ def licences(
         *key,
         F.size("w").cast("long").alias("n_words"),
         F.array(*[F.struct(F.lit(label).alias("label"), places(F.col("w"), phrase).alias("at")) for label, phrase in PHRASES]).alias("base"),
-        F.filter(F.transform("lines", lambda x: F.array_intersect(shingles(x, 2), pairs)), lambda x: F.size(x) > 0).alias("blocks"),
-        *([F.filter(F.transform(shingles(F.col("w"), 2), lambda p, i: F.struct(p.alias("p"), i.alias("at"))), lambda x: F.array_contains(pairs, x["p"])).alias("hits")] if wrapped else []),
+        F.filter(F.transform("lines", lambda x: F.array_distinct(F.filter(shingles(x, 2), lambda p: p.isin(vocabulary)))), lambda x: F.size(x) > 0).alias("blocks"),
+        *([F.filter(F.transform(shingles(F.col("w"), 2), lambda p, i: F.struct(p.alias("p"), i.alias("at"))), lambda x: x["p"].isin(vocabulary)).alias("hits")] if wrapped else []),
     )
     found = checkpointed(found)
     blocks = found.select(*key, F.explode("blocks").alias("pairs"))

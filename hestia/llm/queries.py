@@ -120,12 +120,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences.licences(table(spark, sf_dir, "documents"), templates=licences.TEMPLATES + licences.CC_TEMPLATES, wrapped=True)
+    return licences.licences(table(spark, sf_dir, "documents"), templates=licences.ALL_TEMPLATES, wrapped=True)
 
 
 _OP8_WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _OP8_PHRASES = ", ".join(f"('{a}', {b.split()!r})" for a, b in licences.PHRASES)
-_OP8_TEMPLATES = ", ".join(f"({i}, '{a}', {b.split()!r})" for i, (a, b) in enumerate(licences.TEMPLATES))
+_OP8_TEMPLATES = ", ".join(f"({i}, '{a}', {b.split()!r})" for i, (a, b) in enumerate(licences.ALL_TEMPLATES))
 ORACLES["op8_licences"] = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS x, {_OP8_WORDS.format("coalesce(text, '')")} AS w FROM documents),
 ph(label, p) AS (VALUES {_OP8_PHRASES}),
@@ -140,7 +140,13 @@ lw AS (SELECT doc_id, row_number() OVER () AS b, {_OP8_WORDS.format("line")} AS
 li AS (SELECT doc_id, b, w, unnest(range(1, len(w))) AS i FROM lw),
 lp AS (SELECT DISTINCT doc_id, b, w[i] || ' ' || w[i+1] AS pair FROM li),
 o AS (SELECT doc_id, b, t, count(*) AS hit FROM lp JOIN tpair ON lp.pair = tpair.pair GROUP BY doc_id, b, t),
-more AS (SELECT doc_id, label, hit / n AS c FROM o JOIN tn ON o.t = tn.t WHERE hit >= ceil({licences.THRESHOLD} * n - 1e-9)),
+need AS (SELECT tn.t, tn.label, n, CAST(ceil({licences.THRESHOLD} * n - 1e-9) AS BIGINT) AS need,
+  greatest(CAST(ceil({licences.THRESHOLD} * n - 1e-9) AS BIGINT), CAST(ceil(len(tp.w) / {licences.THRESHOLD} - 1e-9) AS BIGINT) - 1) AS width FROM tn JOIN tp ON tn.t = tp.t),
+wi AS (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d),
+h AS (SELECT doc_id, i, t, pair FROM (SELECT doc_id, i, w[i] || ' ' || w[i+1] AS p FROM wi) JOIN tpair ON p = pair),
+enough AS (SELECT doc_id, t, need, width FROM (SELECT doc_id, t, count(DISTINCT pair) AS k FROM h GROUP BY doc_id, t) JOIN need USING (t) WHERE k >= need),
+st AS (SELECT doc_id, t, len(list_distinct(list(pair) OVER (PARTITION BY doc_id, t ORDER BY i RANGE BETWEEN CURRENT ROW AND width - 1 FOLLOWING))) AS hit FROM h JOIN enough USING (doc_id, t)),
+more AS (SELECT doc_id, label, hit / n AS c FROM (SELECT doc_id, t, hit FROM o UNION ALL SELECT doc_id, t, hit FROM st) x JOIN need ON x.t = need.t WHERE hit >= need),
 bs AS (SELECT doc_id, count(*) AS n_base, min(pos) AS f, max(pos) AS l, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY doc_id),
 ms AS (SELECT doc_id, max(c) AS c FROM more GROUP BY doc_id),
 al AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM base UNION ALL SELECT doc_id, label FROM more) GROUP BY doc_id)

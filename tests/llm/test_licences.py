@@ -109,3 +109,63 @@ def test_random_stretches(spark):
             more, best = by_stretches(text, L.TEMPLATES, threshold)
             labels = set(filter(None, lines[5].split(","))) | more
             assert (got[i].labels, got[i].score) == (",".join(sorted(labels)), max(lines[6], best)), text
+
+
+def labels_of(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = L.licences(df, templates=L.ALL_TEMPLATES, wrapped=True).collect()
+    return [set(filter(None, r.labels.split(","))) for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def test_standard_texts(spark):
+    """Sentences of the standard texts, wrapped and punctuated as in files, and tags name their family and no other."""
+    isc = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+    hpnd = isc.replace("and/or", "and")
+    mpl = """// This Source Code Form is subject to the terms of the Mozilla Public
+// License, v. 2.0."""
+    warranty = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+    lgpl = "under the terms of the GNU Lesser General Public License as published by"
+    texts = [
+        isc, hpnd, mpl, warranty, lgpl,
+        "# SPDX-License-Identifier: GPL-2.0-only", "/* SPDX-License-Identifier: BSD-3-Clause */", "SPDX-License-Identifier:\nLGPL-2.1-or-later",
+        "SPDX-License-Identifier: Proprietary", "The software is provided to all, without a fee.", "mozilla and a public license", "",
+    ]
+    assert labels_of(spark, texts) == [{"isc"}, {"isc"}, {"mpl"}, {"mit"}, {"gpl", "lgpl"}, {"gpl"}, {"bsd"}, {"lgpl"}, set(), set(), set(), set()]
+
+
+def test_each_template_names_its_own_family(spark):
+    """No template's text matches one of another family, but for the LGPL's and AGPL's names, which hold the GPL's phrase."""
+    got = labels_of(spark, [t for _, t in L.ALL_TEMPLATES])
+    for (label, t), found in zip(L.ALL_TEMPLATES, got):
+        assert label in found and found - {label} <= ({"gpl"} if "general public license" in t else set()), t
+
+
+def test_oracle_knows_stretches_and_all_templates(spark, tmp_path):
+    """The registered query and its oracle agree on wrapped and damaged notices of every template."""
+    import duckdb
+
+    from hestia.llm import queries as Q
+
+    rnd = random.Random(8)
+    rows = []
+    for i in range(300):
+        parts = []
+        for _ in range(rnd.randint(1, 3)):
+            _, t = rnd.choice(L.ALL_TEMPLATES)
+            w = [x.upper() if rnd.random() < 0.1 else x for x in t.split() if rnd.random() > 0.05]
+            parts.append("".join(x + rnd.choice([" ", " ", " ", ", ", "\n * "]) for x in w))
+        rows.append((i, rnd.choice(["\n", " ", " and so on "]).join(parts)))
+    rows += [(1000, None), (1001, ""), (1002, "mit")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(Q.ORACLES["op8_licences"])
+    names = [c[0] for c in want.description]
+    want = sorted(want.fetchall())
+    got = sorted(tuple(r[c] for c in names) for r in Q.op8_licences(spark, str(tmp_path)).collect())
+    assert [x[:-1] for x in got] == [x[:-1] for x in want]
+    assert all(math.isclose(a[-1], b[-1]) for a, b in zip(got, want)) and sum(0 < x[-1] < 1 for x in got) > 20
