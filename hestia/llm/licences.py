@@ -76,7 +76,7 @@ STANDARD = [
 #: Label and first word of the SPDX short identifiers of a family; a tag names its family ("GPL-2.0-only": gpl).
 SPDX = [("mit", "mit"), ("apache", "apache"), ("gpl", "gpl"), ("lgpl", "lgpl"), ("agpl", "agpl"), ("bsd", "bsd"), ("isc", "isc"), ("mpl", "mpl"), ("epl", "epl"), ("boost", "bsl"), ("zlib", "zlib"), ("unlicense", "unlicense"), ("cc", "cc"), ("cc", "cc0")]
 SPDX_TEMPLATES = [(label, f"spdx license identifier {word}") for label, word in SPDX]
-#: All of them. Three words or fewer and tags must stand whole, as less than all of their pairs is below the threshold.
+#: All of them. Templates of five words or fewer, tags among them, must stand whole: less than all of their pairs is below the threshold.
 ALL_TEMPLATES = TEMPLATES + CC_TEMPLATES + STANDARD + SPDX_TEMPLATES
 
 
