@@ -77,7 +77,8 @@ def group_stats(
 
 def center(df: DataFrame, col: ColumnOrName, digits: int | None = 2) -> DataFrame:
     """Global median (exact) and mean."""
-    rows = df.select(_c(col).alias("__v"))
+    # Both read the same rows, so that Spark can use their shuffle for both.
+    rows = df.select(_c(col).alias("__v")).filter(F.col("__v").isNotNull())
     median = exact_quantiles(rows, [], "__v", [0.5]).select("values").scalar()
     out = rows.agg(F.avg("__v").alias("mean")).select(median[0].alias("median"), "mean")
     return out if digits is None else out.select(*[F.round(c, digits).alias(c) for c in ("median", "mean")])
@@ -91,12 +92,13 @@ def _join_on(a: DataFrame, b: DataFrame, names: Sequence[str], how: str) -> Data
 
 #: Slots that the values between two bounds are dealt to.
 SLOTS = 65_536
+#: Tasks that the values of one group are dealt to at most, where they meet its bounds.
+SHARES = 64
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Exact interpolated quantiles per group: ``(keys…, values)``, an array in the order of ``probs``.
 
-    A sketch (``percentile_approx``: rank error at most n / accuracy) gives a
     A sketch (``percentile_approx``: rank error at most n / accuracy) gives a
     low and a high bound around each quantile. One pass counts the values
     below the low bounds; the values between the bounds, at most some
@@ -105,7 +107,9 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     values are). These are dealt to ``SLOTS`` slots of equal width between the
     bounds; running counts of the slots tell which one or two hold the ranks
     wanted, and only the values of these are put in order. A task so orders the
-    slots, or the distinct values of one slot. Nulls are left out; a group without values
+    slots, or the distinct values of one slot. Rows are counted per value before
+    they meet their group's bounds, and the values of a group are dealt to
+    ``SHARES`` tasks for that. Nulls are left out; a group without values
     has no row.
     """
     from pyspark.sql import Window
@@ -121,16 +125,19 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     )
     per_group = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"), found.alias("__b")).select(*names, "__n", bounds.alias("__r"))
     if names:
-        near = _join_on(rows, per_group, names, "inner").select(*names, "__x", "__n", F.explode("__r").alias("r"))
+        values = rows.groupBy(*names, "__x").agg(F.count(F.lit(1)).alias("__c"))
+        values = values.withColumn("__share", F.pmod(F.xxhash64("__x"), F.lit(SHARES)).cast("int"))
+        bounds_of = per_group.withColumn("__share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+        near = _join_on(values, bounds_of, [*names, "__share"], "inner").select(*names, "__x", "__c", "__n", F.explode("__r").alias("r"))
     else:
         one = per_group.select(F.struct("__n", "__r").alias("s")).scalar()
-        near = rows.select("__x", one["__n"].alias("__n"), F.explode(one["__r"]).alias("r"))
+        near = rows.select("__x", F.lit(1).alias("__c"), one["__n"].alias("__n"), F.explode(one["__r"]).alias("r"))
     # All values below become one entry, and all above: of those, only the least can be wanted.
     side = F.when(F.col("__n") <= accuracy, 1).when(F.col("__x") < F.col("r.lo"), 0).when(F.col("__x") <= F.col("r.hi"), 1).otherwise(2)
     inside = F.when(side == 1, F.col("__x"))
     group = [*names, "__n", "i"]
     counts = near.groupBy(*names, "__n", F.col("r.i").alias("i"), F.col("r.lo").alias("__lo"), F.col("r.hi").alias("__hi"), side.alias("__side"), inside.alias("__in")).agg(
-        F.count(F.lit(1)).alias("c"), F.min("__x").alias("__at")
+        F.sum("__c").alias("c"), F.min("__x").alias("__at")
     )
     part = F.try_divide(F.col("__at") - F.col("__lo"), F.col("__hi") - F.col("__lo")) * SLOTS
     slot = F.when(part.isNull() | F.isnan(part), SLOTS - 1).otherwise(F.greatest(F.lit(0), F.least(F.lit(SLOTS - 1), F.floor(part))))
@@ -247,15 +254,12 @@ def duplicate_groups(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Every value group that occurs more than once, with its count, the
     most frequent first.
 
-    Rows are grouped by a 256-bit hash of their values, so that long texts
-    aren't shuffled as keys; only those that occur more than once are then
-    fetched.
+    One aggregate over the rows: each is read and shuffled once, repeats within
+    a task as one.
     """
     cols = list(cols)
-    keyed = df.select(*cols, row_hash(df, cols).alias("__h"))
-    often = keyed.groupBy("__h").agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") > 1)
-    rows = keyed.join(often, "__h").groupBy("__h").agg(F.first(F.struct(*cols, "count")).alias("r")).select("r.*")
-    return rows.orderBy(F.desc("count"), *cols)
+    often = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") > 1)
+    return often.orderBy(F.desc("count"), *cols)
 
 
 def share(df: DataFrame, key: str, digits: int = 6) -> DataFrame:
