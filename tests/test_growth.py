@@ -109,3 +109,24 @@ def test_market_center_and_split_run_fusion_once(spark):
 
     assert "parquet" not in plan(q_market_center(spark, SF))
     assert "parquet" not in plan(q_split(spark, SF))
+
+
+def test_classes_are_read_once_a_template():
+    from hestia.functions import html as H
+
+    H._cached_classes.cache_clear()
+    page = '<DIV class="a b"><p>x</p></DIV><b class="%s">y</b>' % ("q " * 200)
+    for _ in range(3):
+        found = H.page_elements(page)
+    assert [(name, sorted(classes)) for name, classes, _, _ in found] == [("div", ["a", "b"]), ("p", []), ("b", ["q"])]
+    assert H._cached_classes.cache_info().misses == 1  # long attributes aren't kept
+
+
+def test_models_score_the_test_split_once(spark):
+    from hestia.plans import model as M
+
+    rows = [(100.0 + i, "maison" if i % 2 else "appartement", str(i % 5), float(20 + i % 60), float(i % 6), f"v{i % 4}", 69000 + i % 4) for i in range(300)]
+    fused = spark.createDataFrame(rows, "prix double, type_bien string, etage string, surface double, pieces double, ville string, code_postal int")
+    m = M.fit_price_models(spark, fused, {"dt": {"maxDepth": [2]}}, folds=2)
+    assert "UDF" not in plan(m.scored["dt"]) and m.scored["dt"].columns == ["prix", "prediction"]
+    assert m.comparison.first()["n"] == m.scored["dt"].count()
