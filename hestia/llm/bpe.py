@@ -12,15 +12,18 @@ rows that advance together; their total functions are chained, then every row
 runs again from its known first state. No regular expression is used.
 
 The slices between boundaries go through pair merging by rank, with a cache
-from slice to ids. Offsets (in code points) are kept beside the ids, and
-decoding concatenates the bytes of the ids.
+from slice to ids, their decimal text and their bytes. The cache has two
+halves: where the newer is full, it becomes the older, and what is found there
+moves back, so that slices in use stay. Offsets (in code points) are kept
+beside the ids, and decoding concatenates the bytes of the ids.
 """
 
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -36,10 +39,12 @@ LETTER, NUMBER, OTHER, APOS1, APOS2, SPACE_LAST, WHITE_LAST, WHITE, RESET = rang
 NONE, IN_L, IN_N, IN_O, JOIN, IN_W, ONE, TWO = range(8)
 #: White space as the splitting pattern means it (the Unicode property).
 WHITE_SPACE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-#: Entries that the cache of a task holds at most, each of a slice of ``LONG_SLICE`` at most; beyond it, it starts anew.
-CACHE_ENTRIES = 60_000
+#: Entries that the cache of a task holds at most, each of a slice of ``LONG_SLICE`` at most: half of them new, half the last full half (some 200 MB).
+CACHE_ENTRIES = 400_000
 #: A slice longer than this is merged with a heap and isn't cached.
 LONG_SLICE = 200
+#: Slices of up to this many bytes are merged together where at least so many have one size.
+SHORT_SLICE, MANY = 48, 32
 #: Code points that one round of the scan takes at most (a longer text has a round of its own).
 ROUND = 2_000_000
 
@@ -171,6 +176,10 @@ def slices_of(texts: list[str]) -> Iterator[tuple[list[int], int]]:
         at = to
 
 
+#: A slice's ids, and these as decimal text and as the bytes they decode to.
+Entry = tuple[tuple[int, ...], tuple[str, bytes]]
+
+
 class Encoder:
     """Ids of texts by a rank file, and their bytes."""
 
@@ -180,14 +189,22 @@ class Encoder:
         self.bytes_of = {v: k for k, v in self.ranks.items()}
         self.byte_ids = [self.ranks[bytes([i])] for i in range(256)]
         self.none = max(self.bytes_of) + 1
-        #: Rank of what two adjacent ids join to, by left*none+right.
-        self.pairs = {
-            x * self.none + y: rank
-            for piece, rank in self.ranks.items()
-            for i in range(1, len(piece))
-            if (x := self.ranks.get(piece[:i])) is not None and (y := self.ranks.get(piece[i:])) is not None
-        }
-        self.cache: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.decimals = list(map(str, range(self.none)))
+        #: Rank of what two adjacent ids join to, by the left id and the right one.
+        self.pairs: list[dict[int, int]] = [{} for _ in range(self.none)]
+        for piece, rank in self.ranks.items():
+            for i in range(1, len(piece)):
+                if (x := self.ranks.get(piece[:i])) is not None and (y := self.ranks.get(piece[i:])) is not None:
+                    self.pairs[x][y] = rank
+        #: The same of two bytes, by left * 256 + right; ``none`` where they don't join.
+        self.byte_pairs = [self.pairs[x].get(y, self.none) for x in self.byte_ids for y in self.byte_ids]
+        #: The pairs' keys (left * none + right) in order, ended by one that no pair has, and their ranks.
+        found = sorted((x * self.none + y, rank) for x, right in enumerate(self.pairs) for y, rank in right.items())
+        self.keys = np.array([k for k, _ in found] + [self.none**2], np.int64)
+        self.key_ranks = np.array([rank for _, rank in found] + [self.none], np.int32)
+        self.byte_id_array, self.byte_pair_array = np.array(self.byte_ids, np.int32), np.array(self.byte_pairs, np.int32)
+        self.cache: dict[str, Entry] = {}
+        self.older: dict[str, Entry] = {}
 
     def merged(self, piece: bytes) -> tuple[int, ...]:
         """Ids of one slice: again and again the adjacent pair of the lowest rank is joined, the leftmost first."""
@@ -195,9 +212,9 @@ class Encoder:
             return (whole,)
         if len(piece) > LONG_SLICE:
             return self.merged_long(piece)
-        none, rank_of = self.none, self.pairs.get
-        ids = [self.byte_ids[b] for b in piece]
-        score = [rank_of(a * none + b, none) for a, b in zip(ids, ids[1:])]
+        none, pairs, byte_ids, byte_pairs = self.none, self.pairs, self.byte_ids, self.byte_pairs
+        ids = [byte_ids[b] for b in piece]
+        score = [byte_pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]
         while score:
             best = min(score)
             if best == none:
@@ -206,9 +223,9 @@ class Encoder:
             ids[i] = best
             del ids[i + 1], score[i]
             if i < len(score):
-                score[i] = rank_of(best * none + ids[i + 1], none)
+                score[i] = pairs[best].get(ids[i + 1], none)
             if i:
-                score[i - 1] = rank_of(ids[i - 1] * none + best, none)
+                score[i - 1] = pairs[ids[i - 1]].get(best, none)
         return tuple(ids)
 
     def merged_long(self, piece: bytes) -> tuple[int, ...]:
@@ -242,24 +259,92 @@ class Encoder:
             i = end[i]
         return tuple(out)
 
-    def ids(self, piece: str) -> tuple[tuple[int, ...], str]:
-        """The slice's ids, and the same as decimal text."""
-        out = self.merged(piece.encode())
-        out = out, " ".join(map(str, out))
-        if len(piece) <= LONG_SLICE:
-            if len(self.cache) >= CACHE_ENTRIES:
-                self.cache.clear()
-            self.cache[piece] = out
+    def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of what each two ids join to; ``none`` where they don't."""
+        key = left.astype(np.int64) * self.none + right
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.key_ranks[at], self.none)
+
+    def merged_rows(self, rows: np.ndarray) -> list[tuple[int, ...]]:
+        """As ``merged``, for slices of one size as rows of bytes: each round joins one pair of every row that has one left."""
+        out: list[tuple[int, ...]] = [()] * len(rows)
+        ids = self.byte_id_array[rows]
+        score = self.byte_pair_array[rows[:, :-1].astype(np.intp) << 8 | rows[:, 1:]]
+        place = np.arange(len(rows))
+        while len(place):
+            at = score.argmin(1) if score.shape[1] else np.zeros(len(place), np.intp)
+            best = score[np.arange(len(at)), at] if score.shape[1] else np.full(len(at), self.none)
+            go = best != self.none
+            for k, row in zip(place[~go].tolist(), ids[~go].tolist()):
+                out[k] = tuple(row)
+            place, at, best, ids, score = place[go], at[go], best[go], ids[go], score[go]
+            if not len(place):
+                break
+            line, width = np.arange(len(at)), ids.shape[1]
+            column = np.arange(width)
+            ids[line, at] = best
+            ids = ids[column != at[:, None] + 1].reshape(-1, width - 1)
+            score = score[column[:-1] != at[:, None]].reshape(-1, width - 2)
+            right, left = np.flatnonzero(at < width - 2), np.flatnonzero(at)
+            score[right, at[right]] = self.joined(best[right], ids[right, at[right] + 1])
+            score[left, at[left] - 1] = self.joined(ids[left, at[left] - 1], best[left])
+        return out
+
+    def merged_many(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """``merged`` of each; short slices of one size together where there are many."""
+        out: list[tuple[int, ...]] = [()] * len(pieces)
+        sizes: dict[int, list[int]] = {}
+        for k, piece in enumerate(pieces):
+            if (whole := self.ranks.get(piece)) is not None:
+                out[k] = (whole,)
+            else:
+                sizes.setdefault(len(piece), []).append(k)
+        for size, at in sizes.items():
+            if size > SHORT_SLICE or len(at) < MANY:
+                found = [self.merged(pieces[k]) for k in at]
+            else:
+                found = self.merged_rows(np.frombuffer(b"".join([pieces[k] for k in at]), np.uint8).reshape(-1, size))
+            for k, ids in zip(at, found):
+                out[k] = ids
         return out
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[tuple[tuple[int, ...], str]], list[int]]]:
-        """For each text: its slices' ids (as ``ids`` gives them), and where each slice starts."""
-        cache, ids = self.cache, self.ids
-        for text, (begin, size) in zip(texts, slices_of(texts)):
-            found = [text[a:b] for a, b in zip(begin, [*begin[1:], size])]
-            yield [cache.get(p) or ids(p) for p in found], begin
+    def learn(self, pieces: Iterable[str]) -> dict[str, Entry]:
+        """Entries of distinct slices that the newer half of the cache lacks, from the older one or made; those of short ones are kept."""
+        out = {p: e for p in pieces if (e := self.older.get(p)) is not None}
+        new = [p for p in pieces if p not in out]
+        for p, ids in zip(new, self.merged_many([p.encode() for p in new])):
+            out[p] = ids, (" ".join([self.decimals[i] for i in ids]), self.decode(ids))
+        for p, e in out.items():
+            if len(p) <= LONG_SLICE:
+                if len(self.cache) >= max(1, CACHE_ENTRIES // 2):
+                    self.older, self.cache = self.cache, {}
+                self.cache[p] = e
+        return out
 
-    def decode(self, ids: list[int]) -> bytes:
+    def forget(self) -> None:
+        self.cache, self.older = {}, {}
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[list[Entry], list[int]]]:
+        """For each text: its slices' entries, and where each slice starts."""
+        held: list[tuple[list[str], list[int]]] = []
+        size = 0
+        for text, (begin, n) in zip(texts, slices_of(texts)):
+            held.append(([text[a:b] for a, b in zip(begin, [*begin[1:], n])], begin))
+            size += n
+            if size >= ROUND:
+                yield from self.known(held)
+                held, size = [], 0
+        yield from self.known(held)
+
+    def known(self, held: list[tuple[list[str], list[int]]]) -> Iterator[tuple[list[Entry], list[int]]]:
+        """The entries of some texts' slices; those that aren't cached are merged together."""
+        found = [list(map(self.cache.get, pieces)) for pieces, _ in held]
+        lacking = {p: None for (pieces, _), entries in zip(held, found) if None in entries for p, e in zip(pieces, entries) if e is None}
+        made = self.learn(lacking)
+        for (pieces, begin), entries in zip(held, found):
+            yield [e or made[p] for p, e in zip(pieces, entries)] if None in entries else entries, begin
+
+    def decode(self, ids: Sequence[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
@@ -282,28 +367,33 @@ OUTPUTS = {
 def _encoded(path: str, outputs: list[str], names: list[str], place: int, kept: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
+        collects = gc.isenabled()
+        gc.disable()  # the entries form no cycles, and walking the cache again and again takes a fifth of the time
         try:
             for batch in sliced(batches, place):
                 yield one(e, batch)
         finally:
-            e.cache.clear()  # the worker may live on for other stages
+            e.forget()  # the worker may live on for other stages
+            if collects:
+                gc.enable()
 
     def one(e: Encoder, batch: pa.RecordBatch) -> pa.RecordBatch:
         text = batch.column(place)
         rows: dict[str, list] = {x: [] for x in outputs}
         for groups, begin in e.encode([t or "" for t in text.to_pylist()]):
-            ids = [i for g, _ in groups for i in g]
+            ids, written = zip(*groups) if groups else ((), ())
+            decimals, decoded = zip(*written) if groups else ((), ())
             for name, held in rows.items():
                 if name == "n_tokens":
-                    held.append(len(ids))
+                    held.append(sum(map(len, ids)))
                 elif name == "ids":
-                    held.append(np.array(ids, np.int32))
+                    held.append(np.array([i for g in ids for i in g], np.int32))
                 elif name == "offsets":
-                    held.append(np.array([b for (g, _), b in zip(groups, begin) for _ in g], np.int32))
+                    held.append(np.array([b for g, b in zip(ids, begin) for _ in g], np.int32))
                 elif name == "ids_sha256":
-                    held.append(hashlib.sha256(" ".join([decimal for _, decimal in groups]).encode()).hexdigest())
+                    held.append(hashlib.sha256(" ".join(decimals).encode()).hexdigest())
                 else:
-                    held.append(hashlib.sha256(e.decode(ids)).hexdigest())
+                    held.append(hashlib.sha256(b"".join(decoded)).hexdigest())
         made = [pa.array(held, OUTPUTS[name][1]) for name, held in rows.items()]
         return pa.RecordBatch.from_arrays([*batch.columns[:kept], *made], names=[*batch.schema.names[:kept], *names])
 

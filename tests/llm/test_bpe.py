@@ -56,3 +56,27 @@ def test_names_and_round_trip(odd, empty):
     back = made.select("text", bpe.decode(F.col("t_ids"), PATH).alias("back")).collect()
     assert all((r.text or "") == r.back for r in back)
     assert bpe.encode(empty, PATH, keep=["doc_id"]).count() == 0
+
+
+def test_slices_in_use_stay_cached(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 8)
+    e, made = bpe.Encoder(PATH), []
+    whole = e.merged_many
+    monkeypatch.setattr(e, "merged_many", lambda pieces: made.extend(pieces) or whole(pieces))
+    for i in range(12):  # more slices than the cache holds; one of them comes every time
+        list(e.encode([f"often w{chr(97 + i)}q" + chr(97 + i) * 3]))
+    assert made.count(b"often") == 1 and len(e.cache) + len(e.older) <= 8
+    e.forget()
+    assert not e.cache and not e.older
+
+
+def test_many_slices_are_merged_together(tk):
+    rnd = random.Random(2)
+    pieces = ["".join(rnd.choice("abcdeth \x00é中🙂") for _ in range(rnd.randint(1, 20))).encode() for _ in range(3000)]
+    pieces += [b"ab" * 30] * bpe.MANY + [b"aaaa", b"\xff\xfe", b"th" * 24]
+    e = bpe.Encoder(PATH)
+    assert e.merged_many(pieces) == [e.merged(p) for p in pieces]
+    assert e.merged_many([]) == []
+    words = ["".join(rnd.choice("abcdeth") for _ in range(9)) for _ in range(2000)]
+    for w, (groups, _) in zip(words, e.encode(words)):
+        assert [i for g, _ in groups for i in g] == tk.encode_ordinary(w)
