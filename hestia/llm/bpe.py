@@ -12,10 +12,10 @@ rows that advance together; their total functions are chained, then every row
 runs again from its known first state. No regular expression is used.
 
 The slices between boundaries go through pair merging by rank, with a cache
-from slice to ids, their decimal text and their bytes. The cache has two
-halves: where the newer is full, it becomes the older, and what is found there
-moves back, so that slices in use stay. Offsets (in code points) are kept
-beside the ids, and decoding concatenates the bytes of the ids.
+from slice to ids, which are kept as packed numbers. The cache has two halves:
+where the newer is full, it becomes the older, and what is found there moves
+back, so that slices in use stay. Offsets (in code points) are kept beside the
+ids, and decoding concatenates the bytes of the ids.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
@@ -39,14 +40,14 @@ LETTER, NUMBER, OTHER, APOS1, APOS2, SPACE_LAST, WHITE_LAST, WHITE, RESET = rang
 NONE, IN_L, IN_N, IN_O, JOIN, IN_W, ONE, TWO = range(8)
 #: White space as the splitting pattern means it (the Unicode property).
 WHITE_SPACE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-#: Entries that the cache of a task holds at most, each of a slice of ``LONG_SLICE`` at most: half of them new, half the last full half (some 200 MB).
+#: Entries that the cache of a task holds at most, each of a slice of ``LONG_SLICE`` at most: half of them new, half the last full half (some 70 MB).
 CACHE_ENTRIES = 400_000
 #: A slice longer than this is merged with a heap and isn't cached.
 LONG_SLICE = 200
 #: Slices of up to this many bytes are merged together where at least so many have one size.
 SHORT_SLICE, MANY = 48, 32
 #: Code points that one round of the scan takes at most (a longer text has a round of its own).
-ROUND = 2_000_000
+ROUND = 1_000_000
 
 
 @lru_cache(1)
@@ -55,7 +56,8 @@ def codepoint_classes() -> np.ndarray:
     import regex
 
     table = np.full(0x110000, OTHER, np.uint8)
-    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    points = np.arange(0x110000, dtype=np.uint32)
+    every = points[(points < 0xD800) | (points >= 0xE000)].tobytes().decode("utf-32-le")  # single characters joined would take 80 MB
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+")):
         for m in regex.finditer(pattern, every):
             shift = [0x800 if i >= 0xD800 else 0 for i in (m.start(), m.end() - 1)]
@@ -136,12 +138,12 @@ def starts_of(kind: np.ndarray) -> np.ndarray:
     n = len(kind)
     width = max(1, int(np.sqrt(n)))
     rows = -(-n // width)
-    grid = np.full(rows * width, RESET, np.intp)
+    grid = np.full(rows * width, RESET, np.uint8)
     grid[:n] = kind
     grid = np.ascontiguousarray(grid.reshape(rows, width).T)
     total = np.zeros(rows, np.intp)
     for column in grid:
-        total = after[total * 9 + column].astype(np.intp)
+        total = after[total * 9 + column].astype(np.intp)  # the column's uint8 is widened here, one at a time
     entry = np.empty(rows, np.intp)
     state = NONE
     for i, f in enumerate(total.tolist()):
@@ -149,13 +151,13 @@ def starts_of(kind: np.ndarray) -> np.ndarray:
         state = int(functions[f][state])
     flags = np.empty((width, rows), bool)
     for j, column in enumerate(grid):
-        at = column * 8 + entry
+        at = column.astype(np.intp) * 8 + entry
         flags[j] = starts[at]
         entry = moves[at].astype(np.intp)
     return flags.T.ravel()[:n]
 
 
-def slices_of(texts: list[str]) -> Iterator[tuple[list[int], int]]:
+def slices_of(texts: list[str]) -> Iterator[tuple[np.ndarray, int]]:
     """For each text, the offsets at which its slices start, and its length."""
     at = 0
     while at < len(texts):
@@ -171,13 +173,13 @@ def slices_of(texts: list[str]) -> Iterator[tuple[list[int], int]]:
         cut = np.searchsorted(begin, ends)
         first, low = 0, 0
         for end, c in zip(ends.tolist(), cut.tolist()):
-            yield (begin[low:c] - first).tolist(), end - first
+            yield (begin[low:c] - first).astype(np.int32), end - first
             first, low = end + 1, c + 1
         at = to
 
 
-#: A slice's ids, and these as decimal text and as the bytes they decode to.
-Entry = tuple[tuple[int, ...], tuple[str, bytes]]
+#: A slice's ids as packed int32: a third of what the same takes as a tuple with its decimal text and bytes.
+Entry = bytes
 
 
 class Encoder:
@@ -313,7 +315,7 @@ class Encoder:
         out = {p: e for p in pieces if (e := self.older.get(p)) is not None}
         new = [p for p in pieces if p not in out]
         for p, ids in zip(new, self.merged_many([p.encode() for p in new])):
-            out[p] = ids, (" ".join([self.decimals[i] for i in ids]), self.decode(ids))
+            out[p] = array("i", ids).tobytes()
         for p, e in out.items():
             if len(p) <= LONG_SLICE:
                 if len(self.cache) >= max(1, CACHE_ENTRIES // 2):
@@ -323,20 +325,28 @@ class Encoder:
 
     def forget(self) -> None:
         self.cache, self.older = {}, {}
+        gc.collect()  # also drops the interpreter's lists of free tuples, which hold the memory around them
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[Entry], list[int]]]:
+    def encode(self, texts: list[str]) -> Iterator[tuple[list[tuple[tuple[int, ...], bytes]], np.ndarray]]:
+        """For each text: its slices' ids with the bytes they decode to, and where each slice starts."""
+        for entries, begin in self.entries(texts):
+            ids = [tuple(np.frombuffer(x, np.int32).tolist()) for x in entries]
+            yield [(x, self.decode(x)) for x in ids], begin
+
+    def entries(self, texts: list[str]) -> Iterator[tuple[list[Entry], np.ndarray]]:
         """For each text: its slices' entries, and where each slice starts."""
-        held: list[tuple[list[str], list[int]]] = []
+        held: list[tuple[list[str], np.ndarray]] = []
         size = 0
         for text, (begin, n) in zip(texts, slices_of(texts)):
-            held.append(([text[a:b] for a, b in zip(begin, [*begin[1:], n])], begin))
+            cuts = [*begin.tolist(), n]
+            held.append(([text[a:b] for a, b in zip(cuts, cuts[1:])], begin))
             size += n
             if size >= ROUND:
                 yield from self.known(held)
                 held, size = [], 0
         yield from self.known(held)
 
-    def known(self, held: list[tuple[list[str], list[int]]]) -> Iterator[tuple[list[Entry], list[int]]]:
+    def known(self, held: list[tuple[list[str], np.ndarray]]) -> Iterator[tuple[list[Entry], np.ndarray]]:
         """The entries of some texts' slices; those that aren't cached are merged together."""
         found = [list(map(self.cache.get, pieces)) for pieces, _ in held]
         lacking = {p: None for (pieces, _), entries in zip(held, found) if None in entries for p, e in zip(pieces, entries) if e is None}
@@ -365,6 +375,8 @@ OUTPUTS = {
 
 
 def _encoded(path: str, outputs: list[str], names: list[str], place: int, kept: int):
+    digests = {"ids_sha256", "decoded_sha256"} & set(outputs)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
         collects = gc.isenabled()
@@ -374,26 +386,27 @@ def _encoded(path: str, outputs: list[str], names: list[str], place: int, kept:
                 yield one(e, batch)
         finally:
             e.forget()  # the worker may live on for other stages
+            pa.default_memory_pool().release_unused()
             if collects:
                 gc.enable()
 
     def one(e: Encoder, batch: pa.RecordBatch) -> pa.RecordBatch:
         text = batch.column(place)
         rows: dict[str, list] = {x: [] for x in outputs}
-        for groups, begin in e.encode([t or "" for t in text.to_pylist()]):
-            ids, written = zip(*groups) if groups else ((), ())
-            decimals, decoded = zip(*written) if groups else ((), ())
+        for entries, begin in e.entries([t or "" for t in text.to_pylist()]):
+            ids = np.frombuffer(b"".join(entries), np.int32)
+            listed = ids.tolist() if digests else []
             for name, held in rows.items():
                 if name == "n_tokens":
-                    held.append(sum(map(len, ids)))
+                    held.append(len(ids))
                 elif name == "ids":
-                    held.append(np.array([i for g in ids for i in g], np.int32))
+                    held.append(ids)
                 elif name == "offsets":
-                    held.append(np.array([b for g, b in zip(ids, begin) for _ in g], np.int32))
+                    held.append(np.repeat(begin, [len(x) // ids.itemsize for x in entries]))
                 elif name == "ids_sha256":
-                    held.append(hashlib.sha256(" ".join(decimals).encode()).hexdigest())
+                    held.append(hashlib.sha256(" ".join([e.decimals[i] for i in listed]).encode()).hexdigest())
                 else:
-                    held.append(hashlib.sha256(b"".join(decoded)).hexdigest())
+                    held.append(hashlib.sha256(e.decode(listed)).hexdigest())
         made = [pa.array(held, OUTPUTS[name][1]) for name, held in rows.items()]
         return pa.RecordBatch.from_arrays([*batch.columns[:kept], *made], names=[*batch.schema.names[:kept], *names])
 

@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers as P
 import pytest
@@ -80,3 +81,21 @@ def test_many_slices_are_merged_together(tk):
     words = ["".join(rnd.choice("abcdeth") for _ in range(9)) for _ in range(2000)]
     for w, (groups, _) in zip(words, e.encode(words)):
         assert [i for g, _ in groups for i in g] == tk.encode_ordinary(w)
+
+
+def test_memory_of_cache_and_classes():
+    e, rnd = bpe.Encoder(PATH), random.Random(3)
+    words = list({"".join(rnd.choice("abcdethqxz") for _ in range(8)) for _ in range(20_000)})
+    tracemalloc.start()
+    try:
+        e.learn(words)
+        held = tracemalloc.get_traced_memory()[0] / len(e.cache)
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        bpe.codepoint_classes.__wrapped__()
+        made = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    assert len(e.cache) == len(words)
+    assert held < 150, held  # bytes a slice besides its text, 395 with the ids as objects and their texts
+    assert made < 40 << 20, made  # 82 MB with a string for each code point
