@@ -159,3 +159,27 @@ def test_ranks_across_ranges(spark):
     want = {w: float(i) for i, w in enumerate(["w007", "w100", *[f"w{i:03d}" for i in range(300) if i not in (7, 100)]])}
     for size in (7, 100_000):
         assert {r.w: r.w_idx for r in M.category_index_table(spark, df, "w", per_range=size).collect()} == want
+
+
+def test_registered_search_fits_the_whole_training_split(spark, sf, monkeypatch):
+    """The queries over fitted models search on every training row, in the same order each time."""
+    from hestia.suite import modelling
+    from hestia.suite.pipelines import fused
+
+    class Stop(Exception):
+        pass
+
+    def searched(kind, values, train, *options):
+        seen.append([repr(r) for r in train.collect()])
+        raise Stop
+
+    seen = []
+    monkeypatch.setattr(M, "_searched", searched)
+    table, _ = M.model_table(fused(spark, sf))
+    rows = M.split_by_key(table, table.columns)[0].count()
+    for query in (modelling.q_cv_scores, modelling.q_model_residual_hist):
+        monkeypatch.setattr(M, "RESULTS", ("not-written",))
+        with pytest.raises(Stop):
+            query(spark, sf)
+    assert rows > 2000 and {len(x) for x in seen} == {rows}
+    assert all(x == seen[0] for x in seen)
