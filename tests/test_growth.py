@@ -180,3 +180,62 @@ def test_cards_of_odd_rows_equal_the_sql(spark, tmp_path):
         found = QUERIES[name](spark, str(tmp_path))
         wanted = db.sql(ORACLES[name])
         assert sorted(map(repr, map(tuple, found.select(*wanted.columns).collect()))) == sorted(map(repr, wanted.fetchall()))
+
+
+def test_batches_of_pages_are_read_like_single_ones():
+    """``read_fields`` against ``page_elements``, page by page, on odd markup; a regular batch parses each different tag once."""
+    import random
+
+    import pyarrow as pa
+
+    from hestia.functions import html as H
+
+    paths = [[("div", "a")], [("div", "a"), ("div", "b")], [("h1", None)], [(None, "b")], [("p", None), (None, "a"), ("p", None)]]
+    tags = ['<div class="a">', "<div class=b>", "<DIV CLASS='x a'>", "</div>", "</DIV >", "<p>", "</p>", '<h1 class="a b">', "</h1>", "<br/>", "é", "\xa0", "&amp;", "&#233;", ""]
+    odd = ["<", ">", "a<b", "<!-- c -->", "< div>", "<div", '<b x=">">']
+    rnd = random.Random(3)
+
+    def alone(page, text):
+        elements = H.page_elements(page or "")
+        found = [H._content(page, elements, p) if elements else None for p in paths]
+        return tuple(H._finished(x) for x in found) if text else tuple(found)
+
+    for _ in range(200):
+        pages = [None if rnd.random() < 0.1 else "".join(rnd.choices(tags + odd * (rnd.random() < 0.3), k=rnd.randrange(30))) for _ in range(rnd.randrange(6))]
+        pages += ['<div class="a">' + "<div>" * 150 + "y" + "</div>" * 151 + "z"] * (rnd.random() < 0.05)
+        for kind in (pa.string(), pa.large_string()):
+            batch = pa.array(["<p>", *pages, "</p>"], kind).slice(1, len(pages))
+            for text in (True, False):
+                assert list(zip(*[x.to_pylist() for x in H.read_fields(batch, paths, text)])) == [alone(p, text) for p in pages]
+    H._cached_classes.cache_clear()
+    H.read_fields(pa.array(["<p><div class='a'>x</div></p>"] * 50), paths)
+    info = H._cached_classes.cache_info()
+    assert info.misses == 1 and info.hits == 0
+
+
+def test_ascii_texts_stay_in_spark(spark):
+    from hestia.functions import text as T
+
+    rows = ["plain", "", None, "75 m² à ﬁn ①", "a b", "é", "m³ ½", "\u007f"]
+    df = spark.createDataFrame([(x,) for x in rows], "t string")
+    got = df.select("t", T.nfkc("t").alias("full"), T.nfkc("t", cheap=True).alias("cheap")).collect()
+    import unicodedata
+
+    assert [r.full for r in got] == [x and unicodedata.normalize("NFKC", x) for x in rows]
+    assert [r.cheap for r in got] == [x and x.translate(dict(zip(map(ord, T.NFKC_CHEAP_FROM), T.NFKC_CHEAP_TO))) for x in rows]
+    assert "octet_length" in plan(df.select(T.nfkc("t")))
+
+
+def test_ads_meet_documents_as_keys(spark):
+    from hestia.suite import extraction as X
+
+    above, below = plan(X.detail_pages(spark, SF)).split("LeftOuter", 1)
+    assert "Vente " in above and "Vente " not in below
+    assert "&eacute;" in below  # texts are made page source once a document
+
+
+def test_ground_floor_words_hold_their_guard(spark):
+    from hestia.functions import text as T
+
+    df = spark.createDataFrame([(w.upper(),) for w in T.GROUND_WORDS] + [("chaussure",)], "t string")
+    assert [r.f for r in df.select(T.extract_floor("t").alias("f")).collect()] == [0] * len(T.GROUND_WORDS) + [None]
