@@ -436,8 +436,8 @@ AREA_FAITHFUL_SQL = r"TRY_CAST(replace(nullif(regexp_extract({x}, '(\d+(?:[.,]\d
 FROM ({DETAIL_SQL})""",
 )
 def q_collect_listings(spark, sf):
-    """E6 (first site): pages → records → missing area from the text."""
-    return X.fill_area_from_text(X.extract_listing_details(detail_pages(spark, sf), nfkc_cheap=True))
+    """E6 (first site): pages → records, texts normalised to full NFKC → missing area from the text."""
+    return E6.collect_listings(detail_pages(spark, sf))
 
 
 def list_pages(spark, sf):
